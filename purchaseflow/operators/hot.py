@@ -7,12 +7,14 @@ number that rises with the order, so (keys, CHUNK) is a group of bounded size an
 chunks of a key can be put in sequence afterwards.
 
 Finding the hot keys runs short jobs when the operator is built: a row count, which
-ends the search if the whole table fits one task, and one pass over the key columns.
-Their answers are tables bounded by arithmetic. A key is hot only above
-``max(chunk_rows, table rows / MAX_HOT_KEYS)`` rows, so there are at most
-MAX_HOT_KEYS of them however large the table, and at most 3 * MAX_HOT_KEYS cells.
-They are fetched once and broadcast, and since they are fixed from then on, a lost
-executor that recomputes its part finds the same chunks again.
+ends the search if the whole table fits one task, one pass over the key columns, and
+for hot keys one sample. So pass a table, or a light projection of one, rather than
+an expensive plan. What the jobs fetch is bounded by arithmetic: a key is hot only
+above ``max(chunk_rows, table rows / MAX_HOT_KEYS)`` rows, so there are at most
+MAX_HOT_KEYS of them however large the table, and at most MAX_HOT_KEYS * SAMPLE
+sampled numbers. Both are fixed once fetched: a lost executor that recomputes its
+part finds the same chunks again. The sample decides where chunks end, never which
+rows count.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from purchaseflow.functions import position
@@ -27,11 +32,9 @@ from purchaseflow.functions import position
 CHUNK = "__chunk"
 CHUNK_ROWS = 5_000_000
 MAX_HOT_KEYS = 50_000
+SAMPLE = 100  # rows sampled, on average, from as many rows as one task should hold
 
-_SAMPLE = 1_000  # rows expected in the sample from a key at the limit
-_SUB_SPACE = 1 << 20  # room for the parts of one cell, at most 2 * MAX_HOT_KEYS + 1
-
-_P, _CELL = "__p", "__cell"
+_PLACE = "__place"
 
 
 def split(
@@ -43,23 +46,20 @@ def split(
     limit = max(chunk_rows, total // MAX_HOT_KEYS)
     if total <= limit:
         return None
-    places = _places(df, order)
-    hot = _hot_keys(df, keys, places, limit)
+    positions = _positions(df, order)
+    hot = _hot_keys(df, keys, positions, limit)
     if hot is None:
         return None
 
-    ordinary = match(df, hot.select(*keys), keys, "left_anti")
-    placed = _placed(match(df, hot, keys, "inner"), places, limit)
-    cells = _cells(match(df.select(*keys, *dict.fromkeys(order)), hot, keys, "inner"),
-                   keys, places, limit)
-    cut = match(placed, cells, [*keys, _CELL], "inner")
-    within = (F.col(_P) - F.col("__low")) / (F.col("__high") - F.col("__low"))
-    part = F.when(
-        (F.col("__parts") > 1) & (F.col("__high") > F.col("__low")),
-        F.least(F.floor(within * F.col("__parts")), F.col("__parts") - 1),
-    ).otherwise(0)
-    chunk = (F.col(_CELL) * _SUB_SPACE + part).cast("long")
-    return ordinary, cut.select(*df.columns, chunk.alias(CHUNK))
+    place = _place(positions)
+    narrow = match(df.select(*keys, *dict.fromkeys(order)), hot, keys, "inner")
+    cuts = _cuts(narrow.select(place.alias(_PLACE)), limit)
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")], inputCol=_PLACE, outputCol=CHUNK
+    )
+    placed = match(df, hot, keys, "inner").select(*df.columns, place.alias(_PLACE))
+    chunked = bucketizer.transform(placed).withColumn(CHUNK, F.col(CHUNK).cast("long"))
+    return match(df, hot.select(*keys), keys, "left_anti"), chunked.drop(_PLACE)
 
 
 def match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -71,17 +71,32 @@ def match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataF
     return df.join(F.broadcast(small.withColumnsRenamed(names)), same, how).drop(*names.values())
 
 
+def _positions(df: DataFrame, order: list[str]) -> list[Column]:
+    """Positions of the order columns that take part in placing a row.
+
+    The second column refines the first only where the first leaves room for a
+    fraction, and only where it has a position itself.
+    """
+    first, roomy = position(order[0], df.schema[order[0]].dataType)
+    if roomy and len(order) > 1:
+        try:
+            return [first, position(order[1], df.schema[order[1]].dataType)[0]]
+        except ValueError:
+            pass
+    return [first]
+
+
 def _hot_keys(
-    df: DataFrame, keys: list[str], places: list[Column], limit: int
+    df: DataFrame, keys: list[str], positions: list[Column], limit: int
 ) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, with their row count and range of places.
+    """Keys with more than ``limit`` rows: a running number and the range of positions.
 
     A sample names the candidates, so the pass over all keys shuffles next to
     nothing; counts of the candidates are exact. A key at the limit would have to
     show up at half its expected number to be missed, and would then merely stay
     whole.
     """
-    rate = min(1.0, _SAMPLE / limit)
+    rate = min(1.0, 10 * SAMPLE / limit)
     candidates = (
         df.select(*keys)
         .sample(rate, seed=1)
@@ -90,60 +105,43 @@ def _hot_keys(
         .filter(F.col("__seen") >= rate * limit / 2)
         .select(*keys)
     )
-    bounds = [
-        agg(place).alias(f"__{name}{i}")
-        for i, place in enumerate(places)
+    ranges = [
+        agg(value).alias(f"__{name}{i}")
+        for i, value in enumerate(positions)
         for name, agg in (("lo", F.min), ("hi", F.max))
     ]
     found = (
         match(df, candidates, keys, "inner")
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"), *bounds)
+        .agg(F.count(F.lit(1)).alias("__rows"), *ranges)
         .filter(F.col("__rows") > limit)
+        .drop("__rows")
         .toArrow()
     )
-    return df.sparkSession.createDataFrame(found) if found.num_rows else None
-
-
-def _places(df: DataFrame, order: list[str]) -> list[Column]:
-    """Positions of the order columns that take part in placing a row.
-
-    The second column refines the first only where the first leaves room for a
-    fraction, and only where it has a position itself.
-    """
-    first, roomy = position(order[0], df.schema[order[0]].dataType)
-    if roomy and len(order) > 1:
-        try:
-            return [first, position(order[1], df.schema[order[1]].dataType)[0]]
-        except ValueError:
-            pass
-    return [first]
+    if not found.num_rows:
+        return None
+    numbers = pa.array(range(found.num_rows), pa.float64())
+    return df.sparkSession.createDataFrame(found.append_column("__number", numbers))
 
 
-def _placed(rows: DataFrame, places: list[Column], limit: int) -> DataFrame:
-    """Adds the place of a row in its key's history and the equal-width cell it falls in.
+def _place(positions: list[Column]) -> Column:
+    """One number that rises with (hot key, order): its whole part is the key's number.
 
-    Nulls in the first order column take the unit before the range, as Spark sorts
-    them first. A key gets about two cells per ``limit`` rows.
+    The rest runs from 0 to below 1 over the key's own range. Nulls in the first
+    order column take the unit before that range, as Spark sorts them first.
     """
-    lo, hi = F.coalesce("__lo0", F.lit(0.0)), F.coalesce("__hi0", F.lit(0.0))
-    place = F.coalesce(places[0] - lo, F.lit(-1.0))
-    if len(places) > 1:
+    zero = F.lit(0.0)
+    lo, hi = F.coalesce("__lo0", zero), F.coalesce("__hi0", zero)
+    along = F.coalesce(positions[0] - lo, F.lit(-1.0))
+    if len(positions) > 1:
         span = F.col("__hi1") - F.col("__lo1") + 1
-        place += F.coalesce((places[1] - F.col("__lo1")) / span, F.lit(0.0))
-    cells = F.ceil(2 * F.col("__rows") / limit)
-    return rows.withColumn(_P, place).withColumn(
-        _CELL, F.floor(F.col(_P) / (hi - lo + 1) * cells)
-    )
+        along += F.coalesce((positions[1] - F.col("__lo1")) / span, zero)
+    return F.col("__number") + (along + 1) / (hi - lo + 3)
 
 
-def _cells(hot_rows: DataFrame, keys: list[str], places: list[Column], limit: int) -> DataFrame:
-    """Each cell's range of places and the number of parts it needs to stay within ``limit``."""
-    filled = (
-        _placed(hot_rows, places, limit)
-        .groupBy(*keys, _CELL)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(_P).alias("__low"), F.max(_P).alias("__high"))
-    )
-    parts = F.when(F.col("__n") > limit, F.ceil(2 * F.col("__n") / limit)).otherwise(1)
-    found = filled.select(*keys, _CELL, "__low", "__high", parts.alias("__parts")).toArrow()
-    return hot_rows.sparkSession.createDataFrame(found)
+def _cuts(places: DataFrame, limit: int) -> list[float]:
+    """Places where a chunk begins, about half of ``limit`` rows apart."""
+    rate = min(1.0, SAMPLE / limit)
+    seen = places.sample(rate, seed=2).toArrow().column(0).to_numpy()
+    apart = max(1, round(rate * limit / 2))
+    return [float(x) for x in np.unique(np.sort(seen)[::apart])] or [0.0]
