@@ -308,7 +308,8 @@ def job_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def job_top_products(spark: SparkSession, sf: str) -> DataFrame:
     results, report, out = _run_job(spark, sf)
-    manifest = jobs.publish(spark, results, report, out)
+    only = {"top_products": results["top_products"]}
+    manifest = jobs.publish(spark, only, report, out)
     return read(spark, Source("parquet", manifest["top_products"]["path"]))
 
 

@@ -24,9 +24,10 @@ def main(argv: list[str] | None = None) -> None:
         help="format of the customer and exact-set tables",
     )
     parser.add_argument(
-        "--stage-transactions",
+        "--no-staging",
         action="store_true",
-        help="copy the transactions to Parquet below the work folder before running",
+        help="parse the raw transactions for every step instead of copying them once "
+        "to Parquet below the work folder",
     )
     parser.add_argument("--wide-ids", action="store_true", help="read ids as bigint")
     args = parser.parse_args(argv)
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
             sources = jobs.prepare(spark, *layout)
             _show("sources", {name: s.path for name, s in sources.items()})
         if args.stage != "prepare":
-            staging = f"{args.work_dir}/staged" if args.stage_transactions else None
+            staging = None if args.no_staging else f"{args.work_dir}/staged"
             results, report = jobs.run(spark, sources, staging)
             manifest = jobs.publish(spark, results, report, args.output_dir, args.table_format)
             _show("quality report", report)

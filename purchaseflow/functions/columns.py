@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType)
-_WIDE = (T.LongType, T.DecimalType)
+EXACT = float(2**52)  # below this, whole numbers and their neighbours are exact doubles
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -21,9 +22,9 @@ def any_null(columns: Sequence[str]) -> Column:
 def position(name: str, dtype: T.DataType) -> tuple[Column, bool]:
     """``name`` as a double that never falls while the value rises.
 
-    The flag is true when different values lie at least 1.0 apart, so a fraction
-    in [0, 1) can be added without disturbing the order. It is false for wide
-    integers and decimals, whose neighbours may share one double.
+    The flag is true when different values lie at least 1.0 apart, as long as they
+    are below EXACT, so that a fraction up to 1 can be added without disturbing the
+    order.
     """
     col = F.col(name)
     if isinstance(dtype, T.DateType):
@@ -41,8 +42,8 @@ def position(name: str, dtype: T.DataType) -> tuple[Column, bool]:
         return micros.cast("double"), True
     if isinstance(dtype, _WHOLE):
         return col.cast("double"), True
-    if isinstance(dtype, _WIDE):
-        return col.cast("double"), False
+    if isinstance(dtype, T.DecimalType):
+        return col.cast("double"), dtype.scale <= 0
     raise ValueError(
         f"column '{name}' of type {dtype.simpleString()} has no position on a number line; "
         "order by a date, timestamp, integer or decimal first, or pass chunk_rows=None "

@@ -11,10 +11,13 @@ ends the search if the whole table fits one task, one pass over the key columns,
 for hot keys one sample. So pass a table, or a light projection of one, rather than
 an expensive plan. What the jobs fetch is bounded by arithmetic: a key is hot only
 above ``max(chunk_rows, table rows / MAX_HOT_KEYS)`` rows, so there are at most
-MAX_HOT_KEYS of them however large the table, and at most MAX_HOT_KEYS * SAMPLE
-sampled numbers. Both are fixed once fetched: a lost executor that recomputes its
-part finds the same chunks again. The sample decides where chunks end, never which
-rows count.
+MAX_HOT_KEYS of them however large the table, and on average at most
+MAX_HOT_KEYS * SAMPLE sampled numbers (200 MB if every row were in a hot key). Both
+are fixed once fetched: a lost executor that recomputes its part finds the same chunks
+again. The sample decides where chunks end, never which rows count.
+
+The limits suit a task and an array: a trillion rows give a limit of two million, a
+few hundred megabytes as one collected list, well below the 2 GB a row may take.
 """
 
 from __future__ import annotations
@@ -27,12 +30,12 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from purchaseflow.functions import position
+from purchaseflow.functions import EXACT, position
 
 CHUNK = "__chunk"
-CHUNK_ROWS = 5_000_000
-MAX_HOT_KEYS = 50_000
-SAMPLE = 100  # rows sampled, on average, from as many rows as one task should hold
+CHUNK_ROWS = 1_000_000
+MAX_HOT_KEYS = 500_000
+SAMPLE = 50  # rows sampled, on average, from as many rows as one task should hold
 
 _PLACE = "__place"
 
@@ -74,8 +77,8 @@ def match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataF
 def _positions(df: DataFrame, order: list[str]) -> list[Column]:
     """Positions of the order columns that take part in placing a row.
 
-    The second column refines the first only where the first leaves room for a
-    fraction, and only where it has a position itself.
+    The second column refines the first where the first leaves room for a fraction
+    and the second has a position itself.
     """
     first, roomy = position(order[0], df.schema[order[0]].dataType)
     if roomy and len(order) > 1:
@@ -134,8 +137,10 @@ def _place(positions: list[Column]) -> Column:
     lo, hi = F.coalesce("__lo0", zero), F.coalesce("__hi0", zero)
     along = F.coalesce(positions[0] - lo, F.lit(-1.0))
     if len(positions) > 1:
+        roomy = F.greatest(F.abs(lo), F.abs(hi)) < EXACT
         span = F.col("__hi1") - F.col("__lo1") + 1
-        along += F.coalesce((positions[1] - F.col("__lo1")) / span, zero)
+        fraction = (positions[1] - F.col("__lo1")) / span
+        along += F.coalesce(F.when(roomy, fraction), zero)
     return F.col("__number") + (along + 1) / (hi - lo + 3)
 
 

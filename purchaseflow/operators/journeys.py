@@ -26,8 +26,9 @@ def first_and_rest(
     ``later_items`` in the order of ``segment`` are the whole rest. Segment numbers
     rise but need not be consecutive.
 
-    ``attributes`` holds one row per key and is joined (inner) while the rows are
-    still partitioned by the keys, so the lists are not shuffled a second time.
+    ``attributes`` holds one row per key and is joined (inner) so that no list is
+    shuffled a second time: ordinary lists are still partitioned by the keys, and the
+    few hot keys fetch their attributes first and are broadcast with them.
     """
     keys, order = list(keys), list(order)
 
@@ -35,15 +36,15 @@ def first_and_rest(
         event = F.struct(*order, item)
         return frame.groupBy(*by).agg(F.sort_array(F.collect_list(event)).alias("__events"))
 
-    def finish(frame: DataFrame, opening, segment, rest) -> DataFrame:
-        out = frame.select(
+    def finish(frame: DataFrame, opening, segment, rest, more=()) -> DataFrame:
+        return frame.select(
             *keys,
             opening[item].alias("first_item"),
             opening[order[0]].alias(f"first_{order[0]}"),
             rest.alias("later_items"),
             segment.cast("long").alias(SEGMENT),
+            *more,
         )
-        return out if attributes is None else out.join(attributes, keys, "inner")
 
     events = F.col("__events")
     items = events[item]
@@ -51,14 +52,21 @@ def first_and_rest(
     parts = split(df.select(*keys, *order, item), keys, order, chunk_rows) if chunk_rows else None
     ordinary, hot = parts or (df, None)
     whole = finish(collect(ordinary, keys), events[0], F.lit(0), tail)
+    if attributes is not None:
+        whole = whole.join(attributes, keys, "inner")
     if hot is None:
         return whole
 
     openings = hot.groupBy(*keys).agg(
         F.min(F.struct(*order, item)).alias("__opening"), F.min(CHUNK).alias("__from")
     )
+    more = []
+    if attributes is not None:
+        more = [c for c in attributes.columns if c not in keys]
+        openings = match(attributes.dropna(subset=keys), openings, keys, "inner")
     pieces = match(collect(hot, [*keys, CHUNK]), openings, keys, "inner")
     rest = F.when(F.col(CHUNK) == F.col("__from"), tail).otherwise(items)
-    pieces = finish(pieces, F.col("__opening"), F.col(CHUNK) - F.col("__from"), rest)
+    segment = F.col(CHUNK) - F.col("__from")
+    pieces = finish(pieces, F.col("__opening"), segment, rest, more)
     return whole.unionByName(pieces)
 

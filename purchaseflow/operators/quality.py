@@ -51,9 +51,11 @@ def unmatched_keys(
 ) -> DataFrame:
     """How many distinct values of ``fact.on`` have no row in ``dimension``.
 
-    A null value matches nothing and counts as one.
+    A null value matches nothing and counts as one. Both sides shrink to distinct
+    keys before they are shuffled, so neither a hot fact key nor a hot key of a
+    "dimension" that is itself a large table weighs on the join.
     """
-    known = dimension.select(F.col(dimension_on or on).alias(on))
+    known = dimension.select(F.col(dimension_on or on).alias(on)).distinct()
     return _named(fact.select(on).distinct().join(known, on, "left_anti"), name)
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -210,3 +213,21 @@ def test_wide_ids_reach_the_outputs(spark, tmp_path):
     results, _ = jobs.run(spark, sources)
     ids = [r.iphone_transaction_id for r in results["iphone_then_airpods"].collect()]
     assert sorted(ids) == [15, 11000000000]
+
+
+def test_command_line(spark, tmp_path):
+    raw = write_raw(tmp_path / "raw")
+    command = [sys.executable, "-m", "purchaseflow", "all", "--master", "local[2]"]
+    folders = ["--raw-dir", raw, "--work-dir", f"{tmp_path}/w", "--output-dir", f"{tmp_path}/o"]
+    done = subprocess.run(
+        command + folders,
+        cwd=Path(__file__).resolve().parents[1],
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert '"transaction_rows": 10' in done.stdout
+    assert '"row_count": 4' in done.stdout
+    assert read(spark, Source("parquet", f"{tmp_path}/o/top_products")).count() == 3
+    assert read(spark, Source("parquet", f"{tmp_path}/w/staged/transactions_parquet")).count() == 10
