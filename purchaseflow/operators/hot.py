@@ -4,7 +4,7 @@ A window or a collected list needs all rows of a key in one task. That is right
 ordinary keys and wrong for a key that holds a large share of the table. ``split``
 separates the two kinds: ordinary rows stay as they are, hot rows get a ``CHUNK``
 number that rises with the order, so (keys, CHUNK) is a group of bounded size and the
-chunks of a key can be put in sequence afterwards.
+chunks of a key follow one another.
 
 Finding the hot keys runs short jobs when the operator is built: a row count, which
 ends the search if the whole table fits one task, one pass over the key columns, and
@@ -23,6 +23,7 @@ few hundred megabytes as one collected list, well below the 2 GB a row may take.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -37,13 +38,29 @@ CHUNK_ROWS = 1_000_000
 MAX_HOT_KEYS = 500_000
 SAMPLE = 50  # rows sampled, on average, from as many rows as one task should hold
 
-_PLACE = "__place"
+_PLACE, _NUMBER = "__place", "__number"
+
+
+@dataclass(frozen=True)
+class Split:
+    """A table in two parts.
+
+    ``ordinary``: rows of keys that fit one task, as they were.
+    ``hot``: rows of the other keys with CHUNK, whose lowest value per key is 0 or 1 and
+    which counts up without gaps.
+    ``heads``: the hot rows that open a chunk, or tie with its opening row in place; a
+    key's lowest chunk may be missing.
+    """
+
+    ordinary: DataFrame
+    hot: DataFrame
+    heads: DataFrame
 
 
 def split(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS
-) -> tuple[DataFrame, DataFrame] | None:
-    """``df`` as (rows of ordinary keys, rows of hot keys with CHUNK); None if none is hot."""
+) -> Split | None:
+    """``df`` in two parts, or None if no key is hot."""
     keys, order = list(keys), list(order)
     total = df.count()
     limit = max(chunk_rows, total // MAX_HOT_KEYS)
@@ -57,12 +74,23 @@ def split(
     place = _place(positions)
     narrow = match(df.select(*keys, *dict.fromkeys(order)), hot, keys, "inner")
     cuts = _cuts(narrow.select(place.alias(_PLACE)), limit)
+    bounds = [float("-inf"), *cuts, float("inf")]
     bucketizer = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol=_PLACE, outputCol=CHUNK
+        splitsArray=[bounds, bounds],
+        inputCols=[_PLACE, _NUMBER],
+        outputCols=["__bucket", "__start"],
+    )
+    placed = match(df, hot, keys, "inner").select(*df.columns, place.alias(_PLACE), _NUMBER)
+    chunk = (F.col("__bucket") - F.col("__start")).cast("long")
+    chunked = bucketizer.transform(placed).select(*df.columns, chunk.alias(CHUNK), _PLACE)
+
+    # a cut is the place of some row, so the row that opens a chunk lies on its cut
+    opening = df.sparkSession.createDataFrame(pa.table({_PLACE: cuts}))
+    return Split(
+        ordinary=match(df, hot.select(*keys), keys, "left_anti"),
+        hot=chunked.drop(_PLACE),
+        heads=match(chunked, opening, [_PLACE], "left_semi").drop(_PLACE),
     )
-    placed = match(df, hot, keys, "inner").select(*df.columns, place.alias(_PLACE))
-    chunked = bucketizer.transform(placed).withColumn(CHUNK, F.col(CHUNK).cast("long"))
-    return match(df, hot.select(*keys), keys, "left_anti"), chunked.drop(_PLACE)
 
 
 def match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -124,7 +152,7 @@ def _hot_keys(
     if not found.num_rows:
         return None
     numbers = pa.array(range(found.num_rows), pa.float64())
-    return df.sparkSession.createDataFrame(found.append_column("__number", numbers))
+    return df.sparkSession.createDataFrame(found.append_column(_NUMBER, numbers))
 
 
 def _place(positions: list[Column]) -> Column:
@@ -141,7 +169,7 @@ def _place(positions: list[Column]) -> Column:
         span = F.col("__hi1") - F.col("__lo1") + 1
         fraction = (positions[1] - F.col("__lo1")) / span
         along += F.coalesce(F.when(roomy, fraction), zero)
-    return F.col("__number") + (along + 1) / (hi - lo + 3)
+    return F.col(_NUMBER) + (along + 1) / (hi - lo + 3)
 
 
 def _cuts(places: DataFrame, limit: int) -> list[float]:

@@ -23,8 +23,7 @@ def first_and_rest(
 
     One row per key with segment 0, and an empty list where nothing followed. A key
     too long for one task, and so for one array, goes on over several rows: its
-    ``later_items`` in the order of ``segment`` are the whole rest. Segment numbers
-    rise but need not be consecutive.
+    ``later_items`` in the order of ``segment`` (0, 1, 2, ...) are the whole rest.
 
     ``attributes`` holds one row per key and is joined (inner) so that no list is
     shuffled a second time: ordinary lists are still partitioned by the keys, and the
@@ -50,21 +49,22 @@ def first_and_rest(
     items = events[item]
     tail = F.slice(items, F.lit(2), F.size(items))
     parts = split(df.select(*keys, *order, item), keys, order, chunk_rows) if chunk_rows else None
-    ordinary, hot = parts or (df, None)
+    ordinary = parts.ordinary if parts else df
     whole = finish(collect(ordinary, keys), events[0], F.lit(0), tail)
     if attributes is not None:
         whole = whole.join(attributes, keys, "inner")
-    if hot is None:
+    if parts is None:
         return whole
 
-    openings = hot.groupBy(*keys).agg(
+    # the lowest chunk of a key is 0 or 1
+    openings = parts.hot.filter(F.col(CHUNK) <= 1).groupBy(*keys).agg(
         F.min(F.struct(*order, item)).alias("__opening"), F.min(CHUNK).alias("__from")
     )
     more = []
     if attributes is not None:
         more = [c for c in attributes.columns if c not in keys]
         openings = match(attributes.dropna(subset=keys), openings, keys, "inner")
-    pieces = match(collect(hot, [*keys, CHUNK]), openings, keys, "inner")
+    pieces = match(collect(parts.hot, [*keys, CHUNK]), openings, keys, "inner")
     rest = F.when(F.col(CHUNK) == F.col("__from"), tail).otherwise(items)
     segment = F.col(CHUNK) - F.col("__from")
     pieces = finish(pieces, F.col("__opening"), segment, rest, more)

@@ -35,25 +35,16 @@ def with_next(
     parts = split(df, keys, order, chunk_rows) if chunk_rows else None
     if parts is None:
         return lead(df, keys)
-    ordinary, hot = parts
-    lent = hot.withColumn(_GUEST, F.lit(False)).unionByName(
-        _guests(hot, keys, order, columns), allowMissingColumns=True
+    carried = [c for c in dict.fromkeys([*order, *columns.values()]) if c not in keys]
+    first = parts.heads.groupBy(*keys, CHUNK).agg(F.min(F.struct(*carried)).alias("__head"))
+    guests = first.select(
+        *keys, (F.col(CHUNK) - 1).alias(CHUNK), "__head.*", F.lit(True).alias(_GUEST)
     )
-    across = lead(lent, [*keys, CHUNK]).filter(~F.col(_GUEST)).drop(_GUEST, CHUNK)
-    return lead(ordinary, keys).unionByName(across)
-
-
-def _guests(hot: DataFrame, keys, order, columns) -> DataFrame:
-    """The first row of every chunk but a key's first, labelled with the chunk before."""
-    carried = list(dict.fromkeys([*order, *columns.values()]))
-    carried = [c for c in carried if c not in keys]
-    heads = hot.groupBy(*keys, CHUNK).agg(F.min(F.struct(*carried)).alias("__head"))
-    before = F.lag(CHUNK).over(Window.partitionBy(*keys).orderBy(CHUNK))
-    return (
-        heads.withColumn(CHUNK, before)
-        .filter(F.col(CHUNK).isNotNull())
-        .select(*keys, CHUNK, "__head.*", F.lit(True).alias(_GUEST))
+    lent = parts.hot.withColumn(_GUEST, F.lit(False)).unionByName(
+        guests, allowMissingColumns=True
     )
+    across = lead(lent, [*keys, CHUNK]).filter(~F.col(_GUEST)).drop(_GUEST, CHUNK)
+    return lead(parts.ordinary, keys).unionByName(across)
 
 
 def followed_by(

@@ -43,7 +43,8 @@ def test_no_hot_key_in_an_even_table(histories):
 
 @pytest.mark.parametrize("limit", [10, 150])
 def test_split_keeps_every_row_once_in_bounded_ordered_chunks(skewed, limit):
-    ordinary, cut = hot.split(skewed, KEY, ORDER, limit)
+    parts = hot.split(skewed, KEY, ORDER, limit)
+    ordinary, cut = parts.ordinary, parts.hot
     assert rows_of(ordinary.unionByName(cut.drop(hot.CHUNK))) == rows_of(skewed)
     sizes = cut.groupBy("key", hot.CHUNK).count()
     assert sizes.agg(F.max("count")).first()[0] <= limit * 1.5
@@ -56,6 +57,11 @@ def test_split_keeps_every_row_once_in_bounded_ordered_chunks(skewed, limit):
     for events in history.values():
         chunks = [chunk for _, chunk in sorted(events)]
         assert chunks == sorted(chunks)
+        assert chunks[0] in (0, 1)
+        assert sorted(set(chunks)) == list(range(chunks[0], chunks[-1] + 1))
+    heads = {(r.key, r[hot.CHUNK]) for r in parts.heads.collect()}
+    for key, events in history.items():
+        assert {(key, chunk) for _, chunk in events if chunk > min(c for _, c in events)} <= heads
 
 
 @pytest.mark.parametrize("limit", [5, 60, 500])
@@ -85,8 +91,7 @@ def test_long_journeys_continue_in_segments(skewed, limit):
     joined = {}
     for key, parts in pieces.items():
         parts.sort()
-        assert parts[0][0] == 0
-        assert len({p[0] for p in parts}) == len(parts)
+        assert [p[0] for p in parts] == list(range(len(parts)))
         assert len({p[1:3] for p in parts}) == 1
         joined[key] = (*parts[0][1:3], [item for p in parts for item in p[3]])
     assert joined == expected
@@ -120,7 +125,7 @@ def test_every_positioned_type_splits(skewed, cast):
     split = sequence.with_next(df, KEY, ORDER, {"after": "id"}, chunk_rows=50)
     assert rows_of(split) == rows_of(plain)
     if cast != "decimal(12,2)":  # its values may lie closer than 1, so ties are not refined
-        sizes = hot.split(df, KEY, ORDER, 50)[1].groupBy("key", hot.CHUNK).count()
+        sizes = hot.split(df, KEY, ORDER, 50).hot.groupBy("key", hot.CHUNK).count()
         assert sizes.agg(F.max("count")).first()[0] <= 100
 
 
