@@ -32,8 +32,11 @@ def first_and_rest(
     keys, order = list(keys), list(order)
 
     def collect(frame: DataFrame, by: list[str]) -> DataFrame:
-        event = F.struct(*order, item)
-        return frame.groupBy(*by).agg(F.sort_array(F.collect_list(event)).alias("__events"))
+        # rows first, lists after: lists built before the shuffle would not shrink it
+        gathered = frame.select(*by, F.struct(*order, item).alias("__event")).repartition(*by)
+        return gathered.groupBy(*by).agg(
+            F.sort_array(F.collect_list("__event")).alias("__events")
+        )
 
     def finish(frame: DataFrame, opening, segment, rest, more=()) -> DataFrame:
         return frame.select(

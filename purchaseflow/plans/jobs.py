@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from purchaseflow.operators import quality
@@ -124,4 +124,5 @@ def publish(
 def _put_json(spark: SparkSession, document: Mapping[str, Any], path: str) -> None:
     """A small document as one line of text, written by Spark so any file system works."""
     line = json.dumps(document, sort_keys=True)
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    document_row = spark.range(1, numPartitions=1).select(F.lit(line).alias("value"))
+    document_row.write.mode("overwrite").text(path)

@@ -16,19 +16,25 @@ def write(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     num_files: int | None = None,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Writes ``df`` and returns its row count, observed during the write itself.
 
     With ``partition_by`` the rows are first rebalanced on those columns: Spark then
     gives a small value one file and spreads a large one over several tasks, instead
     of one file per value and task. ``num_files`` merges output tasks without a
-    shuffle.
+    shuffle. ``sort_by`` orders the whole output, or each file of a partitioned one;
+    name a unique column last, so that a frequent value can span several files.
     """
     chosen = fmt.lower()
     if chosen not in SINK_FORMATS:
         raise ValueError(f"unknown sink format '{fmt}', supported: {', '.join(SINK_FORMATS)}")
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        if sort_by:
+            df = df.sortWithinPartitions(*partition_by, *sort_by)
+    elif sort_by:
+        df = df.orderBy(*sort_by)
     if num_files is not None:
         df = df.coalesce(num_files)
     written = Observation()

@@ -107,6 +107,20 @@ def test_partitioned_write_makes_one_file_per_small_value(spark, tmp_path):
     assert len(list((tmp_path / "t").glob("part=*/*.parquet"))) == 3
 
 
+def test_sorted_write(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("id"))
+    write(df.repartition(4), str(tmp_path / "t"), sort_by=["id"], num_files=1)
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    assert [r.id for r in spark.read.parquet(str(file)).collect()] == list(range(1000))
+
+
+def test_sorted_partitioned_write(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("id"), F.lit("x").alias("part"))
+    write(df.repartition(4), str(tmp_path / "t"), partition_by=["part"], sort_by=["id"])
+    (file,) = (tmp_path / "t").glob("part=x/*.parquet")
+    assert [r.id for r in spark.read.parquet(str(file)).collect()] == list(range(1000))
+
+
 def test_num_files(spark, tmp_path):
     write(spark.range(1000).repartition(8), str(tmp_path / "t"), num_files=2)
     assert len(list((tmp_path / "t").glob("*.parquet"))) == 2
