@@ -30,10 +30,11 @@ def first_and_rest(
     few hot keys fetch their attributes first and are broadcast with them.
     """
     keys, order = list(keys), list(order)
+    fields = list(dict.fromkeys([*order, item]))
 
     def collect(frame: DataFrame, by: list[str]) -> DataFrame:
         # rows first, lists after: lists built before the shuffle would not shrink it
-        gathered = frame.select(*by, F.struct(*order, item).alias("__event")).repartition(*by)
+        gathered = frame.select(*by, F.struct(*fields).alias("__event")).repartition(*by)
         return gathered.groupBy(*by).agg(
             F.sort_array(F.collect_list("__event")).alias("__events")
         )
@@ -51,7 +52,7 @@ def first_and_rest(
     events = F.col("__events")
     items = events[item]
     tail = F.slice(items, F.lit(2), F.size(items))
-    parts = split(df.select(*keys, *order, item), keys, order, chunk_rows) if chunk_rows else None
+    parts = split(df.select(*keys, *fields), keys, order, chunk_rows) if chunk_rows else None
     ordinary = parts.ordinary if parts else df
     whole = finish(collect(ordinary, keys), events[0], F.lit(0), tail)
     if attributes is not None:
@@ -61,7 +62,7 @@ def first_and_rest(
 
     # the lowest chunk of a key is 0 or 1
     openings = parts.hot.filter(F.col(CHUNK) <= 1).groupBy(*keys).agg(
-        F.min(F.struct(*order, item)).alias("__opening"), F.min(CHUNK).alias("__from")
+        F.min(F.struct(*fields)).alias("__opening"), F.min(CHUNK).alias("__from")
     )
     more = []
     if attributes is not None:

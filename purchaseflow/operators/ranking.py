@@ -44,7 +44,8 @@ def totals(
 def top_k(df: DataFrame, order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
     """Rows of the first ``k`` dense ranks; full ties share a rank and all stay.
 
-    Spark limits each partition to its own first k ranks before the rows meet.
+    Spark limits each partition to its own first k ranks before the rows meet, so end
+    ``order`` with a unique column where very many rows may tie.
     """
     place = F.dense_rank().over(Window.orderBy(*order))
     return df.withColumn(rank, place).filter(F.col(rank) <= k)

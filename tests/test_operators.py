@@ -48,6 +48,11 @@ def test_journey_same_day_tie_follows_the_id(spark):
     assert (row.first_item, row.later_items) == ("B", ["A"])
 
 
+def test_journey_of_an_order_column(histories):
+    (row,) = journeys.first_and_rest(histories({1: "AB"}), KEY, ORDER, "id").collect()
+    assert (row.first_item, row.later_items) == (1, [2])
+
+
 def test_journey_needs_both_sides_of_the_dimension(histories, spark):
     people = spark.createDataFrame([(1, "Ann"), (3, "Cid")], "key int, name string")
     df = histories({1: "AB", 2: "AB"})
