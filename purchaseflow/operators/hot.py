@@ -8,16 +8,18 @@ chunks of a key follow one another.
 
 Finding the hot keys runs short jobs when the operator is built: a row count, which
 ends the search if the whole table fits one task, one pass over the key columns, and
-for hot keys one sample. So pass a table, or a light projection of one, rather than
-an expensive plan. What the jobs fetch is bounded by arithmetic: a key is hot only
+for hot keys one sample. So pass a table, or a light projection of one, whose rows are
+the same each time it is read, rather than an expensive plan. What the jobs fetch is bounded by arithmetic: a key is hot only
 above ``max(chunk_rows, table rows / MAX_HOT_KEYS)`` rows, so there are at most
 MAX_HOT_KEYS of them however large the table, and on average at most
-MAX_HOT_KEYS * SAMPLE sampled numbers (200 MB if every row were in a hot key). Both
+MAX_HOT_KEYS * SAMPLE sampled numbers (160 MB if every row were in a hot key). Both
 are fixed once fetched: a lost executor that recomputes its part finds the same chunks
 again. The sample decides where chunks end, never which rows count.
 
-The limits suit a task and an array: a trillion rows give a limit of two million, a
-few hundred megabytes as one collected list, well below the 2 GB a row may take.
+The limits suit a task and an array: a trillion rows give a limit of five million, a
+few hundred megabytes as one collected list, well below the 2 GB a row may take. They
+also bound the cuts, which reach the JVM one at a time: at most 4/3 * MAX_HOT_KEYS, or
+some 25 seconds at the very worst.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ from purchaseflow.functions import EXACT, position
 
 CHUNK = "__chunk"
 CHUNK_ROWS = 1_000_000
-MAX_HOT_KEYS = 500_000
-SAMPLE = 50  # rows sampled, on average, from as many rows as one task should hold
+MAX_HOT_KEYS = 200_000
+SAMPLE = 100  # rows sampled, on average, from as many rows as one task should hold
 
-_PLACE, _NUMBER = "__place", "__number"
+_PLACE, _NUMBER, _START = "__place", "__number", "__start"
 
 
 @dataclass(frozen=True)
@@ -66,26 +68,28 @@ def split(
     limit = max(chunk_rows, total // MAX_HOT_KEYS)
     if total <= limit:
         return None
-    positions = _positions(df, order)
-    hot = _hot_keys(df, keys, positions, limit)
-    if hot is None:
+    spark, positions = df.sparkSession, _positions(df, order)
+    found = _hot_keys(df, keys, positions, limit)
+    if not found.num_rows:
         return None
+    numbers = np.arange(found.num_rows, dtype="float64")
+    found = found.append_column(_NUMBER, pa.array(numbers))
+
+    place = _place(positions).alias(_PLACE)
+    narrow = df.select(*keys, *dict.fromkeys(order))
+    cuts = _cuts(match(narrow, spark.createDataFrame(found), keys, "inner").select(place), limit)
+    start = np.searchsorted(cuts, numbers, side="right").astype("float64")
+    hot = spark.createDataFrame(found.append_column(_START, pa.array(start)))
 
-    place = _place(positions)
-    narrow = match(df.select(*keys, *dict.fromkeys(order)), hot, keys, "inner")
-    cuts = _cuts(narrow.select(place.alias(_PLACE)), limit)
-    bounds = [float("-inf"), *cuts, float("inf")]
     bucketizer = Bucketizer(
-        splitsArray=[bounds, bounds],
-        inputCols=[_PLACE, _NUMBER],
-        outputCols=["__bucket", "__start"],
+        splits=[-np.inf, *cuts.tolist(), np.inf], inputCol=_PLACE, outputCol="__bucket"
     )
-    placed = match(df, hot, keys, "inner").select(*df.columns, place.alias(_PLACE), _NUMBER)
-    chunk = (F.col("__bucket") - F.col("__start")).cast("long")
-    chunked = bucketizer.transform(placed).select(*df.columns, chunk.alias(CHUNK), _PLACE)
+    placed = match(df, hot, keys, "inner").select(*df.columns, place, _START)
+    chunk = (F.col("__bucket") - F.col(_START)).cast("long").alias(CHUNK)
+    chunked = bucketizer.transform(placed).select(*df.columns, chunk, _PLACE)
 
     # a cut is the place of some row, so the row that opens a chunk lies on its cut
-    opening = df.sparkSession.createDataFrame(pa.table({_PLACE: cuts}))
+    opening = spark.createDataFrame(pa.table({_PLACE: cuts}))
     return Split(
         ordinary=match(df, hot.select(*keys), keys, "left_anti"),
         hot=chunked.drop(_PLACE),
@@ -119,15 +123,15 @@ def _positions(df: DataFrame, order: list[str]) -> list[Column]:
 
 def _hot_keys(
     df: DataFrame, keys: list[str], positions: list[Column], limit: int
-) -> DataFrame | None:
-    """Keys with more than ``limit`` rows: a running number and the range of positions.
+) -> pa.Table:
+    """Keys with more than ``limit`` rows and their range of positions.
 
     A sample names the candidates, so the pass over all keys shuffles next to
     nothing; counts of the candidates are exact. A key at the limit would have to
     show up at half its expected number to be missed, and would then merely stay
     whole.
     """
-    rate = min(1.0, 10 * SAMPLE / limit)
+    rate = min(1.0, 5 * SAMPLE / limit)
     candidates = (
         df.select(*keys)
         .sample(rate, seed=1)
@@ -141,7 +145,7 @@ def _hot_keys(
         for i, value in enumerate(positions)
         for name, agg in (("lo", F.min), ("hi", F.max))
     ]
-    found = (
+    return (
         match(df, candidates, keys, "inner")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"), *ranges)
@@ -149,10 +153,6 @@ def _hot_keys(
         .drop("__rows")
         .toArrow()
     )
-    if not found.num_rows:
-        return None
-    numbers = pa.array(range(found.num_rows), pa.float64())
-    return df.sparkSession.createDataFrame(found.append_column(_NUMBER, numbers))
 
 
 def _place(positions: list[Column]) -> Column:
@@ -172,9 +172,10 @@ def _place(positions: list[Column]) -> Column:
     return F.col(_NUMBER) + (along + 1) / (hi - lo + 3)
 
 
-def _cuts(places: DataFrame, limit: int) -> list[float]:
-    """Places where a chunk begins, about half of ``limit`` rows apart."""
+def _cuts(places: DataFrame, limit: int) -> np.ndarray:
+    """Places where a chunk begins, in order, about three quarters of ``limit`` apart."""
     rate = min(1.0, SAMPLE / limit)
     seen = places.sample(rate, seed=2).toArrow().column(0).to_numpy()
-    apart = max(1, round(rate * limit / 2))
-    return [float(x) for x in np.unique(np.sort(seen)[::apart])] or [0.0]
+    apart = max(1, round(rate * limit * 3 / 4))
+    cuts = np.unique(np.sort(seen)[::apart])
+    return cuts if cuts.size else np.zeros(1)
