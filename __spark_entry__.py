@@ -7,7 +7,11 @@ second history.
 
 from __future__ import annotations
 
+import functools
+import importlib
+import tempfile
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -16,7 +20,7 @@ from purchaseflow.operators import journeys, quality, ranking, sequence, sets, s
 from purchaseflow.operators.enrich import with_dimension
 from purchaseflow.plans import jobs, purchases
 from purchaseflow.sources import Source, read, write
-from purchaseflow.sources.scratch import scratch_dir
+from purchaseflow.sources.scratch import SETTING, scratch_dir
 
 KEY = ["cid"]
 HISTORY = ["d", "tid"]
@@ -24,6 +28,33 @@ HISTORY = ["d", "tid"]
 LOW_LIMIT = 12
 
 
+def _optional(name: str) -> ModuleType | None:
+    """Module ``name``, or None where it (or the package that holds it) was removed."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not f"{name}.".startswith(f"{missing.name}."):
+            raise
+        return None
+
+
+_llm = _optional("purchaseflow.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _llm else None
+
+
+def _with_folder(query: Callable[[SparkSession, str], DataFrame]):
+    """``query`` with a folder for intermediate tables, chosen here for a local session."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        known = (spark.conf.get(name, None) for name in ("spark.checkpoint.dir", SETTING))
+        if not any(known) and spark.sparkContext.master.split("[")[0] == "local":
+            spark.conf.set(SETTING, tempfile.mkdtemp(prefix="purchaseflow-"))
+        return query(spark, sf)
+
+    return run
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read(spark, Source("parquet", f"{sf}/{name}.parquet"))
 
@@ -356,7 +387,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         job_top_products,
         job_quality,
     ]
-    return {query.__name__: query for query in listed}
+    found = {query.__name__: query for query in listed}
+    if _llm:
+        found |= _llm.queries()
+    if _pipeline:
+        found["pipeline"] = _pipeline.run
+    return {name: _with_folder(query) for name, query in found.items()}
 
 
 _TX = """tx as (select o_orderkey as tid, o_custkey as cid, o_orderpriority as item,
@@ -401,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
     seq_next_sql = f"with {_TX}, {_NEXT} select * from nx"
     follow_sql = f"{_FOLLOW} select * from fu"
     union_of_checks = " union all ".join(f"({sql})" for sql in _DQ.values())
-    return {
+    found = {
         "seq_next": seq_next_sql,
         "seq_next_hot": seq_next_sql,
         "seq_followed_by": follow_sql,
@@ -470,3 +506,8 @@ union all select 'transaction_rows', count(*) from orders
 union all select 'product_rows', count(distinct case when o_orderpriority < '4' then
   o_orderpriority else 'iPad' end) from orders""",
     }
+    if _llm:
+        found |= _llm.oracle_sql()
+    if _pipeline and _pipeline.ORACLE_SQL:
+        found["pipeline"] = _pipeline.ORACLE_SQL
+    return found

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+SETTING = "purchaseflow.shared.dir"
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, the shared folder of the cluster.
 
-    Where the setting is absent, a local session gets a temporary folder and a
-    cluster session an error, since its executors share no local disk.
+def scratch_dir(spark: SparkSession, purpose: str, base: str | None = None) -> str:
+    """A fresh path in a folder that the driver and all executors share.
+
+    The folder is ``base``, or else the session's ``spark.checkpoint.dir``, or else its
+    SETTING, which unlike the former can be set on a running session. Without any of
+    them this fails: a folder of one machine would work until a second one reads it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SETTING, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="purchaseflow-")
+        raise ValueError(
+            f"set spark.checkpoint.dir or {SETTING} to a folder all executors share"
+        )
     return f"{base.rstrip('/')}/purchaseflow-{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str, base: str | None = None) -> DataFrame:
+    """``df`` written to a fresh shared folder and read again.
+
+    Ends a lineage: what follows reads files, so a lost executor costs no more than
+    reading its part again, and every reader sees the same rows.
+    """
+    path = scratch_dir(df.sparkSession, purpose, base)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
