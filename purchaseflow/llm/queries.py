@@ -6,13 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from purchaseflow.llm import exact_dedup, fingerprints, line_dedup
+from purchaseflow.llm import exact_dedup, fingerprints, langid, line_dedup, packing, toxicity
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(_table(spark, sf, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf, "labels")))
+
+
 def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.with_edited(_table(spark, sf, "documents"))
 
@@ -32,8 +47,12 @@ def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op5_fingerprints, op7_exact_dedup, op9_line_dedup]
+    listed = [op1_language_id, op3_toxicity, op5_fingerprints, op7_exact_dedup, op9_line_dedup, op10_packing]
     return {query.__name__: query for query in listed}
 
 
