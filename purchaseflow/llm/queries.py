@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from purchaseflow.llm import exact_dedup, fingerprints, langid, line_dedup, packing, toxicity
+from purchaseflow.llm import (
+    exact_dedup,
+    fingerprints,
+    langid,
+    line_dedup,
+    ngram_join,
+    packing,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -23,6 +31,11 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(_table(spark, sf, "documents"))
 
 
+def op2_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Per document: its class of near copies and how many texts and documents it resembles."""
+    return ngram_join.similar(_table(spark, sf, "documents")).drop("kd", "kh")
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf, "labels")))
@@ -52,7 +65,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_language_id, op3_toxicity, op5_fingerprints, op7_exact_dedup, op9_line_dedup, op10_packing]
+    listed = [op1_language_id, op2_ngram_join, op3_toxicity, op5_fingerprints, op7_exact_dedup, op9_line_dedup, op10_packing]
     return {query.__name__: query for query in listed}
 
 
