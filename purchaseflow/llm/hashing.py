@@ -23,15 +23,15 @@ def _table(test: str) -> np.ndarray:
 
 
 @cache
-def _powers() -> tuple[np.ndarray, np.ndarray]:
+def powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of _BASE and of its inverse modulo 2^64."""
 
-    def powers(base: int) -> np.ndarray:
+    def up_from(base: int) -> np.ndarray:
         steps = np.full(PIECE + 1, np.uint64(base))
         steps[0] = 1
         return np.multiply.accumulate(steps)
 
-    return powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+    return up_from(_BASE), up_from(pow(_BASE, -1, 1 << 64))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def words(text: str, part: str = "isspace", inside: bool = False) -> np.ndarray:
             word = ~word
         edge = np.flatnonzero(np.diff(word.astype(np.int8), prepend=0, append=0))
         start, end = edge[0::2], edge[1::2]
-        power, inverse = _powers()
+        power, inverse = powers()
         total = np.zeros(code.size + 1, dtype=np.uint64)
         np.cumsum((code + np.uint64(1)) * power[: code.size], out=total[1:])
         value = (total[end] - total[start]) * inverse[start]

@@ -10,9 +10,12 @@ from purchaseflow.llm import (
     exact_dedup,
     fingerprints,
     langid,
+    licenses,
     line_dedup,
     ngram_join,
     packing,
+    pieces,
+    pii,
     toxicity,
 )
 
@@ -41,14 +44,29 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf, "labels")))
 
 
+def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sampled segmentations of each document, with their digest instead of the ids."""
+    model = _tokenizer("piece_bpe_32k.model")
+    return pieces.encode(_table(spark, sf, "documents"), model, with_ids=False)
+
+
 def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.with_edited(_table(spark, sf, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return pii.detect(docs, pii.fit(docs))
+
+
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Per document: lines, lines deleted, and the text that is left."""
     return line_dedup.dedup_lines(_table(spark, sf, "documents")).select(
@@ -65,7 +83,18 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    listed = [op1_language_id, op2_ngram_join, op3_toxicity, op5_fingerprints, op7_exact_dedup, op9_line_dedup, op10_packing]
+    listed = [
+        op1_language_id,
+        op2_ngram_join,
+        op3_toxicity,
+        op4_sentencepiece,
+        op5_fingerprints,
+        op6_pii,
+        op7_exact_dedup,
+        op8_license_scan,
+        op9_line_dedup,
+        op10_packing,
+    ]
     return {query.__name__: query for query in listed}
 
 
