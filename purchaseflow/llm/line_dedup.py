@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from purchaseflow.llm.keys import HASH, ID, TEXT, keyed, same_key
+from purchaseflow.llm.keys import HASH, ID, TEXT, keyed, same_key, text_hash
 from purchaseflow.sources.scratch import staged
 
 MIN_WORDS = 25
@@ -167,20 +167,16 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Other columns stay as they are, ``n_chars`` is counted anew.
     """
-    gone = deleted_lines(docs).withColumnsRenamed({ID: "__gone_id", HASH: "__gone_hash"})
+    names = {ID: "__gone_id", HASH: "__gone_hash", "gone": "__gone"}
+    gone = deleted_lines(docs).withColumnsRenamed(names)
     same = docs["doc_id"].eqNullSafe(gone["__gone_id"]) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["__gone_hash"]
+        text_hash(docs["text"]) == gone["__gone_hash"]
     )
-    touched = F.col("gone").isNotNull()
-    left = F.when(touched, without("text", F.col("gone"))).otherwise(F.col("text"))
+    touched = F.col("__gone").isNotNull()
+    left = F.when(touched, without("text", F.col("__gone"))).otherwise(F.col("text"))
     joined = docs.join(gone, same, "left").withColumn("__left", left)
-    return joined.filter(~touched | F.col("__left").rlike(r"\S")).select(
-        *[
-            F.col("__left").alias(c)
-            if c == "text"
-            else F.length("__left").cast(docs.schema[c].dataType).alias(c)
-            if c == "n_chars"
-            else F.col(c)
-            for c in docs.columns
-        ]
-    )
+    anew = {"text": F.col("__left")}
+    if "n_chars" in docs.columns:
+        anew["n_chars"] = F.length("__left").cast(docs.schema["n_chars"].dataType)
+    kept = joined.filter(~touched | F.col("__left").rlike(r"\S"))
+    return kept.select(*[anew.get(c, F.col(c)).alias(c) for c in docs.columns])

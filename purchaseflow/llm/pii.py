@@ -335,12 +335,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     def mask(texts: pd.Series) -> pd.Series:
         return pd.Series([masked(text, model) for text in texts], dtype=object)
 
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(F.col("__masked").alias(c))
-        elif c == "n_chars":
-            columns.append(F.length("__masked").cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(F.col(c))
-    return docs.withColumn("__masked", mask("text")).select(*columns)
+    anew = {"text": F.col("__masked")}
+    if "n_chars" in docs.columns:
+        anew["n_chars"] = F.length("__masked").cast(docs.schema["n_chars"].dataType)
+    hidden = docs.withColumn("__masked", mask("text"))
+    return hidden.select(*[anew.get(c, F.col(c)).alias(c) for c in docs.columns])

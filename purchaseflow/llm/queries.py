@@ -98,5 +98,58 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in listed}
 
 
+_SIMILAR = """with recursive w as (select doc_id,
+    string_split_regex(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') as ws
+  from documents where regexp_matches(text, '\\S')),
+s as (select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as run
+  from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c
+  from s a join s b using (run) where a.doc_id <> b.doc_id group by all),
+l as (select a, b, c = na.n and c = nb.n as same from p
+  join n na on na.doc_id = a join n nb on nb.doc_id = b where 5 * c >= 4 * (na.n + nb.n - c)),
+own as (select d.doc_id, least(d.doc_id, min(l.b)) as first
+  from documents d left join l on l.a = d.doc_id and l.same group by d.doc_id),
+reach as (select doc_id as a, doc_id as m from documents
+  union select l.a, reach.m from reach join l on l.b = reach.a),
+c as (select a as doc_id, min(m) as class_id from reach group by a)
+select c.doc_id, class_id, count(distinct case when not same then own.first end) as n_links,
+  count(l.b) as n_similar, c.doc_id = class_id as representative
+from c left join l on l.a = c.doc_id left join own on own.doc_id = l.b
+group by c.doc_id, class_id"""
+
+_COPIES = """select doc_id, max(doc_id) over (partition by text) as keep_id,
+  count(*) over (partition by text) as group_size,
+  doc_id = max(doc_id) over (partition by text) as kept, sha256(coalesce(text, '')) as text_sha256
+from documents"""
+
+_LINES = f"""with split as (select doc_id, string_split(text, chr(10)) as lines from documents),
+every as (select doc_id, unnest(lines) as raw, generate_subscripts(lines, 1) as pos from split),
+l as (select *, trim(raw, ' ' || chr(9) || chr(13)) as line from every),
+w as (select *, 1 + length(line) - length(replace(line, ' ', '')) as words from l where line <> ''),
+u as (select *, sum(words) over (partition by doc_id order by pos) as upto from w),
+v as (select *, upto - words as before from u),
+x as (select doc_id, pos as start, max(pos) over ahead as stop,
+    array_to_string(list(line) over ahead, chr(10)) as run, sum(words) over ahead as total
+  from v window ahead as (partition by doc_id order by before
+    range between current row and {line_dedup.MIN_WORDS - 1} following)
+  union all select doc_id, min(pos) over behind, pos,
+    array_to_string(list(line) over behind, chr(10)), sum(words) over behind
+  from v window behind as (partition by doc_id order by upto
+    range between {line_dedup.MIN_WORDS - 1} preceding and current row)),
+y as (select * from x where total >= {line_dedup.MIN_WORDS}),
+z as (select *, min((doc_id, start)) over (partition by run) as first from y),
+gone as (select distinct doc_id, unnest(range(start, stop + 1)) as pos from z
+  where (doc_id, start) > first),
+kept as (select e.doc_id, count(*) as n_lines, count(g.pos) as n_deleted,
+    coalesce(string_agg(raw, chr(10) order by e.pos) filter (g.pos is null), '') as text
+  from every e left join gone g on g.doc_id = e.doc_id and g.pos = e.pos group by e.doc_id)
+select doc_id, n_lines, n_deleted, length(text) as n_chars, sha256(text) as text_sha256 from kept"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_ngram_join": _SIMILAR,
+        "op7_exact_dedup": _COPIES,
+        "op9_line_dedup": _LINES,
+    }
