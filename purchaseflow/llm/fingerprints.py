@@ -136,9 +136,12 @@ KEY = ["__present", "__id", "__hash"]
 
 
 def _rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Key without nulls, and text: an absent id is ``__present`` false and 0."""
+    """Key without nulls, and text: an absent id is ``__present`` false and 0.
+
+    The id itself is left to be read from the key: with one column more or less on one
+    side, the joins below could not share their shuffle.
+    """
     return keyed(df, doc_id, text).select(
-        F.col("__id").alias("doc_id"),
         F.col("__id").isNotNull().alias("__present"),
         F.coalesce("__id", F.lit(0)).alias("__id"),
         "__hash",
@@ -215,7 +218,7 @@ def with_edited(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         rows.join(openings, KEY)
         .withColumn("__edited", F.concat(kept, "__opening"))
         .select(
-            "doc_id",
+            F.when(F.col("__present"), F.col("__id")).alias("doc_id"),
             chars.cast("long").alias("n_chars"),
             F.sha2("__edited", 256).alias("edited_sha256"),
             "__print",
