@@ -14,7 +14,8 @@ each of its lines, so the outcome is exact up to 128-bit hash collisions:
     also begins at an earlier place, places being ordered by (doc_id, text hash, line).
 
 Defined results: null text is empty text and has no line to delete; a null doc_id comes
-first; lines without words never begin or end a run, inside one they go with it; rows
+first; lines without words never begin or end a run, and go with a run around them that would
+be too short without its first or its last line; rows
 equal in doc_id and text are one document and are treated alike; words are counted by
 single spaces. Groups of equal windows are reduced to their first place by a partial
 aggregate before any shuffle, and the join back is one that Spark splits when skewed, so
