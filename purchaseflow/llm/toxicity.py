@@ -32,7 +32,7 @@ SAMPLE = 2048
 FOLDS = 5
 FEATURES = 1024
 LOG2_BUCKETS = 18
-THRESHOLD = 0.5
+THRESHOLD = 0.4  # on held-out labels it catches more than 0.5 and no more clean texts
 TOXIC = "toxic"
 PENALTY = 1e-4
 

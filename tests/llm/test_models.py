@@ -1,0 +1,191 @@
+"""Language, toxicity and personal data: held-out accuracy, planted cases, exact bases."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from purchaseflow.llm import langid, pii, queries, toxicity
+
+WORDS = {
+    "en": "the and of to in is that with for on was are this have from they which",
+    "de": "der die und das ist nicht ein mit auf dem sich für von werden auch nach",
+    "fr": "le la les des est dans une pour qui sur avec pas plus sont cette mais",
+    "es": "el los las del que una por con para como pero más este sus entre sobre",
+}
+
+
+def speech(lang, n=40, seed=0):
+    return " ".join(random.Random(seed).choices(WORDS[lang].split(), k=n))
+
+
+def test_language_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.op1_language_id(spark, sf).collect()
+    assert len(rows) == len(truth)
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {d for d in truth if zlib.crc32(str(d).encode()) % 3 == 1}
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) / len(held) > 0.98
+    assert all(0 < r["score"] <= 1 for r in rows)
+
+
+def test_held_out_labels_teach_nothing(docs):
+    rows = [(i, speech(lang, seed=i), lang) for i in range(200) for lang in [list(WORDS)[i % 4]]]
+    real = docs([(i, t) for i, t, _ in rows]).sparkSession.createDataFrame(
+        rows, "doc_id long, text string, lang string"
+    )
+    held = [zlib.crc32(str(i).encode()) % 3 == 1 for i in range(200)]
+    wrong = real.sparkSession.createDataFrame(
+        [(i, t, "xx" if held[i] else lang) for i, t, lang in rows],
+        "doc_id long, text string, lang string",
+    )
+    a, b = langid.identify(real).collect(), langid.identify(wrong).collect()
+    assert sorted(a) == sorted(b)
+    assert all(r["lang_pred"] == rows[r["doc_id"]][2] for r in a)
+
+
+def test_language_of_odd_rows_and_none(spark, odd, none):
+    rows = langid.identify(odd).collect()
+    assert len(rows) == odd.count()
+    for r, text in zip(rows, [x["text"] for x in odd.collect()], strict=True):
+        blank = not any(c.isalpha() for c in text or "")
+        assert (r["lang_pred"] == "und") == blank
+        assert (r["score"] == 0) == blank
+    assert langid.identify(none).count() == 0
+    unlabelled = odd.withColumn("lang", odd["lang"].substr(9, 1)).filter("lang = 'zz' or true")
+    nothing = unlabelled.selectExpr("doc_id", "text", "cast(null as string) lang")
+    assert {r["lang_pred"] for r in langid.identify(nothing).collect()} == {"und"}
+
+
+def test_language_stage_keeps_what_has_a_language(spark, odd):
+    out = langid.stage(spark, odd, "")
+    assert out.columns == odd.columns
+    texts = [r["text"] for r in out.collect()]
+    assert sorted(texts) == sorted(
+        r["text"] for r in odd.collect() if any(c.isalpha() for c in r["text"] or "")
+    )
+
+
+def test_families_first_and_pairs_within():
+    rng = np.random.default_rng(0)
+    names = np.array(["en", "de", "nl", "fr", "es", "tlh"], dtype=object).repeat(30)
+    centre = {n: rng.standard_normal(langid.BUCKETS) for n in set(names)}
+    x = np.stack([centre[n] + rng.standard_normal(langid.BUCKETS) for n in names])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    model = langid.train(x, names)
+    assert [f[0] for f in model.families] == ["germanic", "other", "romance"]
+    assert {(k, i, j) for k, i, j in model.pairs} == {(0, 0, 1), (0, 0, 2), (0, 1, 2), (2, 0, 1)}
+
+
+def test_toxic_texts_are_caught_and_clean_ones_left(spark, docs):
+    rng = random.Random(2)
+    bad = ["idiot", "moron", "stupid", "scum", "trash", "pathetic"]
+    rows, labels = [], []
+    for i in range(900):
+        words = [f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(80)]
+        toxic = i % 6 == 0
+        if toxic:
+            for w in rng.sample(bad, 3):
+                words[rng.randrange(80)] = w
+        rows.append((i, " ".join(words)))
+        if i < 600:
+            labels.append((i, int(toxic)))
+    label = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = toxicity.score(docs(rows), toxicity.fit(docs(rows), label)).collect()
+    unseen = [r for r in found if r["doc_id"] >= 600]
+    assert all(r["toxic"] == (r["doc_id"] % 6 == 0) for r in unseen)
+    assert {"p_insult", "p_demeaning", "p_toxic"} < set(found[0].asDict())
+
+
+def test_later_models_use_earlier_categories():
+    rng = np.random.default_rng(1)
+    first = rng.random(600) < 0.5
+    rows = [np.array([7] if f else [8]) for f in first]
+    chain = toxicity.train(
+        rows, {"one": first}, first, np.ones(600), rng.integers(0, toxicity.FOLDS, 600)
+    )
+    assert chain.models[1][1].earlier.shape == (1,)
+    assert chain.models[1][1].earlier[0] > 0
+
+
+def test_toxicity_of_odd_rows_and_without_labels(spark, odd, none):
+    label = spark.createDataFrame([], "doc_id long, toxic int")
+    rows = toxicity.score(odd, toxicity.fit(odd, label)).collect()
+    assert len(rows) == odd.count()
+    assert not any(r["toxic"] for r in rows)
+    some = spark.createDataFrame([(6, 1), (6, 0), (5, 0), (None, 1), (8, None), (77, 1)], label.schema)
+    assert toxicity.score(odd, toxicity.fit(odd, some)).count() == odd.count()
+    assert toxicity.score(none, toxicity.fit(none, some)).count() == 0
+
+
+def brute_base(text):
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((*m.span(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((*m.span(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        doubled = [d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(digits[::-1])]
+        if 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+            found.append((*m.span(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            found.append((*m.span(), "phone"))
+    return sorted(found, key=lambda s: (s[0], pii.BASE.index(s[2])))
+
+
+def test_base_spans_are_what_the_patterns_find():
+    rng = random.Random(4)
+    for _ in range(30_000):
+        letters = rng.choice(["a@.b-_%+ 1", "0123456789. ", "+1 (0)-.5 ", "019 -", "a@b.c@é"])
+        text = "".join(rng.choices(letters, k=rng.randint(0, 40)))
+        assert pii.base_spans(text)[0] == brute_base(text)
+
+
+def test_added_spans_follow_the_votes(docs):
+    texts = [f"please call 030 {n} 4567 now" for n in range(200, 240)]
+    texts += [f"invoice ref 99{n} 1234 5678 9012 3456 item" for n in range(10, 50)]
+    texts += [f"mail me+{n}@host.com or jo{n} (at) host (dot) org" for n in range(40)]
+    frame = docs(texts)
+    model = pii.fit(frame)
+    rows = {r["doc_id"]: r for r in pii.detect(frame, model).collect()}
+    for i, text in enumerate(texts):
+        base, every = pii.spans(text, model)
+        assert set(base) <= set(every)
+        assert rows[i]["spans"] == ",".join(f"{k}:{s}:{e}" for s, e, k in every)
+        assert all(a[1] <= b[0] for a, b in zip(every, every[1:], strict=False))
+    assert rows[85]["spans"].count("email") == 2
+    assert pii.masked("write me@host.com", model) == "write <EMAIL>"
+
+
+def test_em_trusts_the_reliable_labeler():
+    cells = Counter()
+    for _ in range(500):
+        cells["id,1,1,0,1,d3,s1"] += 1
+        cells["id,-1,-1,0,1,d3,s1"] += 1
+        cells["id,1,1,0,-1,d3,s1"] += 1
+        cells["id,-1,-1,0,-1,d3,s1"] += 1
+    likely, rates = pii.reliabilities(cells)
+    assert likely["id,1,1,0,-1,d3,s1"] > 0.9 > 0.1 > likely["id,-1,-1,0,1,d3,s1"]
+    assert rates[0, 1, 2] > 0.9 > abs(rates[3, 1, 2] - rates[3, 0, 2]) + 0.7
+
+
+def test_personal_data_of_odd_rows(spark, odd, none):
+    model = pii.fit(odd)
+    rows = pii.detect(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert all(r["spans"] == "" and r["n_email"] == 0 for r in rows)
+    assert pii.fit(none) == {}
+    assert pii.detect(none, {}).count() == 0
+    out = pii.stage(spark, odd, "")
+    assert out.columns == odd.columns
+    assert Counter(out.select("text").collect()) == Counter(odd.select("text").collect())
+    huge = "1" * 200_000 + " a" + "." * 1000 + "@" + "b" * 100_000
+    assert pii.base_spans(huge)[0] == []
