@@ -155,19 +155,37 @@ def journey(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def journey_hot(spark: SparkSession, sf: str) -> DataFrame:
-    """Long journeys over several rows: their length and both ends after joining up."""
-    pieces = journeys.first_and_rest(
-        _purchases(spark, sf), KEY, HISTORY, "item", chunk_rows=LOW_LIMIT
+def _listed(pages: DataFrame) -> DataFrame:
+    return pages.select(
+        "cid",
+        "first_item",
+        "first_d",
+        "segment",
+        F.array_join("later_items", ",").alias("later_items"),
     )
-    held = F.when(F.size("later_items") > 0, F.col("segment"))
-    return pieces.groupBy("cid", "first_item", "first_d").agg(
-        F.sum(F.size("later_items")).cast("long").alias("later_count"),
-        F.min_by(F.get("later_items", F.lit(0)), held).alias("second_item"),
-        F.max_by(F.try_element_at("later_items", F.lit(-1)), held).alias("last_item"),
+
+
+def journey_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Journeys in pages of three items."""
+    bought = _purchases(spark, sf)
+    return _listed(journeys.first_and_rest(bought, KEY, HISTORY, "item", page_items=3))
+
+
+def journey_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The same pages from chunks: where a history is cut never shows."""
+    bought = _purchases(spark, sf)
+    return _listed(
+        journeys.first_and_rest(
+            bought, KEY, HISTORY, "item", chunk_rows=LOW_LIMIT, page_items=3
+        )
     )
 
 
+def journey_long(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per later purchase with its exact position."""
+    return journeys.later_items(_purchases(spark, sf), KEY, HISTORY, "item", LOW_LIMIT)
+
+
 def topk_revenue(spark: SparkSession, sf: str) -> DataFrame:
     sold = _table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
     parts = _table(spark, sf, "part")
@@ -179,8 +197,18 @@ def topk_revenue(spark: SparkSession, sf: str) -> DataFrame:
         counted="l_orderkey",
         price="p_retailprice",
     )
-    order = [F.desc("revenue"), F.desc("units"), F.asc("p_partkey")]
-    return ranking.top_k(sales, order, 3, "revenue_rank")
+    return ranking.top_k(sales, ["-revenue", "-units", "p_partkey"], 3, "revenue_rank")
+
+
+def topk_large(spark: SparkSession, sf: str) -> DataFrame:
+    """The first 1,500 order values over all sales, ties included."""
+    sold = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    priced = with_dimension(
+        sold,
+        _table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"),
+        "l_partkey",
+    )
+    return ranking.top_k(priced, ["-p_retailprice", "l_partkey", "l_linenumber"], 1500, "place")
 
 
 def counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,10 +351,10 @@ def _raw_inputs(spark: SparkSession, sf: str) -> str:
     return raw
 
 
-def _run_job(spark: SparkSession, sf: str):
+def _run_job(spark: SparkSession, sf: str, names=purchases.NAMES):
     work = scratch_dir(spark, "work")
     sources = jobs.prepare(spark, _raw_inputs(spark, sf), work, wide_ids=True)
-    results, report = jobs.run(spark, sources, staging_dir=f"{work}/staged")
+    results, report = jobs.run(spark, sources, f"{work}/staged", names)
     return results, report, f"{work}/out"
 
 
@@ -337,18 +365,66 @@ def job_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "output string, row_count long")
 
 
+def _published(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    results, report, out = _run_job(spark, sf, [name])
+    manifest = jobs.publish(spark, results, report, out, ordered=True)
+    return read(spark, Source("parquet", manifest[name]["path"]))
+
+
 def job_top_products(spark: SparkSession, sf: str) -> DataFrame:
-    results, report, out = _run_job(spark, sf)
-    only = {"top_products": results["top_products"]}
-    manifest = jobs.publish(spark, only, report, out)
-    return read(spark, Source("parquet", manifest["top_products"]["path"]))
+    return _published(spark, sf, "top_products")
+
+
+def job_follow_ups(spark: SparkSession, sf: str) -> DataFrame:
+    return _published(spark, sf, "iphone_then_airpods")
+
+
+def job_exact_sets(spark: SparkSession, sf: str) -> DataFrame:
+    found = _published(spark, sf, "only_iphone_airpods")
+    return found.withColumn("products", F.array_join("products", ","))
+
+
+def job_journeys(spark: SparkSession, sf: str) -> DataFrame:
+    found = _published(spark, sf, "subsequent_purchases")
+    return found.withColumn("subsequent_products", F.array_join("subsequent_products", ","))
+
+
+def job_mean_delay(spark: SparkSession, sf: str) -> DataFrame:
+    return _published(spark, sf, "average_purchase_delay")
 
 
 def job_quality(spark: SparkSession, sf: str) -> DataFrame:
-    report = _run_job(spark, sf)[1]
+    report = _run_job(spark, sf, [])[1]
     return spark.createDataFrame(list(report.items()), "check string, value long")
 
 
+def job_quality_dirty(spark: SparkSession, sf: str) -> DataFrame:
+    """The gate's report, not enforced, over inputs with faults of every kind."""
+    bought, people, parts = (_table(spark, sf, t) for t in ("orders", "customer", "part"))
+    tx = bought.select(
+        (F.col("o_orderkey") - F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).alias(
+            "transaction_id"
+        ),
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_custkey")).alias("customer_id"),
+        F.concat(F.lit("p"), (F.col("o_orderkey") % 60).cast("string")).alias("product_name"),
+        F.to_date("o_orderdate").alias("transaction_date"),
+    )
+    buyers = people.filter(F.col("c_custkey") % 5 != 0).select(
+        F.floor(F.col("c_custkey") / 2).cast("long").alias("customer_id"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_name")).alias("customer_name"),
+        F.lit("2020-01-01").cast("date").alias("join_date"),
+        F.col("c_nationkey").cast("string").alias("location"),
+    )
+    goods = parts.select(
+        F.col("p_partkey").alias("product_id"),
+        F.concat(F.lit("p"), (F.col("p_partkey") % 50).cast("string")).alias("product_name"),
+        F.when(F.col("p_size") != 9, F.col("p_type")).alias("category"),
+        (F.col("p_retailprice") - 1200.0).alias("price"),
+    )
+    report = purchases.quality_report(purchases.Inputs(tx, buyers, goods))
+    return report.select("check", "value")
+
+
 # --- contract --------------------------------------------------------------------
 
 
@@ -368,8 +444,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         seq_events_hot,
         set_exactly,
         journey,
+        journey_pages,
         journey_hot,
+        journey_long,
         topk_revenue,
+        topk_large,
         counts,
         map_values,
         enrich,
@@ -385,7 +464,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         roundtrip_csv_inferred,
         job_manifest,
         job_top_products,
+        job_follow_ups,
+        job_exact_sets,
+        job_journeys,
+        job_mean_delay,
         job_quality,
+        job_quality_dirty,
     ]
     found = {query.__name__: query for query in listed}
     if _llm:
@@ -417,8 +501,42 @@ _LISTS = """ls as (select cid, list(item order by d, tid) as items, min(d) as fi
 _BOUGHT = """bought as (select o_orderkey as tid, o_custkey as cid, o_orderdate::date as d,
   case o_orderpriority when '1-URGENT' then 'iPhone' when '2-HIGH' then 'AirPods'
     when '3-MEDIUM' then 'MacBook' else 'iPad' end as item from orders)"""
+_PAGES = f"""with {_TX}, r as (select *, row_number() over w as n,
+    first_value(item) over w as first_item, first_value(d) over w as first_d
+  from tx window w as (partition by cid order by d, tid))
+select cid, first_item, first_d, (greatest(n - 2, 0) // 3)::bigint as segment,
+  coalesce(string_agg(item, ',' order by n) filter (n > 1), '') as later_items
+from r group by cid, first_item, first_d, (greatest(n - 2, 0) // 3)::bigint"""
+_JOB_NEXT = f"""{_BOUGHT}, {_CU}, fu as (
+  select cid as customer_id, customer_name, location, tid as iphone_transaction_id,
+    next_tid as airpods_transaction_id, d as iphone_purchase_date,
+    next_d as airpods_purchase_date, (next_d - d)::int as days_between
+  from (select *, lead(item) over w as next_item, lead(tid) over w as next_tid,
+      lead(d) over w as next_d
+    from bought window w as (partition by cid order by d, tid)) join cu using (cid)
+  where item = 'iPhone' and next_item = 'AirPods')"""
 _ORDERS = """select o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
   o_orderdate::date as o_orderday from orders"""
+_REPORT = """select 'transaction_rows' as "check", count(*) as value from tx union all
+select 'transaction_null_rows', count(*) from tx where transaction_id is null
+  or customer_id is null or product_name is null or transaction_date is null union all
+select 'customer_rows', count(*) from people union all
+select 'customer_null_rows', count(*) from people where customer_id is null
+  or customer_name is null or join_date is null or location is null union all
+select 'product_rows', count(*) from goods union all
+select 'product_null_rows', count(*) from goods where product_id is null
+  or product_name is null or category is null or price is null union all
+select 'non_positive_prices', count(*) from goods where price <= 0 union all
+select 'duplicate_transaction_ids', count(*) from (select transaction_id from tx
+  group by transaction_id having count(*) > 1) union all
+select 'duplicate_customer_ids', count(*) from (select customer_id from people
+  group by customer_id having count(*) > 1) union all
+select 'duplicate_product_names', count(*) from (select product_name from goods
+  group by product_name having count(*) > 1) union all
+select 'unmatched_customers', count(*) from (select distinct customer_id from tx) t
+  where not exists (select 1 from people p where p.customer_id = t.customer_id) union all
+select 'unmatched_products', count(*) from (select distinct product_name from tx) t
+  where not exists (select 1 from goods g where g.product_name = t.product_name)"""
 _DQ = {
     "dq_rows_nulls": """select 'rows' as "check", count(*) as value from orders union all
 select 'null_rows', count(*) filter (where o_orderkey is null or o_custkey is null
@@ -453,9 +571,12 @@ from st join cu using (cid) where items = ['F', 'O']""",
         "journey": f"""with {_TX}, {_CU}, {_LISTS} select cid, customer_name,
   items[1] as first_item, first_d,
   coalesce(array_to_string(items[2:], ','), '') as later_items from ls join cu using (cid)""",
-        "journey_hot": f"""with {_TX}, {_LISTS} select cid, items[1] as first_item, first_d,
-  len(items) - 1 as later_count, items[2] as second_item,
-  case when len(items) > 1 then items[-1] end as last_item from ls""",
+        "journey_pages": _PAGES,
+        "journey_hot": _PAGES,
+        "journey_long": f"""with {_TX}, r as (select *, row_number() over w as n,
+    first_value(item) over w as first_item, first_value(d) over w as first_d
+  from tx window w as (partition by cid order by d, tid))
+select cid, first_item, first_d, n - 1 as position, item from r where n > 1""",
         "topk_revenue": """with s as (select p_partkey, p_name, p_brand, p_retailprice,
     count(l_orderkey) as units, round(sum(p_retailprice), 2) as revenue
   from lineitem join part on l_partkey = p_partkey
@@ -463,6 +584,10 @@ from st join cu using (cid) where items = ['F', 'O']""",
 r as (select *, dense_rank() over (order by revenue desc, units desc, p_partkey)::int
   as revenue_rank from s)
 select * from r where revenue_rank <= 3""",
+        "topk_large": """with s as (select l_partkey, l_orderkey, l_linenumber, p_retailprice,
+    dense_rank() over (order by p_retailprice desc, l_partkey, l_linenumber)::int as place
+  from lineitem join part on l_partkey = p_partkey)
+select * from s where place <= 1500""",
         "counts": "select event_type, count(*) as units from events group by event_type",
         "map_values": """select p_partkey, p_name, case p_type when 'PROMO' then 'Promotional'
   when 'ECONOMY' then 'Economy' else p_type end as p_type, p_type as source_type,
@@ -485,7 +610,7 @@ select 'iphone_then_airpods' as output, count(*) as row_count from nx
   where item = 'iPhone' and next_item = 'AirPods' union all
 select 'only_iphone_airpods', count(*) from only_two union all
 select 'subsequent_purchases', count(distinct cid) from bought union all
-select 'average_purchase_delay', 1 union all
+select 'average_purchase_delay', count(*) from (select avg(d - d) from bought) union all
 select 'top_products', least(3, count(distinct item)) from bought""",
         "job_top_products": f"""with {_BOUGHT}, names as (select * from (values
   ('iPhone', 'iPhone SE'), ('AirPods', 'AirPods Pro'), ('MacBook', 'MacBook Air'),
@@ -497,14 +622,37 @@ s as (select min(tid) as product_id, item as product_name, source_product_name,
 r as (select *, dense_rank() over (order by revenue desc, units_sold desc, product_name)::int
   as revenue_rank from s)
 select * from r where revenue_rank <= 3""",
-        "job_quality": """select * from (values ('duplicate_customer_ids', 0),
-  ('duplicate_product_names', 0), ('duplicate_transaction_ids', 0), ('customer_null_rows', 0),
-  ('non_positive_prices', 0), ('product_null_rows', 0), ('transaction_null_rows', 0),
-  ('unmatched_customers', 0), ('unmatched_products', 0)) as v("check", value)
-union all select 'customer_rows', count(*) from customer
-union all select 'transaction_rows', count(*) from orders
-union all select 'product_rows', count(distinct case when o_orderpriority < '4' then
-  o_orderpriority else 'iPad' end) from orders""",
+        "job_follow_ups": f"with {_JOB_NEXT} select * from fu",
+        "job_mean_delay": f"""with {_JOB_NEXT}
+select round(avg(days_between), 2) as average_days_iphone_to_airpods,
+  count(*) as qualifying_sequences from fu""",
+        "job_exact_sets": f"""with {_BOUGHT}, {_CU}, own as (select cid,
+    list_sort(list(distinct item)) as items from bought group by cid)
+select cid as customer_id, customer_name, location, array_to_string(items, ',') as products
+from own join cu using (cid) where items = ['AirPods', 'iPhone']""",
+        "job_journeys": f"""with {_BOUGHT}, {_CU}, ls as (select cid,
+    list(item order by d, tid) as items, min(d) as first_d from bought group by cid)
+select cid as customer_id, customer_name, items[1] as first_product,
+  first_d as first_purchase_date, 0::bigint as segment,
+  coalesce(array_to_string(items[2:], ','), '') as subsequent_products
+from ls join cu using (cid)""",
+        "job_quality": f"""with tx as (select o_orderkey as transaction_id,
+    o_custkey as customer_id, case when o_orderpriority < '4' then o_orderpriority
+      else 'iPad' end as product_name, o_orderdate as transaction_date from orders),
+  people as (select c_custkey as customer_id, c_name as customer_name, 1 as join_date,
+    n_name as location from customer join nation on c_nationkey = n_nationkey),
+  goods as (select product_name, min(transaction_id) as product_id, 'device' as category,
+    1 as price from tx group by product_name) {_REPORT}""",
+        "job_quality_dirty": f"""with tx as (select
+    o_orderkey - (case when o_orderkey % 7 = 0 then 1 else 0 end) as transaction_id,
+    case when o_custkey % 11 <> 0 then o_custkey end as customer_id,
+    'p' || (o_orderkey % 60) as product_name, o_orderdate as transaction_date from orders),
+  people as (select c_custkey // 2 as customer_id,
+    case when c_nationkey <> 3 then c_name end as customer_name, 1 as join_date,
+    c_nationkey as location from customer where c_custkey % 5 <> 0),
+  goods as (select p_partkey as product_id, 'p' || (p_partkey % 50) as product_name,
+    case when p_size <> 9 then p_type end as category, p_retailprice - 1200.0 as price
+  from part) {_REPORT}""",
     }
     if _llm:
         found |= _llm.oracle_sql()

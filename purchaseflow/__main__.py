@@ -7,11 +7,13 @@ import json
 
 from pyspark.sql import SparkSession
 
-from purchaseflow.plans import jobs
+from purchaseflow.plans import jobs, purchases
+from purchaseflow.sources.scratch import SETTING
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="purchaseflow", description="Purchase-journey batch job")
+    # fixed values: stage names and the folders below, which are the command's interface
     parser.add_argument("stage", choices=["prepare", "run", "all"])
     parser.add_argument("--raw-dir", default="data/raw")
     parser.add_argument("--work-dir", default="build")
@@ -29,6 +31,11 @@ def main(argv: list[str] | None = None) -> None:
         help="parse the raw transactions for every step instead of copying them once "
         "to Parquet below the work folder",
     )
+    parser.add_argument(
+        "--only", nargs="+", choices=purchases.NAMES, default=purchases.NAMES,
+        help="build and publish these analyses only",
+    )
+    parser.add_argument("--ordered", action="store_true", help="sort every output")
     parser.add_argument("--wide-ids", action="store_true", help="read ids as bigint")
     args = parser.parse_args(argv)
 
@@ -45,8 +52,12 @@ def main(argv: list[str] | None = None) -> None:
             _show("sources", {name: s.path for name, s in sources.items()})
         if args.stage != "prepare":
             staging = None if args.no_staging else f"{args.work_dir}/staged"
-            results, report = jobs.run(spark, sources, staging)
-            manifest = jobs.publish(spark, results, report, args.output_dir, args.table_format)
+            if not spark.conf.get("spark.checkpoint.dir", None):
+                spark.conf.set(SETTING, args.work_dir)
+            results, report = jobs.run(spark, sources, staging, args.only)
+            manifest = jobs.publish(
+                spark, results, report, args.output_dir, args.table_format, args.ordered
+            )
             _show("quality report", report)
             _show("manifest", manifest)
     finally:

@@ -1,5 +1,5 @@
 """Column expressions shared by the operators."""
 
-from purchaseflow.functions.columns import EXACT, any_null, position
+from purchaseflow.functions.columns import any_null
 
-__all__ = ["EXACT", "any_null", "position"]
+__all__ = ["any_null"]

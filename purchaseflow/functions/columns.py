@@ -1,15 +1,11 @@
-"""Column expressions: null tests and the position of a value on a number line."""
+"""Column expressions: null tests."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F, types as T
-
-EXACT = float(2**52)  # below this, whole numbers and their neighbours are exact doubles
-
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+from pyspark.sql import Column, functions as F
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -17,35 +13,3 @@ def any_null(columns: Sequence[str]) -> Column:
     if not columns:
         raise ValueError("any_null needs at least one column")
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-
-
-def position(name: str, dtype: T.DataType) -> tuple[Column, bool]:
-    """``name`` as a double that never falls while the value rises.
-
-    The flag is true when different values lie at least 1.0 apart, as long as they
-    are below EXACT, so that a fraction up to 1 can be added without disturbing the
-    order.
-    """
-    col = F.col(name)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double"), True
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double"), True
-    if isinstance(dtype, T.TimestampNTZType):
-        # by its parts, since a cast to an instant folds over at a clock change
-        seconds = (
-            F.unix_date(F.to_date(col)).cast("long") * 86400
-            + F.hour(col) * 3600
-            + F.minute(col) * 60
-        )
-        micros = seconds * 1000000 + (F.date_part(F.lit("SECOND"), col) * 1000000).cast("long")
-        return micros.cast("double"), True
-    if isinstance(dtype, _WHOLE):
-        return col.cast("double"), True
-    if isinstance(dtype, T.DecimalType):
-        return col.cast("double"), dtype.scale <= 0
-    raise ValueError(
-        f"column '{name}' of type {dtype.simpleString()} has no position on a number line; "
-        "order by a date, timestamp, integer or decimal first, or pass chunk_rows=None "
-        "to keep every history whole"
-    )

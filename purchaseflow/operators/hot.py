@@ -1,25 +1,23 @@
 """Histories too long for one task, cut into chunks that follow their order.
 
-A window or a collected list needs all rows of a key in one task. That is right for
-ordinary keys and wrong for a key that holds a large share of the table. ``split``
-separates the two kinds: ordinary rows stay as they are, hot rows get a ``CHUNK``
-number that rises with the order, so (keys, CHUNK) is a group of bounded size and the
-chunks of a key follow one another.
-
-Finding the hot keys runs short jobs when the operator is built: a row count, which
-ends the search if the whole table fits one task, one pass over the key columns, and
-for hot keys one sample. So pass a table, or a light projection of one, whose rows are
-the same each time it is read, rather than an expensive plan. What the jobs fetch is bounded by arithmetic: a key is hot only
-above ``max(chunk_rows, table rows / MAX_HOT_KEYS)`` rows, so there are at most
-MAX_HOT_KEYS of them however large the table, and on average at most
-MAX_HOT_KEYS * SAMPLE sampled numbers (160 MB if every row were in a hot key). Both
-are fixed once fetched: a lost executor that recomputes its part finds the same chunks
-again. The sample decides where chunks end, never which rows count.
-
-The limits suit a task and an array: a trillion rows give a limit of five million, a
-few hundred megabytes as one collected list, well below the 2 GB a row may take. They
-also bound the cuts, which reach the JVM one at a time: at most 4/3 * MAX_HOT_KEYS, or
-some 25 seconds at the very worst.
+A window needs all rows of a key in one task. That is right for ordinary keys and wrong
+for a key that holds a large share of the table. ``split`` separates the two kinds:
+ordinary rows stay as they are, hot rows get a ``CHUNK`` number that rises with the order,
+so (keys, CHUNK) is a group of bounded size and the chunks of a key follow one another
+without a gap. Chunks are a matter of execution: what operators return never depends on
+where they end, nor on which keys are hot.
+
+A key is hot above ``chunk_rows`` rows, whatever the size of the table. A sample names
+the candidates and exact counts confirm them; both stay distributed. Hot rows are dealt
+out by Spark's own range partitioning on (keys, order), which takes any type that can be
+ordered and all order columns, and are written once to the shared folder: every reader
+sees the same chunks, also after the loss of an executor. Range bounds come from some
+hundred sampled rows a chunk, so chunks are even to within a third or so up to ten
+thousand of them; only rows equal in all order columns cannot be told apart.
+
+Finding hot keys runs short jobs when the operator is built. So pass a table, or a light
+projection of one, rather than an expensive plan, and where several operators share a
+table, split it once and pass the Split to each.
 """
 
 from __future__ import annotations
@@ -28,19 +26,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from purchaseflow.functions import EXACT, position
+from purchaseflow.sources.scratch import staged
 
 CHUNK = "__chunk"
 CHUNK_ROWS = 1_000_000
-MAX_HOT_KEYS = 200_000
-SAMPLE = 100  # rows sampled, on average, from as many rows as one task should hold
-
-_PLACE, _NUMBER, _START = "__place", "__number", "__start"
+SAMPLE = 500  # rows sampled, on average, of a key at the limit
+FILL = 0.75  # of the limit that a chunk holds on average
 
 
 @dataclass(frozen=True)
@@ -48,90 +41,62 @@ class Split:
     """A table in two parts.
 
     ``ordinary``: rows of keys that fit one task, as they were.
-    ``hot``: rows of the other keys with CHUNK, whose lowest value per key is 0 or 1 and
-    which counts up without gaps.
-    ``heads``: the hot rows that open a chunk, or tie with its opening row in place; a
-    key's lowest chunk may be missing.
+    ``hot``: rows of the other keys with CHUNK, or None if there are none.
     """
 
     ordinary: DataFrame
-    hot: DataFrame
-    heads: DataFrame
+    hot: DataFrame | None
 
+    @property
+    def columns(self) -> list[str]:
+        return self.ordinary.columns
 
-def split(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS
-) -> Split | None:
-    """``df`` in two parts, or None if no key is hot."""
-    keys, order = list(keys), list(order)
-    total = df.count()
-    limit = max(chunk_rows, total // MAX_HOT_KEYS)
-    if total <= limit:
-        return None
-    spark, positions = df.sparkSession, _positions(df, order)
-    found = _hot_keys(df, keys, positions, limit)
-    if not found.num_rows:
-        return None
-    numbers = np.arange(found.num_rows, dtype="float64")
-    found = found.append_column(_NUMBER, pa.array(numbers))
-
-    place = _place(positions).alias(_PLACE)
-    narrow = df.select(*keys, *dict.fromkeys(order))
-    cuts = _cuts(match(narrow, spark.createDataFrame(found), keys, "inner").select(place), limit)
-    start = np.searchsorted(cuts, numbers, side="right").astype("float64")
-    hot = spark.createDataFrame(found.append_column(_START, pa.array(start)))
-
-    bucketizer = Bucketizer(
-        splits=[-np.inf, *cuts.tolist(), np.inf], inputCol=_PLACE, outputCol="__bucket"
-    )
-    placed = match(df, hot, keys, "inner").select(*df.columns, place, _START)
-    chunk = (F.col("__bucket") - F.col(_START)).cast("long").alias(CHUNK)
-    chunked = bucketizer.transform(placed).select(*df.columns, chunk, _PLACE)
-
-    # a cut is the place of some row, so the row that opens a chunk lies on its cut
-    opening = spark.createDataFrame(pa.table({_PLACE: cuts}))
-    return Split(
-        ordinary=match(df, hot.select(*keys), keys, "left_anti"),
-        hot=chunked.drop(_PLACE),
-        heads=match(chunked, opening, [_PLACE], "left_semi").drop(_PLACE),
-    )
+    def select(self, *columns) -> Split:
+        """Both parts with these columns, which must include the keys and the order."""
+        hot = None if self.hot is None else self.hot.select(*columns, CHUNK)
+        return Split(self.ordinary.select(*columns), hot)
 
 
-def match(df: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Joins ``df`` to a frame of bounded size on equal keys, null being a key of its own."""
+def split(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    chunk_rows: int | None = CHUNK_ROWS,
+    base: str | None = None,
+) -> Split:
+    """``df`` in two parts; ``base`` is a shared folder for the hot rows (see scratch_dir)."""
+    keys, order = list(keys), list(order)
+    df.sort(*keys, *order)  # only analysed: what has no order fails here at every size
+    if chunk_rows is None or df.count() <= chunk_rows:
+        return Split(df, None)
+    found = staged(_hot_keys(df, keys, chunk_rows), "hot-keys", base)
+    rows = found.agg(F.sum("__rows")).first()[0]
+    if not rows:
+        return Split(df, None)
+    hot = found.drop("__rows")
+    chunks = max(1, -(-rows // max(1, int(chunk_rows * FILL))))
+    ranged = match(df, hot, keys, "left_semi").repartitionByRange(chunks, *keys, *order)
+    cut = ranged.withColumn(CHUNK, F.spark_partition_id().cast("long"))
+    return Split(match(df, hot, keys, "left_anti"), staged(cut, "hot-rows", base))
+
+
+def match(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Joins ``df`` to ``other`` on equal keys, null being a key of its own."""
     names = {k: f"__on_{i}" for i, k in enumerate(on)}
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
     )
-    return df.join(F.broadcast(small.withColumnsRenamed(names)), same, how).drop(*names.values())
+    return df.join(other.withColumnsRenamed(names), same, how).drop(*names.values())
 
 
-def _positions(df: DataFrame, order: list[str]) -> list[Column]:
-    """Positions of the order columns that take part in placing a row.
+def _hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows, and ``__rows``.
 
-    The second column refines the first where the first leaves room for a fraction
-    and the second has a position itself.
-    """
-    first, roomy = position(order[0], df.schema[order[0]].dataType)
-    if roomy and len(order) > 1:
-        try:
-            return [first, position(order[1], df.schema[order[1]].dataType)[0]]
-        except ValueError:
-            pass
-    return [first]
-
-
-def _hot_keys(
-    df: DataFrame, keys: list[str], positions: list[Column], limit: int
-) -> pa.Table:
-    """Keys with more than ``limit`` rows and their range of positions.
-
-    A sample names the candidates, so the pass over all keys shuffles next to
-    nothing; counts of the candidates are exact. A key at the limit would have to
-    show up at half its expected number to be missed, and would then merely stay
-    whole.
+    A sample names the candidates, so the pass over all keys shuffles next to nothing;
+    counts of the candidates are exact. A key at the limit would have to show up at half
+    its expected number to be missed, and would then merely stay whole.
     """
-    rate = min(1.0, 5 * SAMPLE / limit)
+    rate = min(1.0, SAMPLE / limit)
     candidates = (
         df.select(*keys)
         .sample(rate, seed=1)
@@ -140,42 +105,5 @@ def _hot_keys(
         .filter(F.col("__seen") >= rate * limit / 2)
         .select(*keys)
     )
-    ranges = [
-        agg(value).alias(f"__{name}{i}")
-        for i, value in enumerate(positions)
-        for name, agg in (("lo", F.min), ("hi", F.max))
-    ]
-    return (
-        match(df, candidates, keys, "inner")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"), *ranges)
-        .filter(F.col("__rows") > limit)
-        .drop("__rows")
-        .toArrow()
-    )
-
-
-def _place(positions: list[Column]) -> Column:
-    """One number that rises with (hot key, order): its whole part is the key's number.
-
-    The rest runs from 0 to below 1 over the key's own range. Nulls in the first
-    order column take the unit before that range, as Spark sorts them first.
-    """
-    zero = F.lit(0.0)
-    lo, hi = F.coalesce("__lo0", zero), F.coalesce("__hi0", zero)
-    along = F.coalesce(positions[0] - lo, F.lit(-1.0))
-    if len(positions) > 1:
-        roomy = F.greatest(F.abs(lo), F.abs(hi)) < EXACT
-        span = F.col("__hi1") - F.col("__lo1") + 1
-        fraction = (positions[1] - F.col("__lo1")) / span
-        along += F.coalesce(F.when(roomy, fraction), zero)
-    return F.col(_NUMBER) + (along + 1) / (hi - lo + 3)
-
-
-def _cuts(places: DataFrame, limit: int) -> np.ndarray:
-    """Places where a chunk begins, in order, about three quarters of ``limit`` apart."""
-    rate = min(1.0, SAMPLE / limit)
-    seen = places.sample(rate, seed=2).toArrow().column(0).to_numpy()
-    apart = max(1, round(rate * limit * 3 / 4))
-    cuts = np.unique(np.sort(seen)[::apart])
-    return cuts if cuts.size else np.zeros(1)
+    rows = match(df.select(*keys), candidates, keys, "left_semi").groupBy(*keys)
+    return rows.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)

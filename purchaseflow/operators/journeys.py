@@ -4,73 +4,123 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, match, split
+from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, Split, match, split
 
 SEGMENT = "segment"
+PAGE_ITEMS = 10_000
+POSITION = "position"
+
+
+def _placed(
+    parts: Split, keys: list[str], order: list[str], first: Column
+) -> tuple[DataFrame, DataFrame | None]:
+    """Both parts with POSITION, exact and from 1, and ``__first``, ``first`` of row 1."""
+
+    def place(by: list[str]) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")
+
+    opening = F.first(first).over(Window.partitionBy(*keys).orderBy(*order))
+    ordinary = parts.ordinary.withColumns({POSITION: place(keys), "__first": opening})
+    if parts.hot is None:
+        return ordinary, None
+    chunks = parts.hot.groupBy(*keys, CHUNK).agg(
+        F.count(F.lit(1)).alias("__rows"), F.min_by(first, F.struct(*order)).alias("__opening")
+    )
+    # one row for each chunk: a key of a million chunks has a trillion rows
+    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    before = F.sum("__rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = chunks.select(
+        *keys,
+        CHUNK,
+        F.coalesce(before, F.lit(0)).alias("__before"),
+        F.first("__opening").over(along).alias("__first"),
+    )
+    inside = parts.hot.withColumn("__inside", place([*keys, CHUNK]))
+    hot = match(inside, offsets, [*keys, CHUNK], "inner")
+    position = F.col("__before") + F.col("__inside")
+    return ordinary, hot.withColumn(POSITION, position).drop("__before", "__inside", CHUNK)
+
+
+def later_items(
+    df: DataFrame | Split,
+    keys: Sequence[str],
+    order: Sequence[str],
+    item: str,
+    chunk_rows: int | None = CHUNK_ROWS,
+) -> DataFrame:
+    """One row per row after a key's first: keys, first_item, first_<order[0]>, position, item.
+
+    The position counts the later rows from 1.
+    """
+    keys, order = list(keys), list(order)
+    parts = df if isinstance(df, Split) else split(df, keys, order, chunk_rows)
+    ordinary, hot = _placed(parts, keys, order, _opening(item, order))
+    rows = ordinary if hot is None else ordinary.unionByName(hot)
+    return rows.filter(F.col(POSITION) > 1).select(
+        *keys,
+        F.col("__first.item").alias("first_item"),
+        F.col("__first.date").alias(f"first_{order[0]}"),
+        (F.col(POSITION) - 1).alias(POSITION),
+        F.col(item).alias("item"),
+    )
+
+
+def _opening(item: str, order: list[str]) -> Column:
+    return F.struct(F.col(item).alias("item"), F.col(order[0]).alias("date"))
 
 
 def first_and_rest(
-    df: DataFrame,
+    df: DataFrame | Split,
     keys: Sequence[str],
     order: Sequence[str],
     item: str,
     attributes: DataFrame | None = None,
     chunk_rows: int | None = CHUNK_ROWS,
+    page_items: int = PAGE_ITEMS,
 ) -> DataFrame:
     """Per key: ``first_item``, ``first_<order[0]>``, ``later_items`` and ``segment``.
 
-    One row per key with segment 0, and an empty list where nothing followed. A key
-    too long for one task, and so for one array, goes on over several rows: its
-    ``later_items`` in the order of ``segment`` (0, 1, 2, ...) are the whole rest.
+    ``later_items`` holds the items in their order, ``page_items`` to a row: item n after
+    the first stands in segment (n - 1) div ``page_items``. So a key has one row with
+    segment 0, with an empty list where nothing followed, and more rows only if it has
+    more than ``page_items`` later items. The rule depends on the key's own rows alone,
+    not on the table's size or on ``chunk_rows``, and no list grows with the table.
 
-    ``attributes`` holds one row per key and is joined (inner) so that no list is
-    shuffled a second time: ordinary lists are still partitioned by the keys, and the
-    few hot keys fetch their attributes first and are broadcast with them.
+    ``attributes`` holds one row per key and is joined (inner) after the lists are made.
     """
     keys, order = list(keys), list(order)
-    fields = list(dict.fromkeys([*order, item]))
-
-    def collect(frame: DataFrame, by: list[str]) -> DataFrame:
-        # rows first, lists after: lists built before the shuffle would not shrink it
-        gathered = frame.select(*by, F.struct(*fields).alias("__event")).repartition(*by)
-        return gathered.groupBy(*by).agg(
-            F.sort_array(F.collect_list("__event")).alias("__events")
-        )
+    fields = list(dict.fromkeys([*keys, *order, item]))
+    parts = df if isinstance(df, Split) else split(df.select(*fields), keys, order, chunk_rows)
+    ordinary, hot = _placed(parts.select(*fields), keys, order, _opening(item, order))
 
-    def finish(frame: DataFrame, opening, segment, rest, more=()) -> DataFrame:
-        return frame.select(
-            *keys,
-            opening[item].alias("first_item"),
-            opening[order[0]].alias(f"first_{order[0]}"),
-            rest.alias("later_items"),
-            segment.cast("long").alias(SEGMENT),
-            *more,
+    def pages(frame: DataFrame) -> DataFrame:
+        later = F.col(POSITION) - 2
+        event = F.when(later >= 0, F.struct(POSITION, F.col(item).alias("item")))
+        page = F.floor(F.greatest(later, F.lit(0)) / page_items).cast("long")
+        return (
+            frame.select(*keys, "__first", page.alias(SEGMENT), event.alias("__event"))
+            .groupBy(*keys, SEGMENT)
+            .agg(
+                F.first("__first").alias("__first"),
+                F.sort_array(F.collect_list("__event")).alias("__events"),
+            )
+            .select(
+                *keys,
+                F.col("__first.item").alias("first_item"),
+                F.col("__first.date").alias(f"first_{order[0]}"),
+                F.col("__events.item").alias("later_items"),
+                SEGMENT,
+            )
         )
 
-    events = F.col("__events")
-    items = events[item]
-    tail = F.slice(items, F.lit(2), F.size(items))
-    parts = split(df.select(*keys, *fields), keys, order, chunk_rows) if chunk_rows else None
-    ordinary = parts.ordinary if parts else df
-    whole = finish(collect(ordinary, keys), events[0], F.lit(0), tail)
+    found = pages(ordinary)
     if attributes is not None:
-        whole = whole.join(attributes, keys, "inner")
-    if parts is None:
-        return whole
-
-    # the lowest chunk of a key is 0 or 1
-    openings = parts.hot.filter(F.col(CHUNK) <= 1).groupBy(*keys).agg(
-        F.min(F.struct(*fields)).alias("__opening"), F.min(CHUNK).alias("__from")
-    )
-    more = []
+        found = found.join(attributes, keys, "inner")
+    if hot is None:
+        return found
+    long = pages(hot)
     if attributes is not None:
-        more = [c for c in attributes.columns if c not in keys]
-        openings = match(attributes.dropna(subset=keys), openings, keys, "inner")
-    pieces = match(collect(parts.hot, [*keys, CHUNK]), openings, keys, "inner")
-    rest = F.when(F.col(CHUNK) == F.col("__from"), tail).otherwise(items)
-    segment = F.col(CHUNK) - F.col("__from")
-    pieces = finish(pieces, F.col("__opening"), segment, rest, more)
-    return whole.unionByName(pieces)
-
+        long = long.join(attributes, keys, "inner")
+    return found.unionByName(long)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def counts(df: DataFrame, item: str, name: str = "units") -> DataFrame:
@@ -41,11 +42,21 @@ def totals(
     )
 
 
-def top_k(df: DataFrame, order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:
-    """Rows of the first ``k`` dense ranks; full ties share a rank and all stay.
+def top_k(df: DataFrame, order: Sequence[str], k: int, rank: str = "rank") -> DataFrame:
+    """Rows of the first ``k`` dense ranks by ``order``; full ties share a rank and all stay.
 
-    Spark limits each partition to its own first k ranks before the rows meet, so end
-    ``order`` with a unique column where very many rows may tie.
+    Names with a leading minus are descending; nulls come first ascending and last
+    descending. Only the first ``k`` different order values are brought together and
+    numbered; rows find their rank by a join on these values, so neither a large ``k``
+    nor a mass of ties collects rows of ``df`` in one task.
     """
-    place = F.dense_rank().over(Window.orderBy(*order))
-    return df.withColumn(rank, place).filter(F.col(rank) <= k)
+    names = [name.removeprefix("-") for name in order]
+    sorting = [F.desc(n) if o.startswith("-") else F.asc(n) for n, o in zip(names, order)]
+    best = df.select(*names).distinct().orderBy(*sorting).limit(k)
+    numbered = best.withColumn(rank, F.row_number().over(Window.orderBy(*sorting)))
+    joined = {name: f"__by_{i}" for i, name in enumerate(names)}
+    numbered = numbered.withColumnsRenamed(joined)
+    same = reduce(
+        lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(j)) for n, j in joined.items()]
+    )
+    return df.join(numbered, same).drop(*joined.values())

@@ -6,13 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, split
+from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, Split, split
 
 _GUEST = "__guest"
 
 
 def with_next(
-    df: DataFrame,
+    df: DataFrame | Split,
     keys: Sequence[str],
     order: Sequence[str],
     columns: Mapping[str, str],
@@ -20,11 +20,12 @@ def with_next(
 ) -> DataFrame:
     """Adds, for each ``new name -> column``, the value in the key's very next row.
 
-    ``order`` must break ties, for example (date, id). Ordinary keys take one window.
-    A hot key is cut into chunks, and each chunk is lent the first row of the next
-    one, so the window over a chunk already sees across its end.
+    ``order`` must break ties, for example (date, id). One window serves all rows: an
+    ordinary key is one chunk, a hot key several, and each of those is lent the first
+    row of the next one, so the window over a chunk already sees across its end.
     """
     keys, order = list(keys), list(order)
+    parts = df if isinstance(df, Split) else split(df, keys, order, chunk_rows)
 
     def lead(frame: DataFrame, by: list[str]) -> DataFrame:
         window = Window.partitionBy(*by).orderBy(*order)
@@ -32,23 +33,22 @@ def with_next(
             {new: F.lead(old).over(window) for new, old in columns.items()}
         )
 
-    parts = split(df, keys, order, chunk_rows) if chunk_rows else None
-    if parts is None:
-        return lead(df, keys)
+    if parts.hot is None:
+        return lead(parts.ordinary, keys)
     carried = [c for c in dict.fromkeys([*order, *columns.values()]) if c not in keys]
-    first = parts.heads.groupBy(*keys, CHUNK).agg(F.min(F.struct(*carried)).alias("__head"))
-    guests = first.select(
-        *keys, (F.col(CHUNK) - 1).alias(CHUNK), "__head.*", F.lit(True).alias(_GUEST)
+    heads = parts.hot.groupBy(*keys, CHUNK).agg(
+        F.min_by(F.struct(*carried), F.struct(*order)).alias("__head")
     )
-    lent = parts.hot.withColumn(_GUEST, F.lit(False)).unionByName(
-        guests, allowMissingColumns=True
+    guests = heads.select(
+        *keys, (F.col(CHUNK) - 1).alias(CHUNK), "__head.*", F.lit(True).alias(_GUEST)
     )
-    across = lead(lent, [*keys, CHUNK]).filter(~F.col(_GUEST)).drop(_GUEST, CHUNK)
-    return lead(parts.ordinary, keys).unionByName(across)
+    rows = parts.ordinary.withColumn(CHUNK, F.lit(-2).cast("long")).unionByName(parts.hot)
+    lent = rows.withColumn(_GUEST, F.lit(False)).unionByName(guests, allowMissingColumns=True)
+    return lead(lent, [*keys, CHUNK]).filter(~F.col(_GUEST)).drop(_GUEST, CHUNK)
 
 
 def followed_by(
-    df: DataFrame,
+    df: DataFrame | Split,
     keys: Sequence[str],
     order: Sequence[str],
     item: str,

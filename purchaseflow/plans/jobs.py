@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
+from datetime import UTC, datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from purchaseflow.operators import quality
@@ -69,16 +71,22 @@ def extract(
         path = f"{staging_dir}/transactions_parquet"
         write(frames["transactions"], path)
         frames["transactions"] = read(spark, Source("parquet", path))
-    return Inputs(**frames)
+    return Inputs(**frames, work_dir=staging_dir)
 
 
 def run(
-    spark: SparkSession, sources: Mapping[str, Source], staging_dir: str | None = None
+    spark: SparkSession,
+    sources: Mapping[str, Source],
+    staging_dir: str | None = None,
+    names: Sequence[str] = purchases.NAMES,
 ) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """Extract, gate, analyse. Raises before any result is built if the gate fails."""
+    """Extract, gate, and the analyses ``names``.
+
+    Raises before any result is built if the gate fails.
+    """
     inputs = extract(spark, sources, staging_dir)
     report = quality.enforce(purchases.quality_report(inputs))
-    return purchases.analyses(inputs), report
+    return purchases.analyses(inputs, names), report
 
 
 def publish(
@@ -87,19 +95,25 @@ def publish(
     report: Mapping[str, int],
     output_dir: str,
     table_format: str = "parquet",
+    ordered: bool = False,
 ) -> dict[str, dict[str, Any]]:
     """Writes every result, then the quality report and the manifest.
 
-    Each result is computed once: its row count is observed during the write, and a
-    result derived from another reads that one's written table. The manifest comes
-    last, so a run that stopped half-way leaves none of its own.
+    Each run has a fresh folder below ``output_dir``, and the files ``quality_report.json``
+    and ``manifest.json`` in ``output_dir`` are replaced at the end, the manifest last. So
+    a run that stops half-way leaves the manifest of the run before it, whose tables are
+    untouched. Each result is computed once: its row count is observed during the write,
+    and a result derived from another reads that one's written table. ``ordered`` sorts
+    each output by the columns in ``purchases.SORT_BY``.
     """
     formats = {name: "parquet" for name in results} | {"only_iphone_airpods": table_format}
+    folder = f"{output_dir}/run-{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     manifest: dict[str, dict[str, Any]] = {}
 
     def put(name: str, df: DataFrame) -> None:
-        path = f"{output_dir}/{name}"
-        rows = write(df, path, formats[name])
+        path = f"{folder}/{name}"
+        sort_by = purchases.SORT_BY.get(name, ()) if ordered else ()
+        rows = write(df, path, formats[name], mode="errorifexists", sort_by=sort_by)
         manifest[name] = {"format": formats[name], "path": path, "row_count": rows}
 
     for name in results:
@@ -122,7 +136,20 @@ def publish(
 
 
 def _put_json(spark: SparkSession, document: Mapping[str, Any], path: str) -> None:
-    """A small document as one line of text, written by Spark so any file system works."""
-    line = json.dumps(document, sort_keys=True)
-    document_row = spark.range(1, numPartitions=1).select(F.lit(line).alias("value"))
-    document_row.write.mode("overwrite").text(path)
+    """A small document as one file on any file system Spark knows.
+
+    It is written beside its place first and then moved there, so a reader finds either
+    the old document or the new one.
+    """
+    hadoop, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    target, beside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new"))
+    files = target.getFileSystem(hadoop)
+    out = files.create(beside, True)
+    try:
+        out.write(bytearray(json.dumps(document, sort_keys=True), "utf-8"))
+    finally:
+        out.close()
+    if not files.rename(beside, target):
+        # file systems that don't rename onto a file
+        files.delete(target, True)
+        files.rename(beside, target)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from purchaseflow.operators import journeys, quality, ranking, sequence, sets, standardise
 from purchaseflow.operators.enrich import with_dimension
+from purchaseflow.operators.hot import Split, split
 
-# Raw product names and the names the transactions use.
+# Fixed values from here to TOP_PRODUCTS: raw product names and the names the
+# transactions use, the items and the number of the reports.
 PRODUCT_NAMES = {
     "iPhone SE": "iPhone",
     "AirPods Pro": "AirPods",
@@ -30,6 +33,14 @@ class Inputs:
     transactions: DataFrame
     customers: DataFrame
     products: DataFrame
+    work_dir: str | None = None
+
+    @cached_property
+    def history(self) -> Split:
+        """The transactions split for sequences, searched for hot keys once, on first use."""
+        columns = [*_KEY, *_HISTORY, "product_name"]
+        slim = self.transactions.select(*columns)
+        return split(slim, _KEY, _HISTORY, base=self.work_dir)
 
 
 def prepared_products(raw: DataFrame) -> DataFrame:
@@ -53,7 +64,7 @@ def followed_up(
 ) -> DataFrame:
     """Customers whose very next purchase after ``first`` was ``then``."""
     found = sequence.followed_by(
-        inputs.transactions, _KEY, _HISTORY, "product_name", first, then
+        inputs.history, _KEY, _HISTORY, "product_name", first, then
     ).withColumnsRenamed(
         {
             "first_transaction_id": "iphone_transaction_id",
@@ -63,6 +74,7 @@ def followed_up(
         }
     )
     people = inputs.customers.select("customer_id", "customer_name", "location")
+    # fixed values: the output's columns
     return with_dimension(found, people, "customer_id").select(
         "customer_id",
         "customer_name",
@@ -87,11 +99,12 @@ def only_these(inputs: Inputs, items: tuple[str, ...] = (FIRST_ITEM, NEXT_ITEM))
 def later_purchases(inputs: Inputs) -> DataFrame:
     """Each customer's first purchase and the ordered later ones.
 
-    ``segment`` is 0 for every history that fits in one row.
+    ``segment`` is 0 but for the further rows of a customer with more than
+    ``journeys.PAGE_ITEMS`` later purchases.
     """
     people = inputs.customers.select("customer_id", "customer_name")
     return journeys.first_and_rest(
-        inputs.transactions, _KEY, _HISTORY, "product_name", attributes=people
+        inputs.history, _KEY, _HISTORY, "product_name", attributes=people
     ).select(
         "customer_id",
         "customer_name",
@@ -120,7 +133,7 @@ def top_products(inputs: Inputs, k: int = TOP_PRODUCTS) -> DataFrame:
         price="price",
         units_name="units_sold",
     )
-    order = [F.desc("revenue"), F.desc("units_sold"), F.asc("product_name")]
+    order = ["-revenue", "-units_sold", "product_name"]
     return ranking.top_k(sales, order, k, "revenue_rank")
 
 
@@ -136,14 +149,31 @@ DERIVED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 }
 
 
-def analyses(inputs: Inputs) -> dict[str, DataFrame]:
-    """Every result as a lazy DataFrame, by output name."""
-    results = {name: build(inputs) for name, build in ANALYSES.items()}
+NAMES = (*ANALYSES, *DERIVED)
+
+# The columns that order an output where order is asked for.
+SORT_BY: dict[str, tuple[str, ...]] = {
+    "iphone_then_airpods": ("customer_id", "iphone_transaction_id"),
+    "only_iphone_airpods": ("customer_id",),
+    "subsequent_purchases": ("customer_id", journeys.SEGMENT),
+    "top_products": ("revenue_rank", "product_id"),
+}
+
+
+def analyses(inputs: Inputs, names: Sequence[str] = NAMES) -> dict[str, DataFrame]:
+    """The results asked for as lazy DataFrames, by output name; no other is built."""
+    unknown = sorted(set(names) - set(NAMES))
+    if unknown:
+        raise ValueError(f"unknown analyses {unknown}, known: {', '.join(NAMES)}")
+    results = {name: build(inputs) for name, build in ANALYSES.items() if name in names}
     for name, (origin, build) in DERIVED.items():
-        results[name] = build(results[origin])
+        if name in names:
+            found = results.get(origin)
+            results[name] = build(ANALYSES[origin](inputs) if found is None else found)
     return results
 
 
+# Checks that stop a run.
 CRITICAL = (
     "transaction_null_rows",
     "customer_null_rows",

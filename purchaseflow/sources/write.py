@@ -23,7 +23,8 @@ def write(
     With ``partition_by`` the rows are first rebalanced on those columns: Spark then
     gives a small value one file and spreads a large one over several tasks, instead
     of one file per value and task. ``num_files`` merges output tasks without a
-    shuffle. ``sort_by`` orders the whole output, or each file of a partitioned one;
+    shuffle, which also runs what comes right before in so few tasks; together with
+    ``sort_by`` it deals the rows out by ranges instead. ``sort_by`` orders the whole output, or each file of a partitioned one;
     name a unique column last, so that a frequent value can span several files.
     """
     chosen = fmt.lower()
@@ -33,9 +34,11 @@ def write(
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         if sort_by:
             df = df.sortWithinPartitions(*partition_by, *sort_by)
+    elif sort_by and num_files is not None:
+        df = df.repartitionByRange(num_files, *sort_by).sortWithinPartitions(*sort_by)
     elif sort_by:
         df = df.orderBy(*sort_by)
-    if num_files is not None:
+    if num_files is not None and not (sort_by and not partition_by):
         df = df.coalesce(num_files)
     written = Observation()
     writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(chosen).mode(mode)

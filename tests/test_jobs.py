@@ -173,14 +173,56 @@ def test_publish(spark, sources, tmp_path, staged):
         "top_products": 3,
     }
     for name, entry in manifest.items():
-        assert entry["format"] == "parquet" and entry["path"] == f"{out}/{name}"
+        assert entry["format"] == "parquet"
+        assert Path(entry["path"]).name == name and entry["path"].startswith(f"{out}/run-")
         stored = read(spark, Source("parquet", entry["path"]))
         assert stored.schema.simpleString() == results[name].schema.simpleString()
         assert sorted(map(repr, stored.collect())) == sorted(map(repr, results[name].collect()))
-    (line,) = spark.read.text(f"{out}/manifest.json").collect()
-    assert json.loads(line.value) == manifest
-    (line,) = spark.read.text(f"{out}/quality_report.json").collect()
-    assert json.loads(line.value) == report
+    assert json.loads(Path(out, "manifest.json").read_text()) == manifest
+    assert json.loads(Path(out, "quality_report.json").read_text()) == report
+
+
+def test_a_failed_run_leaves_the_one_before(spark, sources, tmp_path):
+    results, report = jobs.run(spark, sources)
+    out = str(tmp_path / "out")
+    first = jobs.publish(spark, results, report, out)
+    broken = dict(results)
+    third = list(broken)[2]
+    broken[third] = broken[third].selectExpr("raise_error('lost') as x")
+    with pytest.raises(Exception, match="lost"):
+        jobs.publish(spark, broken, report, out)
+    assert json.loads(Path(out, "manifest.json").read_text()) == first
+    for entry in first.values():
+        assert read(spark, Source("parquet", entry["path"])).count() == entry["row_count"]
+    second = jobs.publish(spark, results, report, out)
+    assert json.loads(Path(out, "manifest.json").read_text()) == second != first
+
+
+def test_ordered_outputs(spark, sources, tmp_path):
+    results, report = jobs.run(spark, sources, names=["subsequent_purchases"])
+    manifest = jobs.publish(spark, results, report, str(tmp_path / "out"), ordered=True)
+    assert list(manifest) == ["subsequent_purchases"]
+    files = sorted(Path(manifest["subsequent_purchases"]["path"]).glob("*.parquet"))
+    ids = [r.customer_id for f in files for r in spark.read.parquet(str(f)).collect()]
+    assert ids == [105, 106, 107, 108]
+
+
+def test_only_what_is_asked_for_is_built(spark, sources, monkeypatch):
+    def never(*_, **__):
+        raise AssertionError("searched for hot keys")
+
+    monkeypatch.setattr(purchases, "split", never)
+    results, _ = jobs.run(spark, sources, names=["top_products"])
+    assert list(results) == ["top_products"] and results["top_products"].count() == 3
+    with pytest.raises(ValueError, match="unknown analyses"):
+        jobs.run(spark, sources, names=["bottom_products"])
+
+
+def test_money_adds_up_in_decimals(spark):
+    fact = spark.range(1000).selectExpr("id", "'x' as name")
+    goods = spark.sql("select 1 as pid, 'x' as name, cast(0.10 as decimal(12, 2)) as price")
+    found = ranking.totals(fact, goods, "name", ["pid", "name"], "id", "price")
+    assert str(found.first().revenue) == "100.00"
 
 
 def test_gate_stops_the_run(spark, tmp_path):
@@ -229,5 +271,7 @@ def test_command_line(spark, tmp_path):
     assert done.returncode == 0, done.stderr[-2000:]
     assert '"transaction_rows": 10' in done.stdout
     assert '"row_count": 4' in done.stdout
-    assert read(spark, Source("parquet", f"{tmp_path}/o/top_products")).count() == 3
+    manifest = json.loads((tmp_path / "o" / "manifest.json").read_text())
+    top = Source("parquet", manifest["top_products"]["path"])
+    assert read(spark, top).count() == 3
     assert read(spark, Source("parquet", f"{tmp_path}/w/staged/transactions_parquet")).count() == 10

@@ -62,7 +62,24 @@ def test_journey_needs_both_sides_of_the_dimension(histories, spark):
 
 def test_journey_takes_one_exchange(histories, plan, spark):
     text = plan(journeys.first_and_rest(histories({1: "AB"}), KEY, ORDER, "item"), "simple")
-    assert text.count("Exchange hashpartitioning") == 1 and "Window" not in text
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Window [") == 1
+
+
+def test_journey_pages_follow_the_position(histories):
+    df = histories({1: "ABCDEFG", 2: "A"})
+    got = journeys.first_and_rest(df, KEY, ORDER, "item", page_items=3).collect()
+    assert {(r.key, r.segment): r.later_items for r in got} == {
+        (1, 0): ["B", "C", "D"],
+        (1, 1): ["E", "F", "G"],
+        (2, 0): [],
+    }
+    assert {(r.first_item, r.first_d) for r in got} == {("A", dt.date(2024, 1, 1))}
+
+
+def test_null_items_keep_their_place(histories):
+    df = histories({1: ["A", None, "C", None]})
+    (row,) = journeys.first_and_rest(df, KEY, ORDER, "item").collect()
+    assert row.later_items == [None, "C", None]
 
 
 def test_journey_joins_a_large_dimension_without_a_second_exchange(histories, plan, spark):
@@ -119,7 +136,7 @@ def test_totals_count_before_the_join(shop, plan):
 def test_full_ties_share_a_rank_and_stay(spark):
     df = spark.createDataFrame([("a", 3.0), ("b", 2.0), ("c", 2.0), ("d", 1.0), ("e", 0.5)],
                                "name string, revenue double")
-    got = ranking.top_k(df, [F.desc("revenue")], 3).collect()
+    got = ranking.top_k(df, ["-revenue"], 3).collect()
     assert {r.name: r["rank"] for r in got} == {"a": 1, "b": 2, "c": 2, "d": 3}
 
 
@@ -127,19 +144,27 @@ def test_rank_uses_rounded_revenue_then_the_next_key(spark):
     fact = spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, name string")
     dim = spark.createDataFrame([(1, "x", 1.004), (2, "y", 0.5005)],
                                 "pid int, name string, price double")
-    ranked = ranking.top_k(totals(fact, dim), [F.desc("revenue"), F.desc("units")], 2)
+    ranked = ranking.top_k(totals(fact, dim), ["-revenue", "-units"], 2)
     assert {r.name: (r.revenue, r["rank"]) for r in ranked.collect()} == {
         "y": (1.0, 1),
         "x": (1.0, 2),
     }
 
 
-def test_top_k_limits_each_partition_first(spark, plan):
-    df = spark.range(100).select(F.col("id").alias("revenue"))
-    text = plan(ranking.top_k(df, [F.desc("revenue")], 3), "simple")
-    assert text.count("WindowGroupLimit") == 2
-    first, single = text.rindex("WindowGroupLimit"), text.index("Exchange SinglePartition")
-    assert single < first  # plans print from the result down to the scan
+@pytest.mark.parametrize("k", [1001, 100_000])
+def test_large_top_k_never_sorts_the_table_in_one_task(spark, plan, k):
+    df = spark.range(300_000).select(F.col("id").alias("revenue"), F.lit("x").alias("payload"))
+    text = plan(ranking.top_k(df, ["-revenue"], k), "simple")
+    assert "payload" not in text[text.index("Window [") :].split("Join")[0]
+    assert f"TakeOrderedAndProject(limit={k}" in text or "LocalLimit" in text
+    assert ranking.top_k(df, ["-revenue"], k).count() == k
+
+
+def test_a_mass_of_ties_stays_whole(spark):
+    df = spark.range(100_010).select(F.when(F.col("id") < 10, F.col("id")).alias("v"))
+    got = ranking.top_k(df, ["-v"], 11)
+    assert got.count() == 100_010
+    assert got.groupBy("rank").count().filter("rank = 11").first()["count"] == 100_000
 
 
 def test_counts(histories):
