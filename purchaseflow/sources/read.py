@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 SOURCE_FORMATS = ("csv", "delta", "parquet")
 
+# How the raw files are read.
 _CSV_DEFAULTS = {"header": True, "mode": "FAILFAST", "dateFormat": "yyyy-MM-dd"}
 
 
