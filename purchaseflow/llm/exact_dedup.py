@@ -37,8 +37,12 @@ def ambiguous(pieces: DataFrame) -> DataFrame:
     ``pieces`` has the distinct pairs of hash ``h`` and content ``c``. As a rule none
     share one, and the result is empty.
     """
-    shared = pieces.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    again = pieces.join(shared.select("h"), "h", "left_semi")
+    counted = pieces.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    shared = staged(counted.select("h"), "shared")
+    if shared.isEmpty():
+        # so that contents move once only: the join below would read and move them again
+        return shared.select("h", F.lit("").alias("c"), F.lit(1).alias("rank"))
+    again = pieces.join(shared, "h", "left_semi")
     rank = F.row_number().over(Window.partitionBy("h").orderBy("c"))
     return again.withColumn("rank", rank)
 
@@ -106,12 +110,27 @@ def find_copies(
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, keep_id, group_size, kept, text_sha256."""
     own = staged(recipes(df, doc_id, text, hash_bits), "recipes")
-    groups = own.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
+    groups = (
+        own.groupBy("recipe")
+        .agg(
+            F.count(F.lit(1)).alias("__rows"),
+            F.max("doc_id").alias("keep_id"),
+            F.sum("copies").alias("group_size"),
+        )
+        .filter(F.col("__rows") > 1)
+        .drop("__rows")
     )
+    # written first: a join with a bare aggregate is one that Spark does not split
+    joined = own.join(staged(groups, "groups"), "recipe", "left")
+    alone = F.col("group_size").isNull()
     return (
-        own.join(groups, "recipe")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+        .withColumns(
+            {
+                "keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")),
+                "group_size": F.coalesce("group_size", "copies"),
+            }
+        )
         .select(
             "doc_id",
             "keep_id",
