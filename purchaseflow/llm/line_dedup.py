@@ -115,11 +115,14 @@ def deleted_lines(
         F.struct(F.col("print").alias("print"), F.col("ahead").alias("window")),
         F.struct(F.col("print_behind").alias("print"), F.col("behind").alias("window")),
     )
-    seen = (
+    # each aggregate is written before it is joined: a join with a bare aggregate shares
+    # its partitioning, and Spark does not split that when a key is hot
+    seen = staged(
         found.select(ID, HASH, F.inline(sides))
         .filter(F.col("window").isNotNull())
-        .join(twice, F.col("print") == F.col("__print"), "left_semi")
-        .select(ID, HASH, "window.*")
+        .join(staged(twice, "prints"), F.col("print") == F.col("__print"), "left_semi")
+        .select(ID, HASH, "window.*"),
+        "windows",
     )
     here = F.struct(ID, HASH, "start")
     first = (
@@ -127,7 +130,7 @@ def deleted_lines(
         .agg(F.min(here).alias("__first"), F.count(F.lit(1)).alias("__times"))
         .filter(F.col("__times") > 1)
     )
-    later = seen.join(first, "key").filter(here > F.col("__first"))
+    later = seen.join(staged(first, "first"), "key").filter(here > F.col("__first"))
     return (
         later.select(ID, HASH, F.explode(F.sequence("start", "end")).alias("line"))
         .groupBy(ID, HASH)
