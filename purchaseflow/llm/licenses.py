@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -199,16 +200,18 @@ class Scanner:
         """(first place, last place, license) of the rules found in an identifier sequence."""
         used, matched = set(), []
         for license_, wanted in self._rules:
-            for start in range(len(found)):
-                chain, at = [], start
-                for name in wanted:
-                    while at < len(found) and (found[at][1] != name or at in used):
-                        at += 1
-                    near = not chain or found[at][0] - found[chain[-1]][0] <= GAP + 1 if at < len(found) else False
-                    if not near or (not chain and at != start):
+            for start, (_, opening) in enumerate(found):
+                if opening != wanted[0] or start in used:
+                    continue
+                chain = [start]
+                for name in wanted[1:]:
+                    last = chain[-1]
+                    reach = found[last][0] + GAP + 1
+                    near = takewhile(lambda i: found[i][0] <= reach, range(last + 1, len(found)))
+                    after = next((i for i in near if found[i][1] == name and i not in used), None)
+                    if after is None:
                         break
-                    chain.append(at)
-                    at += 1
+                    chain.append(after)
                 if len(chain) == len(wanted):
                     used.update(chain)
                     matched.append((found[chain[0]][0], found[chain[-1]][0], license_))
