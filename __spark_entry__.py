@@ -224,6 +224,16 @@ def map_values(spark: SparkSession, sf: str) -> DataFrame:
     return standardise.map_values(parts, "p_type", names, "source_type")
 
 
+def map_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Values mapped by a table: nation names instead of their keys."""
+    keys = _table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("nation")
+    )
+    names = _table(spark, sf, "nation").filter(F.col("n_nationkey") < 20)
+    table = names.select(F.col("n_nationkey").cast("string"), "n_name")
+    return standardise.map_values(keys, "nation", table, "nation_key")
+
+
 def enrich(spark: SparkSession, sf: str) -> DataFrame:
     return _customers(spark, sf)
 
@@ -451,6 +461,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         topk_large,
         counts,
         map_values,
+        map_table,
         enrich,
         filtered_scan,
         layout,
@@ -592,6 +603,9 @@ select * from s where place <= 1500""",
         "map_values": """select p_partkey, p_name, case p_type when 'PROMO' then 'Promotional'
   when 'ECONOMY' then 'Economy' else p_type end as p_type, p_type as source_type,
   p_retailprice from part""",
+        "map_table": """select c_custkey, coalesce(n_name, c_nationkey::varchar) as nation,
+  c_nationkey::varchar as nation_key
+from customer left join nation on c_nationkey = n_nationkey and n_nationkey < 20""",
         "enrich": f"with {_CU} select * from cu",
         "filtered_scan": """select p_partkey, p_name, p_type, p_retailprice from part
 where p_type = 'PROMO'""",

@@ -179,6 +179,9 @@ def test_map_values_keeps_unknown_values_and_origin(spark):
     rows = {r.id: (r.v, r.raw) for r in got.collect()}
     assert rows == {1: ("long x", "x"), 2: ("y", "y"), 3: (None, None)}
     assert standardise.map_values(df, "v", {}, "raw").count() == 3
+    table = spark.createDataFrame([("x", "long x"), ("z", "w")], "a string, b string")
+    same = standardise.map_values(df, "v", table, "raw")
+    assert same.columns == got.columns and sorted(same.collect()) == sorted(got.collect())
 
 
 def test_dimension_is_broadcast_only_below_the_threshold(spark, plan, histories):
