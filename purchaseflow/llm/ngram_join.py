@@ -283,16 +283,19 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict
         yield tail
 
 
-def _dealt(df: DataFrame, group: str, count: str, block: int) -> DataFrame:
-    """Rows with ``own``, ``p`` and ``q``: once for each pair of blocks they take part in."""
-    blocks = F.ceil(F.col(count) / block).cast("int")
+def _dealt(df: DataFrame, group: list[str], block: int) -> DataFrame:
+    """Rows of groups of ``n`` with ``own``, ``p`` and ``q``, once for each pair of blocks.
+
+    They are dealt out and sorted by group, p and q.
+    """
+    blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("a", "b"), blocks).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), blocks - 1),
         lambda other: F.struct(F.least(own, other).alias("p"), F.greatest(own, other).alias("q")),
     )
-    spread = df.withColumn("own", own).select("*", F.inline(pairs)).drop(count)
-    return spread.repartition(group, "p", "q").sortWithinPartitions(group, "p", "q")
+    spread = df.withColumn("own", own).select("*", F.inline(pairs)).drop("n")
+    return spread.repartition(*group, "p", "q").sortWithinPartitions(*group, "p", "q")
 
 
 # --- the join -----------------------------------------------------------------------
@@ -327,7 +330,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
                 yield out()
         yield out()
 
-    edges = _dealt(members, "band", "n", BLOCK).mapInArrow(
+    edges = _dealt(members, ["band"], BLOCK).mapInArrow(
         forests, "a long, b long, ra long, rb long"
     )
     return edges.distinct().select(
@@ -368,18 +371,8 @@ def _verified(members: DataFrame) -> DataFrame:
                 names=["a", "b", "links", "similar", "ra", "rb"],
             )
 
-    blocks = F.ceil(F.col("n") / VERIFY).cast("int")
-    own = F.pmod(F.xxhash64("a", "b"), blocks).cast("int")
-    pairs = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda other: F.struct(F.least(own, other).alias("p"), F.greatest(own, other).alias("q")),
-    )
-    keys = ["ra", "rb", "p", "q"]
-    spread = members.withColumn("own", own).select("*", F.inline(pairs)).drop("n")
-    return (
-        spread.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(verified, "a long, b long, links long, similar long, ra long, rb long")
+    return _dealt(members, ["ra", "rb"], VERIFY).mapInArrow(
+        verified, "a long, b long, links long, similar long, ra long, rb long"
     )
 
 
