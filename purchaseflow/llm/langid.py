@@ -25,6 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from purchaseflow.llm.hashing import letter_grams
@@ -170,13 +171,19 @@ def fit(
 def predictor(model: Model):
     """A column function: text to struct (lang_pred, score)."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            rows = [model.predict(text) for text in texts]
-            yield pd.DataFrame(rows, columns=["lang_pred", "score"])
-
-    return predicted
+            rows = []
+            # a few rows at a time, so that no more texts are Python objects than needed
+            for start in range(0, len(texts), 256):
+                rows += map(model.predict, texts.slice(start, 256).to_pylist())
+            names, scores = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.StructArray.from_arrays(
+                [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=["lang_pred", "score"],
+            )
+
+    return F.arrow_udf(predicted, "lang_pred string, score double")
 
 
 def may_teach(doc_id: str | Column) -> Column:

@@ -27,7 +27,6 @@ from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -331,10 +330,16 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: personal data gives way to its kind; ``n_chars`` is counted anew."""
     model = fit(docs)
 
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        return pd.Series([masked(text, model) for text in texts], dtype=object)
+    def hide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            slices = (texts.slice(start, 256) for start in range(0, len(texts), 256))
+            parts = [
+                pa.array([masked(text, model) for text in part.to_pylist()], pa.string())
+                for part in slices
+            ]
+            yield pa.concat_arrays(parts) if parts else texts
 
+    mask = F.arrow_udf(hide, "string")
     anew = {"text": F.col("__masked")}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.length("__masked").cast(docs.schema["n_chars"].dataType)
