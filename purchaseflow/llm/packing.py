@@ -98,14 +98,16 @@ class WordTokenizer:
         return b"".join(self._part(part) for part in _cut(text))
 
     def _part(self, text: str) -> bytes:
+        # lower case can lie beyond the Latin letters even where the text does not
+        lower = text.lower()
         simple = (
-            self._plain.fullmatch(text)
+            self._plain.fullmatch(lower)
             and "<|" not in text
             and (text.isascii() or unicodedata.is_normalized("NFC", text))
         )
         if not simple:
             return self._encode(text)
-        words = self._words.findall(text.lower())
+        words = self._words.findall(lower)
         return b"".join(map(self._cache.__getitem__, words))
 
 

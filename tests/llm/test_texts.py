@@ -260,6 +260,16 @@ def test_word_ids_are_the_tokenizers_own():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
 
 
+def test_every_latin_character_has_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    own, whole = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    for sign in map(chr, range(0x21, 0x250)):
+        for text in (sign, f"a{sign}b", f"Is {sign}zm {sign}{sign}x", f"1{sign}2'{sign}s"):
+            ids = whole.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(own.encode(text), "<u4").tolist() == ids, hex(ord(sign))
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     monkeypatch.setattr(packing, "PIECE", 50)
     own = packing.WordTokenizer(WORDS)
