@@ -17,7 +17,8 @@ Defined results: null text is empty text and has no line to delete; a null doc_i
 first; lines without words never begin or end a run, and go with a run around them that would
 be too short without its first or its last line; rows
 equal in doc_id and text are one document and are treated alike; words are counted by
-single spaces. Groups of equal windows are reduced to their first place by a partial
+single spaces. With ``inside`` lines are cut into pieces, which take the place of lines in
+all of this, so that passages within lines are found too: see ``_pieces``. Groups of equal windows are reduced to their first place by a partial
 aggregate before any shuffle, and the join back is one that Spark splits when skewed, so
 a line that a third of all documents share stays bounded. Nothing is collected beyond
 the lines of one document.
@@ -32,13 +33,125 @@ from purchaseflow.sources.scratch import staged
 
 MIN_WORDS = 25
 LINE_END = "\n"
+REACH = 13  # words of a line that decide together where it is cut
+BLANKS = " \t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+BLANKS += "\u2028\u2029\u202f\u205f\u3000"
+_NEW_WORD = f"(?<=[{BLANKS}])(?=[^{BLANKS}])"
 
 
-def _lines(text: str) -> Column:
+def _lines(text: str | Column) -> Column:
     return F.split(text, LINE_END, -1)
 
 
-def windows(df: DataFrame, min_words: int) -> DataFrame:
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once, even where ``then`` uses it in lambdas."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _words(line: Column) -> Column:
+    """The words of a line without outer white space, each with the white space after it."""
+    return F.split(line, _NEW_WORD, -1)
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(F.rtrim(x, F.lit(BLANKS))))
+
+
+def _starts(hashes: Column) -> Column:
+    """Where the pieces of a line begin: at its first word and at the winnowed ones.
+
+    Of any REACH words in a row the one with the lowest hash, the first of equals, begins
+    a piece, so pieces have REACH words at most and cuts depend on the words around them
+    alone. A passage of n words that stands twice inside lines has at least
+    n - 2 * REACH + 1 words of the same pieces at both places (25 of 50), and no fewer if
+    it goes on over line ends.
+    """
+
+    def lowest(codes: Column) -> Column:
+        for step in (1, 2, 4, REACH - 8):  # the lowest of 2, 4, 8 and REACH words from here on
+            codes = _shifted(codes, step)
+        return codes
+
+    def _shifted(codes: Column, step: int) -> Column:
+        # beyond the end are nulls, which least() leaves out
+        return _bound(
+            codes,
+            lambda c: F.zip_with(c, F.slice(c, step + 1, F.size(c)), lambda x, y: F.least(x, y)),
+        )
+
+    codes = F.transform(
+        hashes,
+        lambda x, i: F.shiftleft(x.bitwiseAND(F.lit(0x7FFFFFFF)), 32) + i.cast("long"),
+    )
+    whole = F.slice(lowest(codes), F.lit(1), F.size(hashes) - (REACH - 1))
+    chosen = F.transform(whole, lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+    first = F.array(F.lit(0))
+    cut = F.array_distinct(F.concat(first, chosen))
+    return F.when(F.size(hashes) < REACH, first).otherwise(cut)
+
+
+def _spans(starts: Column, count: Column, then) -> Column:
+    """``then(first word, words, number)`` for each piece of a line."""
+    return F.transform(
+        starts, lambda s, k: then(s, F.coalesce(F.get(starts, k + 1), count) - s, k)
+    )
+
+
+def _pieces(text: str | Column) -> Column:
+    """Per piece of each line: hash and number of words (0 for a line without words)."""
+
+    def of(line: Column) -> Column:
+        def spans(hashes: Column) -> Column:
+            return _bound(
+                _starts(hashes),
+                lambda starts: _spans(
+                    starts,
+                    F.size(hashes),
+                    lambda s, n, _: F.struct(
+                        F.xxhash64(F.slice(hashes, s + 1, n)).alias("h"), n.alias("w")
+                    ),
+                ),
+            )
+
+        nothing = F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("w")))
+        return F.when(line == "", nothing).otherwise(_bound(_hashes(_words(line)), spans))
+
+    return F.flatten(
+        F.transform(_lines(text), lambda x: _bound(F.btrim(x, F.lit(BLANKS)), of))
+    )
+
+
+def _parts(text: str | Column) -> Column:
+    """The same pieces as they stand: ``line`` and ``part``; the parts of a line make it up."""
+
+    def of(line: Column, at: Column) -> Column:
+        def shown(words: Column) -> Column:
+            body = F.btrim(line, F.lit(BLANKS))
+            lead = F.substring(line, F.lit(1), F.instr(line, body) - 1)
+            tail = F.substring(line, F.instr(line, body) + F.length(body), F.length(line))
+
+            def part(s: Column, n: Column, _) -> Column:
+                return F.concat(
+                    F.when(s == 0, lead).otherwise(""),
+                    F.array_join(F.slice(words, s + 1, n), ""),
+                    F.when(s + n == F.size(words), tail).otherwise(""),
+                )
+
+            return _bound(
+                _starts(_hashes(words)),
+                lambda starts: _spans(
+                    starts,
+                    F.size(words),
+                    lambda *span: F.struct(at.alias("line"), part(*span).alias("part")),
+                ),
+            )
+
+        return _bound(_words(F.btrim(line, F.lit(BLANKS))), shown)
+
+    return F.flatten(F.transform(_lines(text), of))
+
+
+def windows(df: DataFrame, min_words: int, inside: bool = False) -> DataFrame:
     """Per line with words: the windows that begin and end there, and their fingerprint.
 
     ``ahead`` and ``behind`` are structs (key, start, end) or null where the document
@@ -56,6 +169,7 @@ def windows(df: DataFrame, min_words: int) -> DataFrame:
             .alias("w"),
         ),
     )
+    measured = _pieces(TEXT) if inside else measured
     once = (
         df.select(ID, HASH, measured.alias("__lines"))
         .groupBy(ID, HASH)
@@ -99,10 +213,17 @@ def windows(df: DataFrame, min_words: int) -> DataFrame:
 
 
 def deleted_lines(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_words: int = MIN_WORDS,
+    inside: bool = False,
 ) -> DataFrame:
-    """ID, HASH and ``gone``: the numbers, from 0, of a document's lines to delete."""
-    found = staged(windows(keyed(df, doc_id, text), min_words), "lines")
+    """ID, HASH and ``gone``: the numbers, from 0, of a document's lines to delete.
+
+    With ``inside``, of its pieces.
+    """
+    found = staged(windows(keyed(df, doc_id, text), min_words, inside), "lines")
     place = F.struct(ID, HASH, "print_at")
     twice = (
         found.filter(F.col("ahead").isNotNull())
@@ -150,6 +271,23 @@ def without(text: str | Column, gone: str | Column) -> Column:
     return F.array_join(kept, LINE_END)
 
 
+def without_pieces(text: str | Column, gone: str | Column) -> Column:
+    """``text`` without the pieces numbered in ``gone``; a line goes if all its pieces go."""
+
+    def rebuilt(parts: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
+        return F.transform(kept, lambda i: F.get(parts, i))
+
+    def joined(kept: Column) -> Column:
+        def part(x: Column, i: Column) -> Column:
+            begins = (i > 0) & (F.get(kept, i - 1)["line"] != x["line"])
+            return F.concat(F.when(begins, LINE_END).otherwise(""), x["part"])
+
+        return F.array_join(F.transform(kept, part), "")
+
+    return _bound(_bound(_parts(text), rebuilt), joined)
+
+
 def dedup_lines(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -169,15 +307,15 @@ def dedup_lines(
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without repeated runs; those left without a word go.
 
-    Other columns stay as they are, ``n_chars`` is counted anew.
+    Runs are of pieces, so passages within lines go too. Other columns stay as they are, ``n_chars`` is counted anew.
     """
     names = {ID: "__gone_id", HASH: "__gone_hash", "gone": "__gone"}
-    gone = deleted_lines(docs).withColumnsRenamed(names)
+    gone = deleted_lines(docs, inside=True).withColumnsRenamed(names)
     same = docs["doc_id"].eqNullSafe(gone["__gone_id"]) & (
         text_hash(docs["text"]) == gone["__gone_hash"]
     )
     touched = F.col("__gone").isNotNull()
-    left = F.when(touched, without("text", F.col("__gone"))).otherwise(F.col("text"))
+    left = F.when(touched, without_pieces("text", F.col("__gone"))).otherwise(F.col("text"))
     joined = docs.join(gone, same, "left").withColumn("__left", left)
     anew = {"text": F.col("__left")}
     if "n_chars" in docs.columns:

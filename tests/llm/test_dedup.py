@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from purchaseflow.llm import components, exact_dedup, line_dedup, ngram_join
 
@@ -86,6 +87,35 @@ def test_line_dedup_stage_keeps_columns_and_drops_what_is_empty(spark, docs):
     assert (rows[2]["text"], rows[2]["n_chars"]) == ("own line", 8)
 
 
+def test_line_dedup_stage_finds_passages_inside_lines(spark, docs):
+    rng = random.Random(8)
+
+    def own(n):
+        return " ".join(f"o{rng.randrange(10**9)}" for _ in range(n))
+
+    passage = [" ".join(f"p{i}x{j}" for j in range(50)) for i in range(40)]
+    pairs = [(f"{own(30)} {p} {own(9)}\n  {own(20)}", f"\t{own(17)}  {p} {own(40)}\r\n\n{own(3)}") for p in passage]
+    texts = [a for a, _ in pairs] + [b for _, b in pairs]
+    left = {r["doc_id"]: r["text"] for r in line_dedup.stage(spark, docs(texts), "").collect()}
+    assert [left[i] for i in range(40)] == texts[:40]
+    for i, p in enumerate(passage):
+        before, after = texts[40 + i].split(p)
+        got = left[40 + i]
+        assert got.startswith(before) and got.endswith(after)
+        rest = got[len(before) : len(got) - len(after)]
+        assert len(rest.split()) <= 2 * line_dedup.REACH - 1 and set(rest.split()) <= set(p.split())
+
+
+def test_pieces_make_up_the_text_and_match_their_hashes(spark, odd):
+    rows = odd.select(
+        "text",
+        line_dedup.without_pieces(F.coalesce("text", F.lit("")), F.array().cast("array<int>")).alias("same"),
+        F.size(line_dedup._pieces(F.coalesce("text", F.lit("")))).alias("n"),
+        F.size(line_dedup._parts(F.coalesce("text", F.lit("")))).alias("shown"),
+    ).collect()
+    assert all(r["same"] == (r["text"] or "") and r["n"] == r["shown"] for r in rows)
+
+
 @pytest.mark.parametrize("bits", [64, 3, 1])
 def test_exact_dedup_is_what_grouping_by_text_finds(docs, bits):
     rng = random.Random(bits)
