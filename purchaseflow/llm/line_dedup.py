@@ -17,7 +17,7 @@ Defined results: null text is empty text and has no line to delete; a null doc_i
 first; lines without words never begin or end a run, and go with a run around them that would
 be too short without its first or its last line; rows
 equal in doc_id and text are one document and are treated alike; words are counted by
-single spaces. With ``inside`` lines are cut into pieces, which take the place of lines in
+single spaces. With ``inside`` they are parted by white space of any kind, and lines are cut into pieces, which take the place of lines in
 all of this, so that passages within lines are found too: see ``_pieces``. Groups of equal windows are reduced to their first place by a partial
 aggregate before any shuffle, and the join back is one that Spark splits when skewed, so
 a line that a third of all documents share stays bounded. Nothing is collected beyond
@@ -36,7 +36,10 @@ LINE_END = "\n"
 REACH = 13  # words of a line that decide together where it is cut
 BLANKS = " \t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
 BLANKS += "\u2028\u2029\u202f\u205f\u3000"
-_NEW_WORD = f"(?<=[{BLANKS}])(?=[^{BLANKS}])"
+# signs of scripts written without blanks: South-East Asian, Tibetan, Japanese, Chinese
+SIGNS = "\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+SIGNS += "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f" + r"\x{20000}-\x{3ffff}"
+_NEW_WORD = f"(?=[^{BLANKS}])(?<=[{BLANKS}{SIGNS}])|(?=[{SIGNS}])(?<=[^{BLANKS}])"
 
 
 def _lines(text: str | Column) -> Column:
@@ -49,7 +52,11 @@ def _bound(value: Column, then) -> Column:
 
 
 def _words(line: Column) -> Column:
-    """The words of a line without outer white space, each with the white space after it."""
+    """The words of a line without outer white space, each with the white space after it.
+
+    White space of any kind, and any run of it, parts words. In scripts written without
+    blanks each sign is a word, so passages there count by their length.
+    """
     return F.split(line, _NEW_WORD, -1)
 
 

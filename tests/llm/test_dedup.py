@@ -106,6 +106,20 @@ def test_line_dedup_stage_finds_passages_inside_lines(spark, docs):
         assert len(rest.split()) <= 2 * line_dedup.REACH - 1 and set(rest.split()) <= set(p.split())
 
 
+def test_line_dedup_stage_counts_words_of_any_script_and_spacing(spark, docs):
+    rng = random.Random(9)
+    tabbed = "\t".join(f"t{i}" for i in range(60))
+    wide = "\u3000".join(f"w{i}" for i in range(60))
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(60))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2E)) for _ in range(60))
+    texts = [f"{own}{i}\n{p}" for own in "ab" for i, p in enumerate((tabbed, wide, chinese, thai))]
+    texts += [f"{own}\n" + (" " * 30).join("few words in all".split()) for own in "ab"]
+    left = {r["doc_id"]: r["text"] for r in line_dedup.stage(spark, docs(texts), "").collect()}
+    assert [left[i] for i in range(4)] == texts[:4]
+    assert [left[i] for i in range(4, 8)] == ["b0", "b1", "b2", "b3"]
+    assert [left[i] for i in (8, 9)] == texts[8:]
+
+
 def test_pieces_make_up_the_text_and_match_their_hashes(spark, odd):
     rows = odd.select(
         "text",
