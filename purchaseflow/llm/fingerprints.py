@@ -3,12 +3,12 @@
 The paragraphs (lines with content) of a text are hashed to vectors of WIDE lanes of 32
 bits, which are summed modulo 2^32. The sum does not depend on their order, and a
 paragraph can be added to it or taken away without the rest of the text. A second vector
-sums one sign for each of SIGNS lanes over the sentences, modulo 2^16; its direction tells
-how much two texts have in common, as random signs keep inner products.
+of SIGNS lanes takes each run of RUN words of a paragraph and adds its sign to its lane; its
+direction tells how much two texts have in common, as such sums keep inner products, with
+noise of about one in the square root of SIGNS. In scripts without blanks each sign is a word.
 
-A fingerprint is a struct ``wide`` (array of long), ``signs`` (array of long, two lanes
-in each: how many sentences have the bit set) and ``pieces`` (long, the sentences). All
-of it is a sum over parts, so ``combine`` works on texts, paragraphs and edits alike.
+A fingerprint is a struct of ``wide`` (array of long) and ``signs`` (array of int). All of
+it is a sum over parts, so ``combine`` works on texts, paragraphs and edits alike.
 
 Defined results: null and empty texts and texts of only white space have the empty
 fingerprint (all zeros), which is as like another empty one as can be (1) and unlike any
@@ -21,12 +21,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from purchaseflow.llm.keys import keyed
+from purchaseflow.llm.line_dedup import BLANKS, SIGNS as NO_BLANKS
 from purchaseflow.sources.scratch import staged
 
 WIDE = 16
-SIGNS = 64
+SIGNS = 256
+RUN = 2
 _LOW = 0xFFFFFFFF
-_PAIR = 0x100000001  # bits 0 and 32: one counter in each half of a long
+_WORD_ENDS = (
+    f"[{BLANKS}]+|(?<=[{NO_BLANKS}])(?=[^{BLANKS}])|(?=[{NO_BLANKS}])(?<=[^{BLANKS}])"
+)
 
 
 def _bound(value: Column, then) -> Column:
@@ -38,11 +42,39 @@ def fingerprint(text: str | Column) -> Column:
     """The fingerprint of a whole text."""
     whole = F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))
     lines = F.transform(F.split(whole, "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r")))
-    paragraphs = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.sha2(x, 256))
-    sentences = F.transform(
-        F.filter(F.split(whole, r"[.!?\n]+\s*", -1), lambda x: F.btrim(x, F.lit(" \t\r")) != ""),
-        lambda x: F.xxhash64(F.btrim(x, F.lit(" \t\r"))),
+    filled = F.filter(lines, lambda x: x != "")
+    paragraphs = F.transform(filled, lambda x: F.sha2(x, 256))
+
+    def runs(line: Column) -> Column:
+        """Hashes of the runs of RUN words of a line; one if it has fewer words."""
+
+        def hashed(words: Column) -> Column:
+            each = F.transform(
+                words,
+                lambda x, i: F.xxhash64(x, *[F.get(words, i + k) for k in range(1, RUN)]),
+            )
+            return F.slice(each, F.lit(1), F.greatest(F.size(words) - (RUN - 1), F.lit(1)))
+
+        return _bound(F.split(line, _WORD_ENDS, -1), hashed)
+
+    # a run is an even number for its lane and sign; sorted among all odd numbers, whose
+    # places then tell how many runs lie between
+    marked = F.transform(
+        F.flatten(F.transform(filled, runs)),
+        lambda x: F.pmod(x, F.lit(2 * SIGNS)).cast("int") * 2,
     )
+    marks = F.transform(F.sequence(F.lit(0), F.lit(2 * SIGNS - 1)), lambda i: i * 2 + 1)
+    placed = F.transform(
+        F.sort_array(F.concat(marked, marks)), lambda x, i: F.when(x % 2 == 1, i).otherwise(-1)
+    )
+
+    def signs(ends: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(SIGNS - 1)),
+            lambda i: F.get(ends, i * 2 + 1)
+            - F.get(ends, i * 2) * 2
+            + F.coalesce(F.get(ends, i * 2 - 1), F.lit(-1)),
+        )
 
     def lane(hashes: Column, i: Column) -> Column:
         added = F.aggregate(
@@ -52,14 +84,6 @@ def fingerprint(text: str | Column) -> Column:
         )
         return added.bitwiseAND(F.lit(_LOW))
 
-    def pair(hashes: Column, i: Column) -> Column:
-        return F.aggregate(
-            hashes,
-            F.lit(0).cast("long"),
-            lambda acc, x: acc
-            + F.call_function("shiftrightunsigned", x, i).bitwiseAND(F.lit(_PAIR)),
-        )
-
     def over(count: int, hashes: Column, of) -> Column:
         return _bound(
             hashes, lambda h: F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: of(h, i))
@@ -67,15 +91,7 @@ def fingerprint(text: str | Column) -> Column:
 
     return F.struct(
         over(WIDE, paragraphs, lane).alias("wide"),
-        _bound(
-            sentences,
-            lambda h: F.struct(
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(SIGNS // 2 - 1)), lambda i: pair(h, i)
-                ).alias("signs"),
-                F.size(h).cast("long").alias("pieces"),
-            ),
-        ).alias("sketch"),
+        _bound(F.filter(placed, lambda x: x >= 0), signs).alias("signs"),
     )
 
 
@@ -89,19 +105,7 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
         F.zip_with(
             a["wide"], b["wide"], lambda x, y: each(x, y).bitwiseAND(F.lit(_LOW))
         ).alias("wide"),
-        F.struct(
-            F.zip_with(a["sketch"]["signs"], b["sketch"]["signs"], each).alias("signs"),
-            each(a["sketch"]["pieces"], b["sketch"]["pieces"]).alias("pieces"),
-        ).alias("sketch"),
-    )
-
-
-def _signed(print_: Column) -> Column:
-    """The SIGNS lanes as numbers: sentences with the bit set less those without."""
-    n, pairs = print_["sketch"]["pieces"], print_["sketch"]["signs"]
-    return F.concat(
-        F.transform(pairs, lambda x: x.bitwiseAND(F.lit(_LOW)) * 2 - n),
-        F.transform(pairs, lambda x: F.shiftrightunsigned(x, 32) * 2 - n),
+        F.zip_with(a["signs"], b["signs"], each).alias("signs"),
     )
 
 
@@ -112,7 +116,7 @@ def as_text(print_: Column) -> Column:
         shown = F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), width, "0"))
         return F.array_join(shown, "")
 
-    signs = F.transform(_signed(print_), lambda x: x.bitwiseAND(F.lit(0xFFFF)))
+    signs = F.transform(print_["signs"], lambda x: x.bitwiseAND(F.lit(0xFFFF)))
     return F.concat(digits(print_["wide"], 8), digits(signs, 4))
 
 
@@ -128,7 +132,7 @@ def likeness(a: Column, b: Column) -> Column:
         size = F.sqrt(product(x, x) * product(y, y))
         return F.when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), product(x, y) / size)))
 
-    both = F.struct(_signed(a).alias("x"), _signed(b).alias("y"))
+    both = F.struct(a["signs"].alias("x"), b["signs"].alias("y"))
     return F.when(a == b, 1.0).otherwise(F.coalesce(_bound(both, cosine), F.lit(0.0)))
 
 

@@ -93,6 +93,21 @@ def test_likeness_follows_what_texts_share(spark):
     assert same == 1 and most > half > none_ and abs(most - 0.9) < 0.15 and none_ < 0.4
 
 
+def test_short_and_unpunctuated_texts_are_like_their_edit(spark, docs):
+    rng = random.Random(4)
+    words = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(30)]
+    chinese = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(200)) for _ in range(30)]
+    for texts in (words, chinese):
+        rows = fingerprints.with_edited(docs(texts)).collect()
+        assert all(abs(r["near_edited"] - 0.5) < 0.25 and r["near_next"] < 0.25 for r in rows)
+    one = docs([words[0]]).select(
+        fingerprints.likeness(
+            fingerprints.fingerprint("text"), fingerprints.fingerprint(F.concat(F.lit("x"), "text"))
+        )
+    )
+    assert one.first()[0] > 0.9
+
+
 def test_fingerprints_of_odd_rows(odd, none, docs):
     rows = fingerprints.with_edited(odd).collect()
     assert len(rows) == odd.count()
