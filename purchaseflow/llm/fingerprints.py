@@ -1,8 +1,9 @@
 """Document fingerprints that add up: homomorphic multiset hashes.
 
 The paragraphs (lines with content) of a text are hashed to vectors of WIDE lanes of 32
-bits, which are summed modulo 2^32. The sum does not depend on their order, and a
-paragraph can be added to it or taken away without the rest of the text. A second vector
+bits, the 512 bits of their SHA-512, which are summed modulo 2^32. The sum does not depend
+on their order, and a paragraph can be added to it or taken away without the rest of the
+text. A second vector
 of SIGNS lanes takes each run of RUN words of a paragraph and adds its sign to its lane; its
 direction tells how much two texts have in common, as such sums keep inner products, with
 noise of about one in the square root of SIGNS. In scripts without blanks each sign is a word.
@@ -43,7 +44,7 @@ def fingerprint(text: str | Column) -> Column:
     whole = F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))
     lines = F.transform(F.split(whole, "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r")))
     filled = F.filter(lines, lambda x: x != "")
-    paragraphs = F.transform(filled, lambda x: F.sha2(x, 256))
+    paragraphs = F.transform(filled, lambda x: F.sha2(x, 512))
 
     def runs(line: Column) -> Column:
         """Hashes of the runs of RUN words of a line; one if it has fewer words."""
@@ -80,7 +81,7 @@ def fingerprint(text: str | Column) -> Column:
         added = F.aggregate(
             hashes,
             F.lit(0).cast("long"),
-            lambda acc, x: acc + F.xxhash64(x, i).bitwiseAND(F.lit(_LOW)),
+            lambda acc, x: acc + F.conv(F.substring(x, i * 8 + 1, F.lit(8)), 16, 10).cast("long"),
         )
         return added.bitwiseAND(F.lit(_LOW))
 

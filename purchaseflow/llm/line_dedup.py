@@ -17,11 +17,14 @@ Defined results: null text is empty text and has no line to delete; a null doc_i
 first; lines without words never begin or end a run, and go with a run around them that would
 be too short without its first or its last line; rows
 equal in doc_id and text are one document and are treated alike; words are counted by
-single spaces. With ``inside`` they are parted by white space of any kind, and lines are cut into pieces, which take the place of lines in
-all of this, so that passages within lines are found too: see ``_pieces``. Groups of equal windows are reduced to their first place by a partial
+single spaces. Groups of equal windows are reduced to their first place by a partial
 aggregate before any shuffle, and the join back is one that Spark splits when skewed, so
 a line that a third of all documents share stays bounded. Nothing is collected beyond
 the lines of one document.
+
+With ``inside`` lines are cut into pieces, which take the place of lines in all of this,
+so that passages within lines are found too (see ``_starts``); words are then parted by
+white space of any kind.
 """
 
 from __future__ import annotations

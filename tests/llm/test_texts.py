@@ -66,6 +66,14 @@ def test_fingerprints_ignore_order_and_tell_multiplicity(spark):
     assert len(a) == 8 * fingerprints.WIDE + 4 * fingerprints.SIGNS
 
 
+def test_wide_lanes_are_sums_of_digest_slices(spark):
+    lines = ["one line.", "and another", "日本語", "one line."]
+    (shown,) = _prints(spark, ["\n".join(lines)])
+    digests = [hashlib.sha512(x.encode()).hexdigest() for x in lines]
+    for i in range(0, 8 * fingerprints.WIDE, 8):
+        assert int(shown[i : i + 8], 16) == sum(int(d[i : i + 8], 16) for d in digests) % 2**32
+
+
 def test_paragraphs_can_be_added_and_taken_away(spark):
     frame = spark.createDataFrame([("one. two.\nthree.", "four.\nfive.")], "a string, b string")
     whole = fingerprints.fingerprint(F.concat_ws("\n", "a", "b"))
