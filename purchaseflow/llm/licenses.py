@@ -24,7 +24,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 GAP = 3
-PIECES = 12  # lines or sentences that a known sentence may be spread over
 
 # Known license sentences by identifier.
 SENTENCES = {
@@ -173,7 +172,10 @@ class Scanner:
         }
         self._rules = sorted(rules, key=lambda rule: -len(rule[1]))
         quick = "|".join(sorted(map(re.escape, self._openings)))
-        self._quick = re.compile(rf"(?:^|[\n\s.!?:;])[^\w\n]*(?:{quick})(?![^\W_])", re.IGNORECASE)
+        signs = r"[^\w\n]*(?:_[^\w\n]*)*"
+        self._quick = re.compile(
+            rf"(?:^|[\n\s.!?:;]){signs}(?:{quick})(?![^\W_])", re.IGNORECASE
+        )
 
     def identifiers(self, text: str) -> list[tuple[int, str]]:
         """(place, identifier) of the known sentences; the longest known one at a place."""
@@ -185,7 +187,7 @@ class Scanner:
             name, taken = None, 1
             if opening in self._openings:
                 joined = ""
-                for n in range(min(PIECES, len(parts) - i)):
+                for n in range(len(parts) - i):  # ends with the longest known sentence
                     joined = f"{joined} {normalised(parts[i + n])}".strip()
                     if joined in self._ids:
                         name, taken = self._ids[joined], n + 1

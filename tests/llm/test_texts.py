@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -240,6 +241,16 @@ def test_known_sentences_and_rules():
     assert found(far) == []  # and so does the distance
 
 
+def test_known_sentences_may_be_wrapped_and_underlined_at_will():
+    scan = licenses.Scanner()
+    for name in ("mit-grant", "gpl-free", "bsd-binary"):
+        for width in (1, 20, 30, 38, 80):
+            text = "\n".join(textwrap.wrap(licenses.SENTENCES[name], width, break_long_words=False))
+            assert scan.identifiers(f"x\n{text}.\ny") == [(1, name)]
+    for text in ("_Released under the MIT License_", "x. __*_Released under the MIT License"):
+        assert [name for _, name in scan.identifiers(text)] == ["mit-released"]
+
+
 def test_sequences_are_what_brute_force_finds():
     scan, rng = licenses.Scanner(), random.Random(6)
     names = list(licenses.SENTENCES)
