@@ -1,19 +1,23 @@
 """Histories too long for one task, cut into chunks that follow their order.
 
 A window needs all rows of a key in one task. That is right for ordinary keys and wrong
-for a key that holds a large share of the table. ``split`` separates the two kinds:
-ordinary rows stay as they are, hot rows get a ``CHUNK`` number that rises with the order,
-so (keys, CHUNK) is a group of bounded size and the chunks of a key follow one another
-without a gap. Chunks are a matter of execution: what operators return never depends on
-where they end, nor on which keys are hot.
-
-A key is hot above ``chunk_rows`` rows, whatever the size of the table. A sample names
-the candidates and exact counts confirm them; both stay distributed. Hot rows are dealt
-out by Spark's own range partitioning on (keys, order), which takes any type that can be
-ordered and all order columns, and are written once to the shared folder: every reader
-sees the same chunks, also after the loss of an executor. Range bounds come from some
-hundred sampled rows a chunk, so chunks are even to within a third or so up to ten
-thousand of them; only rows equal in all order columns cannot be told apart.
+for a key that holds a large share of the table. ``split`` marks the rows of such hot keys
+with a CHUNK number that rises with the order, so (keys, CHUNK) is a group of bounded size
+and the chunks of a key follow one another. Chunks are groups of the one shuffle that a
+window needs anyway, not partitions: any number of them is dealt to the session's usual
+number of tasks, and nothing is written but the places of the cuts. Chunks are a matter of
+execution: what operators return never depends on where they end, nor on which keys are hot.
+
+A key is hot above ``chunk_rows`` rows, or above one row in MAX_HOT of a table so large
+that this is more. So there are at most MAX_HOT hot keys and some 2 * MAX_HOT chunks
+whatever the size of the table, and the table of cuts is broadcast with that bound. Both
+come from one sample of SAMPLE rows a limit, two million rows at most, without a second
+pass and without the driver: a key is hot if its share of the sample says so, and its cuts
+are every so many sampled rows in order. Any type that can be ordered will do and all
+order columns count; only rows equal in all of them cannot be told apart.
+
+``running`` carries sums along whole histories: within a chunk by a window, from chunk to
+chunk by prefix sums over one row a chunk. Positions are running counts.
 
 Finding hot keys runs short jobs when the operator is built. So pass a table, or a light
 projection of one, rather than an expensive plan, and where several operators share a
@@ -22,39 +26,50 @@ table, split it once and pass the Split to each.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from purchaseflow.sources.scratch import staged
 
 CHUNK = "__chunk"
 CHUNK_ROWS = 1_000_000
-SAMPLE = 500  # rows sampled, on average, of a key at the limit
+MAX_HOT = 10_000  # hot keys at most
+SAMPLE = 200  # rows sampled, on average, of a key at the limit
 FILL = 0.75  # of the limit that a chunk holds on average
+_CUTS = "__cuts"
 
 
 @dataclass(frozen=True)
 class Split:
-    """A table in two parts.
+    """A table whose rows of hot keys carry the number of their chunk.
 
-    ``ordinary``: rows of keys that fit one task, as they were.
-    ``hot``: rows of the other keys with CHUNK, or None if there are none.
+    ``rows`` has CHUNK, null in rows of ordinary keys, if ``cut``; else no key is hot and
+    there is no such column.
     """
 
-    ordinary: DataFrame
-    hot: DataFrame | None
+    rows: DataFrame
+    cut: bool = False
+
+    @property
+    def ordinary(self) -> DataFrame:
+        """Rows of keys that fit one task, as they were."""
+        return self.rows.filter(F.col(CHUNK).isNull()).drop(CHUNK) if self.cut else self.rows
+
+    @property
+    def hot(self) -> DataFrame | None:
+        """Rows of the other keys with CHUNK, or None if there are none."""
+        return self.rows.filter(F.col(CHUNK).isNotNull()) if self.cut else None
 
     @property
     def columns(self) -> list[str]:
-        return self.ordinary.columns
+        return [c for c in self.rows.columns if c != CHUNK]
 
     def select(self, *columns) -> Split:
-        """Both parts with these columns, which must include the keys and the order."""
-        hot = None if self.hot is None else self.hot.select(*columns, CHUNK)
-        return Split(self.ordinary.select(*columns), hot)
+        """The rows with these columns, which must include the keys and the order."""
+        return Split(self.rows.select(*columns, *[CHUNK] * self.cut), self.cut)
 
 
 def split(
@@ -64,20 +79,57 @@ def split(
     chunk_rows: int | None = CHUNK_ROWS,
     base: str | None = None,
 ) -> Split:
-    """``df`` in two parts; ``base`` is a shared folder for the hot rows (see scratch_dir)."""
+    """``df`` with its hot keys in chunks; ``base`` is a shared folder (see scratch_dir)."""
     keys, order = list(keys), list(order)
     df.sort(*keys, *order)  # only analysed: what has no order fails here at every size
-    if chunk_rows is None or df.count() <= chunk_rows:
-        return Split(df, None)
-    found = staged(_hot_keys(df, keys, chunk_rows), "hot-keys", base)
-    rows = found.agg(F.sum("__rows")).first()[0]
-    if not rows:
-        return Split(df, None)
-    hot = found.drop("__rows")
-    chunks = max(1, -(-rows // max(1, int(chunk_rows * FILL))))
-    ranged = match(df, hot, keys, "left_semi").repartitionByRange(chunks, *keys, *order)
-    cut = ranged.withColumn(CHUNK, F.spark_partition_id().cast("long"))
-    return Split(match(df, hot, keys, "left_anti"), staged(cut, "hot-rows", base))
+    if chunk_rows is None:
+        return Split(df)
+    rows = df.count()
+    limit = max(chunk_rows, rows // MAX_HOT)
+    if rows <= limit:
+        return Split(df)
+    cuts = staged(_cuts(df, keys, order, limit), "cuts", base)
+    most = cuts.agg(F.max(F.size(_CUTS))).first()[0]
+    if most is None:
+        return Split(df)
+    marked = match(df, F.broadcast(cuts), keys, "left")
+    chunk = F.when(F.col(_CUTS).isNotNull(), _place(F.col(_CUTS), F.struct(*order), most))
+    return Split(marked.withColumn(CHUNK, chunk.cast("long")).drop(_CUTS), True)
+
+
+def _cuts(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
+    """Hot keys, and the sorted places (structs of the order) where their chunks begin.
+
+    A key at the limit has some SAMPLE rows in the sample, so it may be taken for hot or
+    not by a twelfth of its size; above that it is hot for certain.
+    """
+    rate = min(1.0, SAMPLE / limit)
+    seen = df.select(*dict.fromkeys([*keys, *order]))
+    seen = seen.sample(rate, seed=1) if rate < 1 else seen
+    step = max(1, int(rate * limit * FILL))
+    own = Window.partitionBy(*keys)
+    numbered = seen.withColumns(
+        {
+            "__seen": F.count(F.lit(1)).over(own),
+            "__nth": F.row_number().over(own.orderBy(*order)) - 1,
+        }
+    )
+    chosen = numbered.filter(
+        (F.col("__seen") > rate * limit) & (F.col("__nth") > 0) & (F.col("__nth") % step == 0)
+    )
+    places = F.sort_array(F.array_distinct(F.collect_list(F.struct(*order))))
+    return chosen.groupBy(*keys).agg(places.alias(_CUTS))
+
+
+def _place(cuts: Column, row: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` are not above ``row``, by binary search."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
+
+    def on(low: Column, step: Column) -> Column:
+        far = low + step
+        return F.when((far <= F.size(cuts)) & (F.get(cuts, far - 1) <= row), far).otherwise(low)
+
+    return F.aggregate(steps, F.lit(0), on)
 
 
 def match(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
@@ -89,21 +141,47 @@ def match(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataF
     return df.join(other.withColumnsRenamed(names), same, how).drop(*names.values())
 
 
-def _hot_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows, and ``__rows``.
-
-    A sample names the candidates, so the pass over all keys shuffles next to nothing;
-    counts of the candidates are exact. A key at the limit would have to show up at half
-    its expected number to be missed, and would then merely stay whole.
+def running(
+    df: DataFrame | Split,
+    keys: Sequence[str],
+    order: Sequence[str],
+    sums: Mapping[str, Column],
+    chunk_rows: int | None = CHUNK_ROWS,
+    opening: Column | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Adds, for each ``new name -> value``, the sum of it over the key's rows up to this one.
+
+    Returns ordinary rows, and hot rows (with CHUNK) or None. With ``opening`` the
+    column ``__opening`` has that value of the key's first row. ``order`` must break
+    ties. Rows move once; what joins them is a row for each chunk, which is broadcast
+    within the bound that ``split`` keeps.
     """
-    rate = min(1.0, SAMPLE / limit)
-    candidates = (
-        df.select(*keys)
-        .sample(rate, seed=1)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__seen"))
-        .filter(F.col("__seen") >= rate * limit / 2)
-        .select(*keys)
+    keys, order = list(keys), list(order)
+    parts = df if isinstance(df, Split) else split(df, keys, order, chunk_rows)
+
+    def along(frame: DataFrame, by: list[str], suffix: str = "") -> DataFrame:
+        own = Window.partitionBy(*by).orderBy(*order)
+        upto = own.rowsBetween(Window.unboundedPreceding, 0)
+        found = {name + suffix: F.sum(value).over(upto) for name, value in sums.items()}
+        if opening is not None and not suffix:
+            found["__opening"] = F.first(opening).over(own)
+        return frame.withColumns(found)
+
+    ordinary = along(parts.ordinary, keys)
+    if not parts.cut:
+        return ordinary, None
+    head = {} if opening is None else {"__opening": F.min_by(opening, F.struct(*order))}
+    totals = {name: F.sum(value) for name, value in sums.items()} | head
+    chunks = parts.hot.groupBy(*keys, CHUNK).agg(*[v.alias(n) for n, v in totals.items()])
+    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select(
+        *keys,
+        CHUNK,
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}__before") for n in sums],
+        *[F.first(n).over(by_chunk).alias(n) for n in head],
     )
-    rows = match(df.select(*keys), candidates, keys, "left_semi").groupBy(*keys)
-    return rows.agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > limit)
+    inside = along(parts.hot, [*keys, CHUNK], "__inside")
+    hot = match(inside, F.broadcast(offsets), [*keys, CHUNK], "inner")
+    hot = hot.withColumns({n: F.col(f"{n}__before") + F.col(f"{n}__inside") for n in sums})
+    return ordinary, hot.drop(*[f"{n}__{part}" for n in sums for part in ("before", "inside")])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, Split, match, split
+from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, Split, running, split
 
 SEGMENT = "segment"
 PAGE_ITEMS = 10_000
@@ -16,31 +16,9 @@ POSITION = "position"
 def _placed(
     parts: Split, keys: list[str], order: list[str], first: Column
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Both parts with POSITION, exact and from 1, and ``__first``, ``first`` of row 1."""
-
-    def place(by: list[str]) -> Column:
-        return F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")
-
-    opening = F.first(first).over(Window.partitionBy(*keys).orderBy(*order))
-    ordinary = parts.ordinary.withColumns({POSITION: place(keys), "__first": opening})
-    if parts.hot is None:
-        return ordinary, None
-    chunks = parts.hot.groupBy(*keys, CHUNK).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min_by(first, F.struct(*order)).alias("__opening")
-    )
-    # one row for each chunk: a key of a million chunks has a trillion rows
-    along = Window.partitionBy(*keys).orderBy(CHUNK)
-    before = F.sum("__rows").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = chunks.select(
-        *keys,
-        CHUNK,
-        F.coalesce(before, F.lit(0)).alias("__before"),
-        F.first("__opening").over(along).alias("__first"),
-    )
-    inside = parts.hot.withColumn("__inside", place([*keys, CHUNK]))
-    hot = match(inside, offsets, [*keys, CHUNK], "inner")
-    position = F.col("__before") + F.col("__inside")
-    return ordinary, hot.withColumn(POSITION, position).drop("__before", "__inside", CHUNK)
+    """Both parts with POSITION, exact and from 1, and ``__opening``, ``first`` of row 1."""
+    count = {POSITION: F.lit(1).cast("long")}
+    return running(parts, keys, order, count, opening=first)
 
 
 def later_items(
@@ -57,11 +35,11 @@ def later_items(
     keys, order = list(keys), list(order)
     parts = df if isinstance(df, Split) else split(df, keys, order, chunk_rows)
     ordinary, hot = _placed(parts, keys, order, _opening(item, order))
-    rows = ordinary if hot is None else ordinary.unionByName(hot)
+    rows = ordinary if hot is None else ordinary.unionByName(hot.drop(CHUNK))
     return rows.filter(F.col(POSITION) > 1).select(
         *keys,
-        F.col("__first.item").alias("first_item"),
-        F.col("__first.date").alias(f"first_{order[0]}"),
+        F.col("__opening.item").alias("first_item"),
+        F.col("__opening.date").alias(f"first_{order[0]}"),
         (F.col(POSITION) - 1).alias(POSITION),
         F.col(item).alias("item"),
     )
@@ -95,32 +73,39 @@ def first_and_rest(
     parts = df if isinstance(df, Split) else split(df.select(*fields), keys, order, chunk_rows)
     ordinary, hot = _placed(parts.select(*fields), keys, order, _opening(item, order))
 
-    def pages(frame: DataFrame) -> DataFrame:
-        later = F.col(POSITION) - 2
-        event = F.when(later >= 0, F.struct(POSITION, F.col(item).alias("item")))
-        page = F.floor(F.greatest(later, F.lit(0)) / page_items).cast("long")
+    later = F.col(POSITION) - 2
+    event = F.when(later >= 0, F.struct(POSITION, F.col(item).alias("item")))
+    page = F.floor(F.greatest(later, F.lit(0)) / page_items).cast("long").alias(SEGMENT)
+
+    def pages(frame: DataFrame, *chunk: str) -> DataFrame:
         return (
-            frame.select(*keys, "__first", page.alias(SEGMENT), event.alias("__event"))
-            .groupBy(*keys, SEGMENT)
+            frame.select(*keys, *chunk, "__opening", page, event.alias("__event"))
+            .groupBy(*keys, *chunk, SEGMENT)
             .agg(
-                F.first("__first").alias("__first"),
+                F.first("__opening").alias("__opening"),
                 F.sort_array(F.collect_list("__event")).alias("__events"),
             )
-            .select(
-                *keys,
-                F.col("__first.item").alias("first_item"),
-                F.col("__first.date").alias(f"first_{order[0]}"),
-                F.col("__events.item").alias("later_items"),
-                SEGMENT,
-            )
         )
 
-    found = pages(ordinary)
-    if attributes is not None:
-        found = found.join(attributes, keys, "inner")
+    def shown(listed: DataFrame) -> DataFrame:
+        found = listed.select(
+            *keys,
+            F.col("__opening.item").alias("first_item"),
+            F.col("__opening.date").alias(f"first_{order[0]}"),
+            F.col("__events.item").alias("later_items"),
+            SEGMENT,
+        )
+        return found if attributes is None else found.join(attributes, keys, "inner")
+
     if hot is None:
-        return found
-    long = pages(hot)
-    if attributes is not None:
-        long = long.join(attributes, keys, "inner")
-    return found.unionByName(long)
+        return shown(pages(ordinary))
+    # parts of a page in different chunks meet again, as lists
+    whole = (
+        pages(hot, CHUNK)
+        .groupBy(*keys, SEGMENT)
+        .agg(
+            F.first("__opening").alias("__opening"),
+            F.sort_array(F.flatten(F.collect_list("__events"))).alias("__events"),
+        )
+    )
+    return shown(pages(ordinary)).unionByName(shown(whole))

@@ -21,8 +21,9 @@ def with_next(
     """Adds, for each ``new name -> column``, the value in the key's very next row.
 
     ``order`` must break ties, for example (date, id). One window serves all rows: an
-    ordinary key is one chunk, a hot key several, and each of those is lent the first
-    row of the next one, so the window over a chunk already sees across its end.
+    ordinary key is one group, each chunk of a hot key another, and a chunk is lent the
+    first row of the next one, so the window over it already sees across its end. Rows
+    move once, and the lent ones are found before that, in the map tasks.
     """
     keys, order = list(keys), list(order)
     parts = df if isinstance(df, Split) else split(df, keys, order, chunk_rows)
@@ -33,8 +34,8 @@ def with_next(
             {new: F.lead(old).over(window) for new, old in columns.items()}
         )
 
-    if parts.hot is None:
-        return lead(parts.ordinary, keys)
+    if not parts.cut:
+        return lead(parts.rows, keys)
     carried = [c for c in dict.fromkeys([*order, *columns.values()]) if c not in keys]
     heads = parts.hot.groupBy(*keys, CHUNK).agg(
         F.min_by(F.struct(*carried), F.struct(*order)).alias("__head")
@@ -42,8 +43,9 @@ def with_next(
     guests = heads.select(
         *keys, (F.col(CHUNK) - 1).alias(CHUNK), "__head.*", F.lit(True).alias(_GUEST)
     )
-    rows = parts.ordinary.withColumn(CHUNK, F.lit(-2).cast("long")).unionByName(parts.hot)
-    lent = rows.withColumn(_GUEST, F.lit(False)).unionByName(guests, allowMissingColumns=True)
+    lent = parts.rows.withColumn(_GUEST, F.lit(False)).unionByName(
+        guests, allowMissingColumns=True
+    )
     return lead(lent, [*keys, CHUNK]).filter(~F.col(_GUEST)).drop(_GUEST, CHUNK)
 
 

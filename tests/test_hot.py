@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from purchaseflow.operators import hot, journeys, sequence
 
@@ -232,3 +232,58 @@ def test_one_search_one_window_and_few_scans(spark, skewed, plan, tmp_path):
     text = plan(sequence.with_next(parts, KEY, ORDER, {"after": "id"}), "simple")
     assert text.count("Window [") == 1
     assert text.count("/fact") <= 2
+
+
+def exchanges(text):
+    """Shuffles of rows in a plan: those not fed by an aggregate, which has a row a chunk."""
+    lines = [x.strip(" +-:*()0123456789") for x in text.splitlines()]
+    shuffles = [i for i, x in enumerate(lines) if x.startswith("Exchange hashpartitioning")]
+    return sum("Aggregate(" not in " ".join(lines[i + 1 : i + 3]) for i in shuffles)
+
+
+def test_hot_rows_move_once(skewed, plan):
+    parts = hot.split(skewed, KEY, ORDER, 50)
+    follow = sequence.with_next(parts, KEY, ORDER, {"after": "id"})
+    assert exchanges(plan(follow, "simple")) == 1
+    later = journeys.later_items(parts, KEY, ORDER, "item")
+    # ordinary and hot rows are two branches with a shuffle each
+    assert exchanges(plan(later, "simple")) == 2
+
+
+def test_chunks_are_neither_tasks_nor_files(spark, skewed, tmp_path):
+    def work(limit):
+        base = str(tmp_path / f"at{limit}")
+        parts = hot.split(skewed, KEY, ORDER, limit, base)
+        chunks = parts.hot.select("key", hot.CHUNK).distinct().count()
+        after = sequence.with_next(parts, KEY, ORDER, {"after": "id"})
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            tasks = after.rdd.getNumPartitions()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        return chunks, tasks, len(list(tmp_path.glob(f"at{limit}/*/*.parquet")))
+
+    few, many = work(400), work(10)
+    assert many[0] > 20 * few[0]
+    assert many[1] == few[1] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert many[2] <= int(spark.conf.get("spark.sql.shuffle.partitions")) >= few[2]
+
+
+@pytest.mark.parametrize("limit", [10, 150, 100_000])
+def test_running_sums_cross_chunks(skewed, limit):
+    sums = {"n": F.lit(1).cast("long"), "total": F.col("id")}
+    own = Window.partitionBy(*KEY).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    plain = skewed.withColumns({name: F.sum(value).over(own) for name, value in sums.items()})
+    ordinary, cut = hot.running(skewed, KEY, ORDER, sums, limit)
+    assert (cut is None) == (limit == 100_000)
+    found = ordinary if cut is None else ordinary.unionByName(cut.drop(hot.CHUNK))
+    assert rows_of(found.select(plain.columns)) == rows_of(plain)
+
+
+def test_the_number_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(hot, "MAX_HOT", 5)
+    rows = spark.range(5000).select("id", (F.col("id") % 50).alias("key"), F.lit(DAY).alias("d"))
+    assert not hot.split(rows, KEY, ORDER, 10).cut  # 100 rows a key, of 5,000: all ordinary
+    rows = rows.withColumn("key", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("key")))
+    parts = hot.split(rows, KEY, ORDER, 10)
+    assert [r.key for r in parts.hot.select("key").distinct().collect()] == [0]
