@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from purchaseflow.operators import journeys, ranking, sets, standardise
 from purchaseflow.operators.enrich import with_dimension
@@ -151,13 +151,75 @@ def test_rank_uses_rounded_revenue_then_the_next_key(spark):
     }
 
 
-@pytest.mark.parametrize("k", [1001, 100_000])
-def test_large_top_k_never_sorts_the_table_in_one_task(spark, plan, k):
-    df = spark.range(300_000).select(F.col("id").alias("revenue"), F.lit("x").alias("payload"))
-    text = plan(ranking.top_k(df, ["-revenue"], k), "simple")
-    assert "payload" not in text[text.index("Window [") :].split("Join")[0]
-    assert f"TakeOrderedAndProject(limit={k}" in text or "LocalLimit" in text
-    assert ranking.top_k(df, ["-revenue"], k).count() == k
+@pytest.fixture
+def most_read(spark):
+    """The most shuffled rows that a task has read since the fixture was made."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    known = spark._jvm.java.util.ArrayList
+    quantiles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def stages():
+        found = store.stageList(known(), False, False, quantiles, known())
+        return {found.apply(i).stageId(): found.apply(i) for i in range(found.size())}
+
+    before = set(stages())
+
+    def rows() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        most = 0
+        for number, stage in stages().items():
+            if number not in before and stage.shuffleReadRecords():
+                tasks = store.taskList(number, stage.attemptId(), 10_000)
+                for i in range(tasks.size()):
+                    read = tasks.apply(i).taskMetrics().get().shuffleReadMetrics()
+                    most = max(most, read.recordsRead())
+        return most
+
+    return rows
+
+
+@pytest.mark.parametrize("k, tasks", [(1001, 8), (20_000, 400), (1_000_000, 1_000)])
+def test_large_top_k_gives_no_task_more_than_its_range(spark, most_read, k, tasks):
+    df = spark.range(0, 3 * k, 1, tasks).select(
+        (F.col("id") * 7919 % (3 * k)).alias("revenue"), F.lit("x").alias("payload")
+    )
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "1m")  # so that the rows meet their ranks in a shuffle too
+    try:
+        got = ranking.top_k(df, ["-revenue"], k).agg(
+            F.count("*"), F.min("revenue"), F.max("rank"), F.max(F.col("revenue") + F.col("rank"))
+        )
+        assert got.first() == (k, 2 * k, k, 3 * k)
+    finally:
+        spark.conf.set(threshold, before)
+    # three shuffles: all rows by range or key, none by tasks times k
+    assert most_read() <= 3 * (3 * k / shuffles)
+
+
+def test_large_top_k_equals_a_sort(spark):
+    rows = [
+        (None if i % 17 == 0 else i % 211, None if i % 13 == 0 else f"n{i % 97}", float("nan") if i % 19 == 0 else i / 7)
+        for i in range(6000)
+    ]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    for order in (["a", "-b", "c"], ["-c", "a"], ["-a", "b", "-c"]):
+        names = [o.removeprefix("-") for o in order]
+        sorting = [F.desc(n) if o[0] == "-" else F.asc(n) for n, o in zip(names, order)]
+        plain = df.withColumn("rank", F.dense_rank().over(Window.orderBy(*sorting)))
+        got = ranking.top_k(df, order, 1500)
+        expected = plain.filter("rank <= 1500")
+        assert sorted(map(repr, got.select(expected.columns).collect())) == sorted(
+            map(repr, expected.collect())
+        )
+
+
+def test_top_k_beyond_the_table_keeps_all(spark):
+    df = spark.range(3000).select(F.struct("id").alias("s"), (F.col("id") % 2000).alias("v"))
+    assert ranking.top_k(df, ["v"], 5000).agg(F.max("rank")).first()[0] == 2000
+    assert ranking.top_k(df, ["-s"], 2500).count() == 2500
+    assert ranking.top_k(df.limit(0), ["v"], 5000).isEmpty()
 
 
 def test_a_mass_of_ties_stays_whole(spark):
