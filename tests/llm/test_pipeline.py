@@ -49,5 +49,5 @@ def test_run_is_registered_and_whole(spark, sf_dir, stages):
     assert found.count() == stages[-1].count()
     assert set(queries.queries()) < set(contract.queries())
     assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(
-        f"op{i}" for i in range(1, 11)
+        f"op{i}" for i in range(1, 14)
     )
