@@ -22,9 +22,9 @@ aggregate before any shuffle, and the join back is one that Spark splits when sk
 a line that a third of all documents share stays bounded. Nothing is collected beyond
 the lines of one document.
 
-With ``inside`` lines are cut into pieces, which take the place of lines in all of this,
-so that passages within lines are found too (see ``_starts``); words are then parted by
-white space of any kind.
+``deleted_pieces`` cuts lines into pieces, which take the place of lines in all of this, so
+that passages within lines are found too (see ``_starts``); words are then parted by white
+space of any kind. The pipeline's stage uses it.
 """
 
 from __future__ import annotations
@@ -44,6 +44,9 @@ SIGNS = "\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400
 SIGNS += "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f" + r"\x{20000}-\x{3ffff}"
 _NEW_WORD = f"(?=[^{BLANKS}])(?<=[{BLANKS}{SIGNS}])|(?=[{SIGNS}])(?<=[^{BLANKS}])"
 
+# texts in which nothing but a blank or a line end parts words: most, and much cheaper to cut
+_PLAIN = "\\A[\\n -~\u00a1-\u0dff\u2010-\u2027\u2030-\u205e]*+\\z"
+
 
 def _lines(text: str | Column) -> Column:
     return F.split(text, LINE_END, -1)
@@ -109,25 +112,34 @@ def _spans(starts: Column, count: Column, then) -> Column:
 
 def _pieces(text: str | Column) -> Column:
     """Per piece of each line: hash and number of words (0 for a line without words)."""
+    text = F.col(text) if isinstance(text, str) else text
 
-    def of(line: Column) -> Column:
-        def spans(hashes: Column) -> Column:
-            return _bound(
-                _starts(hashes),
-                lambda starts: _spans(
-                    starts,
-                    F.size(hashes),
-                    lambda s, n, _: F.struct(
-                        F.xxhash64(F.slice(hashes, s + 1, n)).alias("h"), n.alias("w")
-                    ),
+    def of(hashes: Column) -> Column:
+        nothing = F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("w")))
+        found = _bound(
+            _starts(hashes),
+            lambda starts: _spans(
+                starts,
+                F.size(hashes),
+                lambda s, n, _: F.struct(
+                    F.xxhash64(F.slice(hashes, s + 1, n)).alias("h"), n.alias("w")
                 ),
-            )
+            ),
+        )
+        return F.when(F.size(hashes) == 0, nothing).otherwise(found)
 
-        nothing = F.array(F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("w")))
-        return F.when(line == "", nothing).otherwise(_bound(_hashes(_words(line)), spans))
+    def any_script(line: Column) -> Column:
+        body = F.btrim(line, F.lit(BLANKS))
+        words = F.when(body == "", F.array().cast("array<string>")).otherwise(_words(body))
+        return _bound(_hashes(words), of)
+
+    def blanks_only(line: Column) -> Column:
+        words = F.filter(F.split(line, " ", -1), lambda x: x != "")
+        return _bound(F.transform(words, lambda x: F.xxhash64(x)), of)
 
-    return F.flatten(
-        F.transform(_lines(text), lambda x: _bound(F.btrim(x, F.lit(BLANKS)), of))
+    lines = _lines(text)
+    return F.when(text.rlike(_PLAIN), F.flatten(F.transform(lines, blanks_only))).otherwise(
+        F.flatten(F.transform(lines, any_script))
     )
 
 
@@ -161,7 +173,7 @@ def _parts(text: str | Column) -> Column:
     return F.flatten(F.transform(_lines(text), of))
 
 
-def windows(df: DataFrame, min_words: int, inside: bool = False) -> DataFrame:
+def windows(df: DataFrame, min_words: int) -> DataFrame:
     """Per line with words: the windows that begin and end there, and their fingerprint.
 
     ``ahead`` and ``behind`` are structs (key, start, end) or null where the document
@@ -179,7 +191,6 @@ def windows(df: DataFrame, min_words: int, inside: bool = False) -> DataFrame:
             .alias("w"),
         ),
     )
-    measured = _pieces(TEXT) if inside else measured
     once = (
         df.select(ID, HASH, measured.alias("__lines"))
         .groupBy(ID, HASH)
@@ -223,17 +234,10 @@ def windows(df: DataFrame, min_words: int, inside: bool = False) -> DataFrame:
 
 
 def deleted_lines(
-    df: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    min_words: int = MIN_WORDS,
-    inside: bool = False,
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """ID, HASH and ``gone``: the numbers, from 0, of a document's lines to delete.
-
-    With ``inside``, of its pieces.
-    """
-    found = staged(windows(keyed(df, doc_id, text), min_words, inside), "lines")
+    """ID, HASH and ``gone``: the numbers, from 0, of a document's lines to delete."""
+    found = staged(windows(keyed(df, doc_id, text), min_words), "lines")
     place = F.struct(ID, HASH, "print_at")
     twice = (
         found.filter(F.col("ahead").isNotNull())
@@ -269,6 +273,183 @@ def deleted_lines(
     )
 
 
+def _window_ends(words: Column, min_words: int, then) -> Column:
+    """``then(piece_of, first)``: the piece of each word, and each piece's first word.
+
+    The shortest window ahead of a piece ends in the piece of its first word's
+    ``min_words``-th; likewise backwards.
+    """
+    of = F.flatten(F.transform(words, lambda w, i: F.array_repeat(i, w)))
+
+    def firsts(piece_of: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(piece_of) - 1)
+        begins = F.filter(
+            places, lambda k: (k == 0) | (F.get(piece_of, k) != F.get(piece_of, k - 1))
+        )
+        return _bound(begins, lambda first: then(piece_of, first))
+
+    return _bound(of, firsts)
+
+
+def _prints(h: str, w: str, min_words: int) -> Column:
+    """The different window minima of a text's pieces; those of two pieces stand twice."""
+
+    def minima(piece_of: Column, first: Column) -> Column:
+        def lowest(at: Column, i: Column) -> Column:
+            end = F.get(piece_of, at + (min_words - 1))
+            return F.when(end.isNotNull(), F.array_min(F.slice(h, i + 1, end - i + 1)))
+
+        return F.array_distinct(F.filter(F.transform(first, lowest), lambda x: x.isNotNull()))
+
+    def with_repeats(found: Column) -> Column:
+        again = _bound(
+            F.sort_array(h),
+            lambda a: F.filter(a, lambda x, i: (i > 0) & (x == F.get(a, i - 1))),
+        )
+        repeated = F.size(F.array_distinct(h)) < F.size(h)
+        return F.when(repeated, F.concat(found, F.array_intersect(found, again))).otherwise(found)
+
+    return _bound(_window_ends(F.col(w), min_words, minima), with_repeats)
+
+
+def _repeated_windows(min_words: int) -> Column:
+    """Structs (key, start, end) of the windows of ``h``, ``w`` with a minimum in ``prints``.
+
+    Ahead of each piece and, where that is another one, behind it.
+    """
+
+    def found(piece_of: Column, first: Column) -> Column:
+        words = F.size(piece_of)
+
+        def shown(begin: Column, end: Column) -> Column:
+            listed = F.slice("h", begin + 1, end - begin + 1)
+            return F.struct(
+                F.xxhash64(listed).alias("a"),
+                F.xxhash64(F.lit(1), listed).alias("b"),
+                begin.alias("start"),
+                end.alias("end"),
+            )
+
+        def lowest(begin: Column) -> Column:
+            end = F.get(piece_of, F.get(first, begin) + (min_words - 1))
+            return F.array_min(F.slice("h", begin + 1, end - begin + 1))
+
+        def ahead(at: Column, i: Column) -> Column:
+            end = F.get(piece_of, at + (min_words - 1))
+            here = end.isNotNull() & F.array_contains("prints", F.array_min(F.slice("h", i + 1, end - i + 1)))
+            return F.when(here, shown(i, end))
+
+        def behind(at: Column, i: Column) -> Column:
+            upto = F.coalesce(F.get(first, i + 1), words)
+            begin = F.get(piece_of, upto - min_words)
+            enough = (upto >= min_words) & begin.isNotNull()
+            # the window ahead of ``begin`` lies inside this one; if it is this one, it is there
+            other = F.get(piece_of, F.get(first, begin) + (min_words - 1)) != i
+            here = enough & other & F.array_contains("prints", lowest(begin))
+            return F.when(here, shown(begin, i))
+
+        both = F.concat(F.transform(first, ahead), F.transform(first, behind))
+        return F.filter(both, lambda x: x.isNotNull())
+
+    return _window_ends(F.col("w"), min_words, found)
+
+
+def deleted_pieces(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
+    """ID, HASH, ``gone`` (numbers of the pieces to delete, from 0) and ``whole``.
+
+    The same rule as for lines, with less to move. A text is worked on once, at its first
+    place; its later copies are repeated as a whole, and go by that. Of the windows of the
+    different texts only the distinct minima are counted. Windows themselves are built
+    for texts with a minimum that was seen twice, and only around such minima.
+    """
+    rows = keyed(df, doc_id, text)
+    second = F.xxhash64(F.lit(1), TEXT).alias("__hash2")
+    numbered = F.transform(
+        _pieces(TEXT), lambda x, i: F.struct(x["h"].alias("h"), x["w"].alias("w"), i.alias("at"))
+    )
+    once = (
+        rows.select(ID, HASH, second, F.filter(numbered, lambda x: x["w"] > 0).alias("__pieces"))
+        .groupBy(HASH, "__hash2")
+        .agg(
+            F.min(F.struct(ID)).alias("__place"),
+            F.count(F.lit(1)).alias("__copies"),
+            F.first("__pieces").alias("__pieces"),
+        )
+        .filter(F.size("__pieces") > 0)
+        .select(
+            F.col(f"__place.{ID}").alias(ID),
+            HASH,
+            "__hash2",
+            "__copies",
+            F.col("__pieces.h").alias("h"),
+            F.col("__pieces.w").alias("w"),
+            F.col("__pieces.at").alias("at"),
+        )
+    )
+    texts = staged(once.withColumn("prints", _prints("h", "w", min_words)), "texts")
+    own = texts.filter(F.size("prints") > 0).select(HASH, "__hash2", F.explode("prints").alias("print"))
+    twice = own.groupBy("print").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    # each aggregate is written before it is joined: a join with a bare aggregate shares
+    # its partitioning, and Spark does not split that when a key is hot
+    seen = staged(twice.select(F.col("print").alias("__print")), "prints")
+    marked = (
+        own.join(seen, F.col("print") == F.col("__print"), "left_semi")
+        .groupBy(F.col(HASH).alias("__h"), F.col("__hash2").alias("__h2"))
+        .agg(F.collect_set("print").alias("prints"))
+    )
+    same_text = (F.col(HASH) == F.col("__h")) & (F.col("__hash2") == F.col("__h2"))
+    around = texts.drop("prints").join(marked, same_text)
+    built = staged(
+        around.select(ID, HASH, "at", F.explode(_repeated_windows(min_words)).alias("x")).select(
+            "x.a",
+            "x.b",
+            ID,
+            HASH,
+            F.get("at", "x.start").alias("start"),
+            F.get("at", "x.end").alias("end"),
+        ),
+        "windows",
+    )
+    here = F.struct(ID, HASH, "start")
+    first = (
+        built.groupBy("a", "b")
+        .agg(F.min(here).alias("__first"), F.count(F.lit(1)).alias("__times"))
+        .filter(F.col("__times") > 1)
+        .drop("__times")
+    )
+    later = built.join(staged(first, "first"), ["a", "b"]).filter(here > F.col("__first"))
+    parts = (
+        later.groupBy(ID, HASH)
+        .agg(F.collect_set(F.struct("start", "end")).alias("__runs"))
+        .select(
+            ID,
+            HASH,
+            F.array_distinct(
+                F.flatten(F.transform("__runs", lambda r: F.sequence(r["start"], r["end"])))
+            ).alias("gone"),
+            F.lit(False).alias("whole"),
+        )
+    )
+    enough = F.aggregate("w", F.lit(0).cast("long"), lambda n, w: n + w) >= min_words
+    repeated = staged(
+        texts.filter((F.col("__copies") > 1) & enough).select(
+            F.col(HASH).alias("__h"), F.col("__hash2").alias("__h2"), F.col(ID).alias("__rep")
+        ),
+        "copied",
+    )
+    copies = (
+        rows.select(ID, HASH, second)
+        .join(repeated, same_text)
+        .filter(~F.col(ID).eqNullSafe(F.col("__rep")))
+        .select(ID, HASH)
+        .distinct()
+    )
+    none = F.lit(None).cast("array<int>").alias("gone")
+    return parts.unionByName(copies.select(ID, HASH, none, F.lit(True).alias("whole")))
+
+
 def without(text: str | Column, gone: str | Column) -> Column:
     """``text`` without the lines numbered in ``gone``."""
 
@@ -319,13 +500,17 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Runs are of pieces, so passages within lines go too. Other columns stay as they are, ``n_chars`` is counted anew.
     """
-    names = {ID: "__gone_id", HASH: "__gone_hash", "gone": "__gone"}
-    gone = deleted_lines(docs, inside=True).withColumnsRenamed(names)
+    names = {ID: "__gone_id", HASH: "__gone_hash", "gone": "__gone", "whole": "__whole"}
+    gone = deleted_pieces(docs).withColumnsRenamed(names)
     same = docs["doc_id"].eqNullSafe(gone["__gone_id"]) & (
         text_hash(docs["text"]) == gone["__gone_hash"]
     )
-    touched = F.col("__gone").isNotNull()
-    left = F.when(touched, without_pieces("text", F.col("__gone"))).otherwise(F.col("text"))
+    touched = F.col("__whole").isNotNull()
+    left = (
+        F.when(~touched, F.col("text"))
+        .when(F.col("__whole"), F.lit(""))
+        .otherwise(without_pieces("text", F.col("__gone")))
+    )
     joined = docs.join(gone, same, "left").withColumn("__left", left)
     anew = {"text": F.col("__left")}
     if "n_chars" in docs.columns:
