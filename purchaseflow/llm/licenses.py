@@ -111,8 +111,155 @@ SENTENCES = {
         "This work is licensed under a Creative Commons Attribution 4.0 International License"
     ),
     "all-rights": "All rights reserved",
+    "as-is-bsd": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY '
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED"
+    ),
+    "bsd-advertising": (
+        "All advertising materials mentioning features or use of this software must display the "
+        "following acknowledgement"
+    ),
+    "0bsd-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted"
+    ),
+    "gpl2-only-free": (
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License version 2 as published by the Free Software Foundation"
+    ),
+    "lgpl2-free": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Library General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License, or (at your option) any later version"
+    ),
+    "lgpl21-free": (
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version"
+    ),
+    "lgpl3-free": (
+        "This library is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version"
+    ),
+    "lgpl3-free-program": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version"
+    ),
+    "lgpl-useful": (
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"
+    ),
+    "agpl3-free": (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version"
+    ),
+    "perl-terms": (
+        "This library is free software; you can redistribute it and/or modify it under the same "
+        "terms as Perl itself"
+    ),
+    "perl-terms-program": (
+        "This program is free software; you can redistribute it and/or modify it under the same "
+        "terms as Perl itself"
+    ),
+    "artistic-2": "You may distribute this program under the Artistic License 2.0",
+    "epl1": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License v1.0 which accompanies this distribution"
+    ),
+    "epl2": (
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at"
+    ),
+    "mpl11": (
+        "The contents of this file are subject to the Mozilla Public License Version 1.1"
+    ),
+    "cddl1": (
+        "The contents of this file are subject to the terms of the Common Development and "
+        'Distribution License (the "License")'
+    ),
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions"
+    ),
+    "zlib-origin": (
+        "The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software"
+    ),
+    "boost": "Distributed under the Boost Software License, Version 1.0",
+    "postgresql-grant": (
+        "Permission to use, copy, modify, and distribute this software and its documentation for "
+        "any purpose, without fee, and without a written agreement is hereby granted, provided "
+        "that the above copyright notice and this paragraph and the following two paragraphs "
+        "appear in all copies"
+    ),
+    "hpnd-grant": (
+        "Permission to use, copy, modify, and distribute this software and its documentation for "
+        "any purpose and without fee is hereby granted, provided that the above copyright notice "
+        "appear in all copies and that both that copyright notice and this permission notice "
+        "appear in supporting documentation"
+    ),
+    "ofl": "This Font Software is licensed under the SIL Open Font License, Version 1.1",
+    "unlicense-anyone": (
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means"
+    ),
+    "cc0-dedicated": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related "
+        "and neighboring rights to this software to the public domain worldwide"
+    ),
+    "cc-by-sa-4-work": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+        "License"
+    ),
+    "cc-by-nd-4-work": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+        "International License"
+    ),
+    "cc-by-nc-sa-4-work": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License"
+    ),
+    "cc-by-nc-nd-4-work": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives "
+        "4.0 International License"
+    ),
+    "classpath-exception": (
+        "As a special exception, the copyright holders of this library give you permission to link "
+        "this library with independent modules to produce an executable, regardless of the license "
+        "terms of these independent modules, and to copy and distribute the resulting executable "
+        "under terms of your choice"
+    ),
+    "gcc-exception": (
+        "Under Section 7 of GPL version 3, you are granted additional permissions described in the "
+        "GCC Runtime Library Exception, version 3.1, as published by the Free Software Foundation"
+    ),
+    "llvm-exception": (
+        "Part of the LLVM Project, under the Apache License v2.0 with LLVM Exceptions"
+    ),
+    "autoconf-exception": (
+        "As a special exception to the GNU General Public License, if you distribute this file as "
+        "part of a program that contains a configuration script generated by Autoconf, you may "
+        "include it under the same distribution terms that you use for the rest of that program"
+    ),
 }
 
+# License identifiers whose tag lines are known sentences.
+TAGGED = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause",
+    "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "EPL-2.0",
+    "EUPL-1.2", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+    "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0",
+    "OFL-1.1", "Unlicense", "Zlib",
+)
+SENTENCES |= {f"tag-{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
+
 # Fixed values: (license, identifiers in order).
 RULES = (
     ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse")),
@@ -139,7 +286,46 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("CC0-1.0", ("cc0",)),
     ("LicenseRef-all-rights-reserved", ("all-rights",)),
+    ("BSD-4-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-advertising")),
+    ("BSD-3-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-endorse",
+                      "as-is-bsd")),
+    ("BSD-2-Clause", ("bsd-redistribution", "bsd-source", "bsd-binary", "as-is-bsd")),
+    ("0BSD", ("0bsd-grant",)),
+    ("GPL-2.0-only", ("gpl2-only-free", "gpl-useful")),
+    ("LGPL-2.0-or-later", ("lgpl2-free", "lgpl-useful")),
+    ("LGPL-2.1-or-later", ("lgpl21-free", "lgpl-useful")),
+    ("LGPL-3.0-or-later", ("lgpl3-free", "lgpl-useful")),
+    ("LGPL-3.0-or-later", ("lgpl3-free-program", "gpl-useful")),
+    ("AGPL-3.0-or-later", ("agpl3-free", "gpl-useful")),
+    ("Artistic-1.0-Perl OR GPL-1.0-or-later", ("perl-terms",)),
+    ("Artistic-1.0-Perl OR GPL-1.0-or-later", ("perl-terms-program",)),
+    ("Artistic-2.0", ("artistic-2",)),
+    ("EPL-1.0", ("epl1",)),
+    ("EPL-2.0", ("epl2",)),
+    ("MPL-1.1", ("mpl11",)),
+    ("CDDL-1.0", ("cddl1",)),
+    ("Zlib", ("zlib-as-is", "zlib-grant", "zlib-origin")),
+    ("Zlib", ("zlib-as-is", "zlib-grant")),
+    ("BSL-1.0", ("boost",)),
+    ("PostgreSQL", ("postgresql-grant",)),
+    ("HPND", ("hpnd-grant",)),
+    ("OFL-1.1", ("ofl",)),
+    ("Unlicense", ("unlicense", "unlicense-anyone")),
+    ("CC0-1.0", ("cc0-dedicated",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa-4-work",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4-work",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4-work",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4-work",)),
+    ("GPL-2.0-or-later WITH Classpath-exception-2.0", ("gpl2-free", "gpl-useful",
+                                                       "classpath-exception")),
+    ("GPL-3.0-or-later WITH GCC-exception-3.1", ("gpl-free", "gpl-useful", "gcc-exception")),
+    ("Apache-2.0 WITH LLVM-exception", ("llvm-exception",)),
+    ("GPL-2.0-or-later WITH Autoconf-exception-generic", ("gpl2-free", "gpl-useful",
+                                                          "autoconf-exception")),
+    ("GPL-3.0-or-later WITH Autoconf-exception-generic", ("gpl-free", "gpl-useful",
+                                                          "autoconf-exception")),
 )
+RULES += tuple((name, (f"tag-{name}",)) for name in TAGGED)
 
 _CUT = re.compile(r"\n|(?<=[.!?:;])\s")
 _WORD = re.compile(r"[^\W_]+")
@@ -171,11 +357,17 @@ class Scanner:
             for n in range(1, len(words) + 1)
         }
         self._rules = sorted(rules, key=lambda rule: -len(rule[1]))
-        quick = "|".join(sorted(map(re.escape, self._openings)))
-        signs = r"[^\w\n]*(?:_[^\w\n]*)*"
-        self._quick = re.compile(
-            rf"(?:^|[\n\s.!?:;]){signs}(?:{quick})(?![^\W_])", re.IGNORECASE
-        )
+        # texts without the first two words of a known sentence in a row are done at once;
+        # runs of other signs are possessive, so each is passed over once and time is linear
+        seconds: dict[str, set[str]] = {}
+        for first, *rest in (s.split(" ", 2) for s in self._ids):
+            seconds.setdefault(first, set()).add(rest[0] if rest else "")
+        pairs = [
+            re.escape(first)
+            + (rf"(?![^\W_])[\W_]++(?:{'|'.join(sorted(map(re.escape, after)))})" if all(after) else "")
+            for first, after in sorted(seconds.items())
+        ]
+        self._quick = re.compile(rf"(?<![^\W_])(?:{'|'.join(pairs)})(?![^\W_])", re.IGNORECASE)
 
     def identifiers(self, text: str) -> list[tuple[int, str]]:
         """(place, identifier) of the known sentences; the longest known one at a place."""
@@ -201,9 +393,12 @@ class Scanner:
     def matches(self, found: list[tuple[int, str]]) -> list[tuple[int, int, str]]:
         """(first place, last place, license) of the rules found in an identifier sequence."""
         used, matched = set(), []
+        places: dict[str, list[int]] = {}
+        for start, (_, name) in enumerate(found):
+            places.setdefault(name, []).append(start)
         for license_, wanted in self._rules:
-            for start, (_, opening) in enumerate(found):
-                if opening != wanted[0] or start in used:
+            for start in places.get(wanted[0], ()):
+                if start in used:
                     continue
                 chain = [start]
                 for name in wanted[1:]:

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -278,6 +279,67 @@ def test_licenses_of_odd_rows(odd, none, docs):
     assert row["licenses"] == "LicenseRef-all-rights-reserved"
 
 
+def brute_matches(found, rules):
+    """Rules by length, then listed order; earliest start; the nearest free next sentence."""
+    left, out = dict(found), []
+    for _, (license_, wanted) in sorted(enumerate(rules), key=lambda r: (-len(r[1][1]), r[0])):
+        for place in sorted(left):
+            if left.get(place) != wanted[0]:
+                continue
+            chain = [place]
+            for name in wanted[1:]:
+                near = [p for p in sorted(left) if chain[-1] < p <= chain[-1] + licenses.GAP + 1]
+                after = [p for p in near if left[p] == name]
+                if not after:
+                    break
+                chain.append(after[0])
+            else:
+                for p in chain:
+                    del left[p]
+                out.append((chain[0], chain[-1], license_))
+    return sorted(out)
+
+
+def test_license_rules_are_what_brute_force_finds():
+    rng, scan = random.Random(3), licenses.Scanner()
+    parts = [name for _, wanted in licenses.RULES for name in wanted]
+    for _ in range(400):
+        place, found = 0, []
+        for _ in range(rng.randrange(14)):
+            place += rng.choice([1, 1, 1, 2, 4, 5])
+            _, wanted = rng.choice(licenses.RULES)
+            for name in wanted if rng.random() < 0.6 else [rng.choice(parts)]:
+                found.append((place, name))
+                place += rng.choice([1, 1, 2, 5])
+        assert scan.matches(found) == brute_matches(found, licenses.RULES)
+
+
+def test_rules_name_known_sentences_and_every_sentence_is_found():
+    scan = licenses.Scanner()
+    assert {n for _, wanted in licenses.RULES for n in wanted} <= set(licenses.SENTENCES)
+    assert len({license_ for license_, _ in licenses.RULES}) >= 40
+    for text in licenses.SENTENCES.values():
+        assert scan.identifiers(f"x y.\n__{text}__.\nz") != []
+    text = licenses.SENTENCES
+    gpl = f"{text['gpl2-free']}.\n{text['gpl-useful']}.\nsee there.\n{text['classpath-exception']}."
+    assert [m[2] for m in scan.matches(scan.identifiers(gpl))] == [
+        "GPL-2.0-or-later WITH Classpath-exception-2.0"
+    ]
+
+
+@pytest.mark.parametrize("sign", [".", " ", "_", "_ ", "the ", "this.\t", "\u3000"])
+def test_long_runs_of_signs_are_scanned_in_linear_time(sign):
+    scan = licenses.Scanner()
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert scan.identifiers(f"The{sign * n}") == []
+        return time.perf_counter() - start
+
+    few, many = max(seconds(100_000), 0.02), seconds(1_000_000)
+    assert many < 40 * few
+
+
 # --- packing ------------------------------------------------------------------------
 
 
