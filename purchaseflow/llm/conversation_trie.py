@@ -174,15 +174,15 @@ def subtree_totals(
             F.coalesce(single & coin, F.lit(False)).alias("__up"),
         )
         below = tossed.select(
-            F.col("id").alias("__only"),
+            F.col("id").alias("__under"),
             F.col("__up").alias("__below_up"),
             *[F.col(o).alias(f"__below{o}") for o in out],
         )
         gone = F.col("__up") & ~F.coalesce("__below_up", F.lit(True))
-        chosen = staged(
-            tossed.join(below, "__only", "left").withColumn("__gone", gone).drop("__up", "__below_up"),
-            "compress",
-        )
+        # nodes without a single child look themselves up: nulls would all meet in one task
+        under = F.coalesce("__only", "id") == F.col("__under")
+        met = tossed.join(below, under, "left").withColumn("__gone", gone)
+        chosen = staged(met.drop("__up", "__below_up", "__under"), "compress")
         removed = chosen.filter("__gone")
         noted = [(F.col(v) + F.col(f"__below{o}")).alias(f"__more_{v}") for v, o in zip(values, out)]
         notes.append(removed.select("id", F.col("__only").alias("__child"), *noted))
@@ -203,15 +203,15 @@ def subtree_totals(
         )
     else:
         raise RuntimeError(f"the tree is not contracted after {rounds} rounds")
-    totals = known[0]
-    for leaves in known[1:]:
-        totals = totals.unionByName(leaves)
+    # what a round compressed hangs on nodes that went in later rounds, so each expansion
+    # reads only these; they are fewer and fewer
+    later = known.pop()
     for note in reversed(notes):
-        ready = totals.withColumnRenamed("id", "__child")
+        ready = later.withColumnRenamed("id", "__child")
         sums = [(F.col(v) + F.col(f"__more_{v}")).alias(v) for v in values]
-        expanded = note.join(ready, "__child").select("id", *sums)
-        totals = totals.unionByName(staged(expanded, "expand"))
-    return totals
+        expanded = staged(note.join(ready, "__child").select("id", *sums), "expand")
+        later = later.unionByName(expanded).unionByName(known.pop())
+    return later
 
 
 def ends_digest(ends: DataFrame, chunk_rows: int = LISTED) -> DataFrame:

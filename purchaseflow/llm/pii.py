@@ -3,16 +3,22 @@
 Base spans have an exact definition and always stay: e-mail addresses, IP addresses, card
 numbers that pass the Luhn test, international phone numbers; per kind the leftmost
 matches that do not overlap, without another try where one fails its test. Further
-candidates are looser: cards that fail the test, phone numbers without a country code,
-written-out e-mail addresses, IPv6 addresses, bank accounts, id numbers, titled names.
-
-Each candidate gets votes (1 personal, -1 not, 0 no opinion) of four labelers: its
-pattern's checks, a gazetteer, the words before it, its surroundings. Candidates with
-the same kind, votes and shape form one cell, and only cells are counted, over all
-documents: at most some ten thousand whatever the corpus. On the counts expectation-
-maximisation estimates how reliable each labeler is and how likely each cell is personal
-data; a logistic model of kind, votes and shape is trained on these likelihoods and
-decides. Added spans never overlap base spans or each other.
+candidates are looser: phone numbers without a country code, written-out e-mail addresses,
+IPv6 addresses, bank accounts, id numbers, titled names. Decoys look like one kind or
+another and are none: card-like numbers that fail the Luhn test, version numbers, ISBNs,
+digests. Candidates that overlap a decoy are given up, and decoys are never added.
+
+Each span gets votes (1 personal, -1 not, 0 no opinion) of four labelers: its pattern's
+checks, a gazetteer, the words before it, its surroundings. Spans with the same kind, votes
+and features form one cell, and only cells are counted, over all documents: at most some
+ten thousand whatever the corpus. On the counts expectation-maximisation estimates how
+reliable each labeler is for each kind and how likely each cell is personal data. Base spans
+are known to be, decoys known not to be; votes of 0 say nothing; rates are drawn towards
+labelers that are better than chance, those of a kind towards those of all, and stay better;
+and without evidence a candidate is rather not personal data. A logistic model is trained on these likelihoods and decides. Beside kind and votes
+it sees what the labelers do not: how long the span is, whether it is parted, whether it
+begins a line, and the word behind it (one of FOLLOWERS buckets). Added spans never
+overlap base spans or each other.
 
 Defined results: null text is empty text, without spans; without any candidate nothing is
 added; positions count code points, ends are exclusive; of added spans that overlap the
@@ -23,6 +29,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -33,6 +41,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "account", "id", "name")
 LIKELY = 0.5
+FOLLOWERS = 16
+TRUST = (8.0, 2.0)  # prior counts of a labeler's right and wrong votes
+KIND_WEIGHT = 10.0  # counts by which a kind's rates are drawn to those of all kinds
+CHANCE = 0.55  # every labeler is right more often than this, when it has an opinion
+DOUBT = (2.0, 1.0)  # prior counts of candidates that are not personal data, and that are
 LABELERS = ("checks", "gazetteer", "context", "surroundings")
 
 # The definition of base spans.
@@ -60,6 +73,13 @@ _NAME = re.compile(
     r"(?: [A-ZÀ-Þ][a-zà-ÿ]+)?"
 )
 
+# Patterns of decoys and the kind that each looks like.
+_DECOYS = (
+    (re.compile(r"(?<![\w.])v?[0-9]+(?:\.[0-9]+){2,}(?![\w.]|\.[0-9])"), "ip"),
+    (re.compile(r"(?<![\w-])97[89][- ]?(?:[0-9][- ]?){9}[0-9](?![\w-])"), "phone"),
+    (re.compile(r"(?<!\w)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w)"), "account"),
+)
+
 # Gazetteers.
 _ENDINGS = frozenset("com org net edu gov io de fr es it uk eu ch at be nl us ca info".split())
 _FIRST_NAMES = frozenset(
@@ -77,6 +97,7 @@ _CONTEXT = {
 }
 _AGAINST = frozenset("isbn version order invoice ref token key hash build serial no".split())
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
+_DIGIT = re.compile(r"[0-9]")
 
 
 def _luhn(digits: str) -> bool:
@@ -134,10 +155,16 @@ def _ordered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def candidates(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
-    """Base spans, and looser candidates that don't overlap them or each other."""
+def candidates(text: str) -> tuple[list, list, list]:
+    """Base spans; looser ones that overlap neither them, decoys nor each other; decoys."""
     base, failed = base_spans(text)
-    loose = [(s, e, "card") for s, e in failed]
+    decoys = [(s, e, "card") for s, e in failed]
+    if _DIGIT.search(text):
+        taken = _Taken((s, e) for s, e, _ in base)
+        for pattern, kind in _DECOYS:
+            spans = (m.span() for m in pattern.finditer(text))
+            decoys += [(s, e, kind) for s, e in spans if not taken.overlaps(s, e)]
+    loose = []
     if "(" in text or "[" in text:
         loose += [(*m.span(), "email") for m in _WRITTEN.finditer(text)]
     if re.search(r"[0-9][ .)-][0-9 ]", text):
@@ -148,15 +175,28 @@ def candidates(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, i
     if re.search(r"[A-Z][0-9]", text):
         loose += [(*m.span(), "account") for m in _ACCOUNT.finditer(text)]
     loose += [(*m.span(), "name") for m in _NAME.finditer(text)]
-    kept, taken = [], sorted((s, e) for s, e, _ in base)
+    kept, taken = [], _Taken((s, e) for s, e, _ in (*base, *decoys))
     for s, e, kind in sorted(loose, key=lambda x: (x[0], -x[1], KINDS.index(x[2]))):
-        if (not kept or s >= kept[-1][1]) and not _overlaps(taken, s, e):
+        if (not kept or s >= kept[-1][1]) and not taken.overlaps(s, e):
             kept.append((s, e, kind))
-    return base, kept
+    return base, kept, decoys
 
 
-def _overlaps(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    return any(s < end and start < e for s, e in taken)
+class _Taken:
+    """Places of a text that are taken, to be asked for in logarithmic time."""
+
+    def __init__(self, spans):
+        self._starts, self._ends = [], []
+        for start, end in sorted(spans):
+            if self._ends and start <= self._ends[-1]:
+                self._ends[-1] = max(self._ends[-1], end)
+            else:
+                self._starts.append(start)
+                self._ends.append(end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        after = bisect_right(self._ends, start)
+        return after < len(self._starts) and self._starts[after] < end
 
 
 def _votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int, int]:
@@ -171,9 +211,14 @@ def _votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int, i
     elif kind == "id":
         checks = -1 if span[:3] in ("000", "666") or span[0] == "9" or span[-4:] == "0000" else 1
     elif kind == "phone":
-        checks = 1 if span[0] == "+" or len(digits) in (10, 11) else 0
+        checks = 1 if span[0] == "+" else 0
+    elif kind == "ip":
+        parts = span.split(".")
+        checks = 1 if ":" in span or len(parts) == 4 and all(len(p) < 4 for p in parts) else -1
+    elif kind == "email":
+        checks = 1 if "@" in span or re.search(r"[A-Za-z]{2}$", span) else -1
     else:
-        checks = 1 if kind in ("email", "ip") else 0
+        checks = 0
     gazetteer = 0
     if kind == "email":
         ending = re.split(r"[.)\]\s]+", span.lower())[-1]
@@ -187,38 +232,78 @@ def _votes(text: str, start: int, end: int, kind: str) -> tuple[int, int, int, i
     context = 1 if any(w in own for w in before) else -1 if _AGAINST.intersection(before) else 0
     left, right = text[start - 1 : start], text[end : end + 1]
     joined = left.isalnum() or right.isalnum() or left in ("_", "=", "/", "$") or right == "_"
-    return checks, gazetteer, context, -1 if joined and left + right else 1
+    return checks, gazetteer, context, -1 if joined and left + right else 0
+
 
+def cell(text: str, start: int, end: int, kind: str, known: str = "") -> str:
+    """What the models see of a span: kind, votes, what voters do not see, and what is known.
 
-def cell(text: str, start: int, end: int, kind: str) -> str:
-    """What the models see of a candidate: kind, votes, digits and separators."""
+    ``known`` is "=1" for base spans, "=0" for decoys.
+    """
     span = text[start:end]
     digits = min(len(_digits(span)) // 3, 6)
     separated = int(any(c in " .-()" for c in span))
-    return ",".join([kind, *map(str, _votes(text, start, end, kind)), f"d{digits}", f"s{separated}"])
+    line = int(start == 0 or text[start - 1] == "\n")
+    behind = _WORD.search(text, end, end + 24)
+    word = zlib.crc32(behind[0].lower().encode()) % FOLLOWERS if behind else "n"
+    seen = [kind, *map(str, _votes(text, start, end, kind)), f"d{digits}", f"s{separated}"]
+    return ",".join([*seen, f"l{line}", f"b{word}", *[known] * bool(known)])
+
+
+def _cells(text: str) -> list[str]:
+    base, loose, decoys = candidates(text)
+    return [
+        *[cell(text, *s, "=1") for s in base],
+        *[cell(text, *s) for s in loose],
+        *[cell(text, *s, "=0") for s in decoys],
+    ]
 
 
-def reliabilities(cells: Mapping[str, int], rounds: int = 60) -> tuple[dict[str, float], np.ndarray]:
+def reliabilities(cells: Mapping[str, int], rounds: int = 100) -> tuple[dict[str, float], np.ndarray]:
     """EM over cell counts: how likely each cell is personal data, and the labelers' rates.
 
-    The rates are P(vote | personal or not) by labeler, class and vote (-1, 0, 1).
+    The rates are P(vote | personal or not, an opinion) by labeler, class and vote
+    (-1, 0, 1), over all kinds.
     """
     names = sorted(cells)
-    votes = np.array([[int(v) for v in name.split(",")[1:5]] for name in names])
+    fields = [name.split(",") for name in names]
+    votes = np.array([[int(v) for v in f[1:5]] for f in fields])
     count = np.array([cells[name] for name in names], dtype=float)
-    likely = 1 / (1 + np.exp(-votes.sum(axis=1).astype(float)))
-    rates = np.zeros((len(LABELERS), 2, 3))
+    kinds = sorted({f[0] for f in fields})
+    kind = np.array([kinds.index(f[0]) for f in fields])
+    known = np.array([{"=1": 1.0, "=0": 0.0}.get(f[-1], np.nan) for f in fields])
+    open_ = np.isnan(known)
+    likely = np.where(open_, 1 / (1 + np.exp(-votes.sum(axis=1).astype(float))), known)
+    prior_votes = np.zeros((2, 3))  # by class and vote
+    prior_votes[1, 2] = prior_votes[0, 0] = TRUST[0]
+    prior_votes[1, 0] = prior_votes[0, 2] = TRUST[1]
+    opinion = votes != 0
     for _ in range(rounds):
+        before = likely
         mass = np.stack([count * (1 - likely), count * likely])
+        seen = np.zeros((len(kinds), len(LABELERS), 2, 3))
         for k in range(len(LABELERS)):
+            at = opinion[:, k]
             for y in (0, 1):
-                seen = np.bincount(votes[:, k] + 1, mass[y], 3) + 1.0
-                rates[k, y] = seen / seen.sum()
-        prior = (mass.sum(axis=1) + 1) / (mass.sum() + 2)
-        log = np.log(prior)[:, None] + sum(
-            np.log(rates[k][:, votes[:, k] + 1]) for k in range(len(LABELERS))
-        )
-        likely = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
+                np.add.at(seen[:, k, y], (kind[at], votes[at, k] + 1), mass[y][at])
+        rates = seen.sum(axis=0) + prior_votes
+        rates /= rates.sum(axis=-1, keepdims=True)
+        own = seen + KIND_WEIGHT * rates
+        own /= own.sum(axis=-1, keepdims=True)
+        for y, right in ((0, 0), (1, 2)):
+            own[:, :, y, right] = np.maximum(own[:, :, y, right], CHANCE)
+            own[:, :, y, 2 - right] = np.minimum(own[:, :, y, 2 - right], 1 - CHANCE)
+        # how many of a kind's open candidates are personal data
+        share = np.tile(DOUBT, (len(kinds), 1))
+        for y in (0, 1):
+            np.add.at(share[:, y], kind[open_], mass[y][open_])
+        log = np.log(share / share.sum(axis=1, keepdims=True))[kind].T
+        for k in range(len(LABELERS)):
+            term = np.log(np.maximum(own[kind, k][np.arange(len(names)), :, votes[:, k] + 1], 1e-9))
+            log = log + np.where(opinion[:, k], term.T, 0.0)
+        likely = np.where(open_, 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50))), known)
+        if np.abs(likely - before).max(initial=0) < 1e-9:
+            break
     return dict(zip(names, likely.tolist(), strict=True)), rates
 
 
@@ -229,18 +314,19 @@ def train(cells: Mapping[str, int]) -> dict[str, float]:
     likely, _ = reliabilities(cells)
     names = sorted(cells)
     fields = [name.split(",") for name in names]
-    columns = sorted({(i, v) for f in fields for i, v in enumerate(f)})
-    place = {c: k for k, c in enumerate(columns)}
+    fields = [f[:-1] if f[-1][0] == "=" else f for f in fields]
+    # votes weigh by kind, the other features for all kinds alike
+    marked = [[f[0], *[(f[0], i, v) for i, v in enumerate(f[1:5])], *f[5:]] for f in fields]
+    columns = {c: k for k, c in enumerate(sorted({x for m in marked for x in m}, key=str))}
     x = np.zeros((len(names), len(columns) + 1))
     x[:, -1] = 1
-    for row, f in enumerate(fields):
-        for i, v in enumerate(f):
-            x[row, place[i, v]] = 1
+    for row, m in enumerate(marked):
+        x[row, [columns[c] for c in m]] = 1
     y = np.array([likely[name] for name in names])
     weight = np.sqrt(np.array([cells[name] for name in names], dtype=float))
     weight /= weight.sum()
-    w, ridge = np.zeros(x.shape[1]), 1e-3
-    for _ in range(30):
+    w, ridge = np.zeros(x.shape[1]), 1e-4
+    for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (weight * (p - y)) + ridge * w
         curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
@@ -258,8 +344,7 @@ def fit(df: DataFrame, text: str = "text") -> dict[str, float]:
             for start in range(0, batch.num_rows, 256):
                 for whole in batch.column(0).slice(start, 256).to_pylist():
                     if whole:
-                        base, loose = candidates(whole)
-                        found.update(cell(whole, *span) for span in (*base, *loose))
+                        found.update(_cells(whole))
         yield pa.RecordBatch.from_pydict(
             {"cell": pa.array(list(found), pa.string()), "n": pa.array(found.values(), pa.int64())}
         )
@@ -271,7 +356,7 @@ def fit(df: DataFrame, text: str = "text") -> dict[str, float]:
 
 def spans(text: str, model: Mapping[str, float]) -> tuple[list, list]:
     """Base spans, and all spans: base ones and candidates that the classifier takes."""
-    base, loose = candidates(text)
+    base, loose, _ = candidates(text)
     added = [s for s in loose if model.get(cell(text, *s), 0.0) >= LIKELY]
     return base, _ordered(base + added)
 
