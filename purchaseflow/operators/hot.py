@@ -148,12 +148,14 @@ def running(
     sums: Mapping[str, Column],
     chunk_rows: int | None = CHUNK_ROWS,
     opening: Column | None = None,
+    following: Column | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Adds, for each ``new name -> value``, the sum of it over the key's rows up to this one.
 
     Returns ordinary rows, and hot rows (with CHUNK) or None. With ``opening`` the
-    column ``__opening`` has that value of the key's first row. ``order`` must break
-    ties. Rows move once; what joins them is a row for each chunk, which is broadcast
+    column ``__opening`` has that value of the key's first row, with ``following`` the
+    column ``__following`` that of the very next row (never null but at the end, so give
+    a struct). ``order`` must break ties. Rows move once; what joins them is a row for each chunk, which is broadcast
     within the bound that ``split`` keeps.
     """
     keys, order = list(keys), list(order)
@@ -165,13 +167,16 @@ def running(
         found = {name + suffix: F.sum(value).over(upto) for name, value in sums.items()}
         if opening is not None and not suffix:
             found["__opening"] = F.first(opening).over(own)
+        if following is not None:
+            found["__following" + suffix] = F.lead(following).over(own)
         return frame.withColumns(found)
 
     ordinary = along(parts.ordinary, keys)
     if not parts.cut:
         return ordinary, None
     head = {} if opening is None else {"__opening": F.min_by(opening, F.struct(*order))}
-    totals = {name: F.sum(value) for name, value in sums.items()} | head
+    lent = {} if following is None else {"__following": F.min_by(following, F.struct(*order))}
+    totals = {name: F.sum(value) for name, value in sums.items()} | head | lent
     chunks = parts.hot.groupBy(*keys, CHUNK).agg(*[v.alias(n) for n, v in totals.items()])
     by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -180,8 +185,11 @@ def running(
         CHUNK,
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}__before") for n in sums],
         *[F.first(n).over(by_chunk).alias(n) for n in head],
+        *[F.lead(n).over(by_chunk).alias(f"{n}__before") for n in lent],
     )
     inside = along(parts.hot, [*keys, CHUNK], "__inside")
     hot = match(inside, F.broadcast(offsets), [*keys, CHUNK], "inner")
-    hot = hot.withColumns({n: F.col(f"{n}__before") + F.col(f"{n}__inside") for n in sums})
-    return ordinary, hot.drop(*[f"{n}__{part}" for n in sums for part in ("before", "inside")])
+    whole = {n: F.col(f"{n}__before") + F.col(f"{n}__inside") for n in sums}
+    whole |= {n: F.coalesce(f"{n}__inside", f"{n}__before") for n in lent}
+    parts_of = [f"{n}__{part}" for n in whole for part in ("before", "inside")]
+    return ordinary, hot.withColumns(whole).drop(*parts_of)

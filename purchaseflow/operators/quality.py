@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from purchaseflow.functions import any_null
 
@@ -40,6 +40,11 @@ def profile(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return wide.unpivot([], names, "check", "value")
 
 
+def counted(spark: SparkSession, values: Mapping[str, int]) -> DataFrame:
+    """Counts that are known already, as (check, value)."""
+    return spark.createDataFrame(list(values.items()), "check string, value long")
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """How many distinct key values occur more than once; null is one value."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")

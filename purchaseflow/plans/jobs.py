@@ -64,14 +64,16 @@ def extract(
 
     With ``staging_dir`` the transactions are first copied to Parquet. A gate and five
     analyses then parse the text once instead of once each, read only the columns
-    they need, and all see the same rows.
+    they need, and all see the same rows. What the gate counts in one pass over the
+    transactions is observed by the copy itself.
     """
     frames = {name: read(spark, source) for name, source in sources.items()}
+    counted = None
     if staging_dir is not None and sources["transactions"].fmt.lower() == "csv":
         path = f"{staging_dir}/transactions_parquet"
-        write(frames["transactions"], path)
+        counted = write(frames["transactions"], path, checks=purchases.transaction_checks())
         frames["transactions"] = read(spark, Source("parquet", path))
-    return Inputs(**frames, work_dir=staging_dir)
+    return Inputs(**frames, work_dir=staging_dir, counted=counted)
 
 
 def run(

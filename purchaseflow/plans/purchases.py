@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from purchaseflow.operators import journeys, quality, ranking, sequence, sets, standardise
+from purchaseflow.operators import history, journeys, quality, ranking, sequence, sets, standardise
 from purchaseflow.operators.enrich import with_dimension
 from purchaseflow.operators.hot import Split, split
 
@@ -34,6 +34,10 @@ class Inputs:
     customers: DataFrame
     products: DataFrame
     work_dir: str | None = None
+    # what the copy of the raw transactions has counted, by check
+    counted: Mapping[str, int] | None = None
+    # several analyses read one history, dealt by customer and written
+    shared: bool = False
 
     @cached_property
     def history(self) -> Split:
@@ -42,6 +46,11 @@ class Inputs:
         slim = self.transactions.select(*columns)
         return split(slim, _KEY, _HISTORY, base=self.work_dir)
 
+    @cached_property
+    def dealt(self) -> history.History:
+        """The same, dealt by customer and written on first use."""
+        return history.deal(self.history, _KEY, _HISTORY, "product_name", base=self.work_dir)
+
 
 def prepared_products(raw: DataFrame) -> DataFrame:
     """Products under the transactions' names, the raw name kept beside them."""
@@ -63,8 +72,10 @@ def followed_up(
     inputs: Inputs, first: str = FIRST_ITEM, then: str = NEXT_ITEM
 ) -> DataFrame:
     """Customers whose very next purchase after ``first`` was ``then``."""
-    found = sequence.followed_by(
-        inputs.history, _KEY, _HISTORY, "product_name", first, then
+    found = (
+        inputs.dealt.followed_by(first, then)
+        if inputs.shared
+        else sequence.followed_by(inputs.history, _KEY, _HISTORY, "product_name", first, then)
     ).withColumnsRenamed(
         {
             "first_transaction_id": "iphone_transaction_id",
@@ -89,7 +100,11 @@ def followed_up(
 
 def only_these(inputs: Inputs, items: tuple[str, ...] = (FIRST_ITEM, NEXT_ITEM)) -> DataFrame:
     """Customers whose complete product set is exactly ``items``."""
-    found = sets.exactly(inputs.transactions, _KEY, "product_name", items, name="products")
+    found = (
+        inputs.dealt.exactly(items, name="products")
+        if inputs.shared
+        else sets.exactly(inputs.transactions, _KEY, "product_name", items, name="products")
+    )
     people = inputs.customers.select("customer_id", "customer_name", "location")
     # fixed values: the output's columns
     return with_dimension(found, people, "customer_id").select(
@@ -104,9 +119,14 @@ def later_purchases(inputs: Inputs) -> DataFrame:
     ``journeys.PAGE_ITEMS`` later purchases.
     """
     people = inputs.customers.select("customer_id", "customer_name")
-    return journeys.first_and_rest(
-        inputs.history, _KEY, _HISTORY, "product_name", attributes=people
-    ).select(
+    found = (
+        with_dimension(inputs.dealt.first_and_rest(), people, "customer_id")
+        if inputs.shared
+        else journeys.first_and_rest(
+            inputs.history, _KEY, _HISTORY, "product_name", attributes=people
+        )
+    )
+    return found.select(
         "customer_id",
         "customer_name",
         F.col("first_item").alias("first_product"),
@@ -151,6 +171,7 @@ DERIVED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 
 
 NAMES = (*ANALYSES, *DERIVED)
+BY_CUSTOMER = {"iphone_then_airpods", "only_iphone_airpods", "subsequent_purchases"}
 
 # The columns that order an output where order is asked for.
 SORT_BY: dict[str, tuple[str, ...]] = {
@@ -162,10 +183,17 @@ SORT_BY: dict[str, tuple[str, ...]] = {
 
 
 def analyses(inputs: Inputs, names: Sequence[str] = NAMES) -> dict[str, DataFrame]:
-    """The results asked for as lazy DataFrames, by output name; no other is built."""
+    """The results asked for as lazy DataFrames, by output name; no other is built.
+
+    With a work folder, and where more than one of BY_CUSTOMER is asked for, these read
+    one history that is dealt by customer in one shuffle and written to that folder.
+    """
     unknown = sorted(set(names) - set(NAMES))
     if unknown:
         raise ValueError(f"unknown analyses {unknown}, known: {', '.join(NAMES)}")
+    wanted = {DERIVED[name][0] if name in DERIVED else name for name in names}
+    if inputs.work_dir is not None and len(wanted & BY_CUSTOMER) > 1:
+        inputs = replace(inputs, shared=True)
     results = {name: build(inputs) for name, build in ANALYSES.items() if name in names}
     for name, (origin, build) in DERIVED.items():
         if name in names:
@@ -188,34 +216,40 @@ CRITICAL = (
 )
 
 
-def quality_report(inputs: Inputs) -> DataFrame:
-    """All twelve checks as one lazy report (check, value, critical)."""
-    tx, people, goods = inputs.transactions, inputs.customers, inputs.products
+def _size_and_nulls(subject: str, columns: list[str]) -> dict[str, Column]:
+    return {
+        f"{subject}_rows": quality.row_count(),
+        f"{subject}_null_rows": quality.null_rows(columns),
+    }
 
-    def size_and_nulls(subject: str, columns: list[str]):
-        return {
-            f"{subject}_rows": quality.row_count(),
-            f"{subject}_null_rows": quality.null_rows(columns),
-        }
 
+def transaction_checks() -> dict[str, Column]:
+    """The checks of the transactions that need one pass over them and nothing else."""
+    return _size_and_nulls(
+        "transaction", ["transaction_id", "customer_id", "product_name", "transaction_date"]
+    )
+
+
+def quality_report(inputs: Inputs) -> DataFrame:
+    """All twelve checks as one lazy report (check, value, critical).
+
+    What the copy of the raw transactions has counted is not counted again.
+    """
+    tx, people, goods = inputs.transactions, inputs.customers, inputs.products
     return quality.suite(
         [
-            quality.profile(
-                tx,
-                size_and_nulls(
-                    "transaction",
-                    ["transaction_id", "customer_id", "product_name", "transaction_date"],
-                ),
-            ),
+            quality.profile(tx, transaction_checks())
+            if inputs.counted is None
+            else quality.counted(tx.sparkSession, inputs.counted),
             quality.profile(
                 people,
-                size_and_nulls(
+                _size_and_nulls(
                     "customer", ["customer_id", "customer_name", "join_date", "location"]
                 ),
             ),
             quality.profile(
                 goods,
-                size_and_nulls("product", ["product_id", "product_name", "category", "price"])
+                _size_and_nulls("product", ["product_id", "product_name", "category", "price"])
                 | {"non_positive_prices": quality.violations(F.col("price") <= 0)},
             ),
             quality.duplicate_keys(tx, ["transaction_id"], "duplicate_transaction_ids"),

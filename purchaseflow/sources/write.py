@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 SINK_FORMATS = ("delta", "parquet")
 
@@ -17,9 +17,13 @@ def write(
     partition_by: Sequence[str] = (),
     num_files: int | None = None,
     sort_by: Sequence[str] = (),
-) -> int:
+    checks: Mapping[str, Column] | None = None,
+) -> int | dict[str, int]:
     """Writes ``df`` and returns its row count, observed during the write itself.
 
+    With ``checks`` (aggregates by name) it returns their values instead, observed by the
+    same write, so what is checked is not read for it.
+
     With ``partition_by`` the rows are first rebalanced on those columns: Spark then
     gives a small value one file and spreads a large one over several tasks, instead
     of one file per value and task. ``num_files`` merges output tasks without a
@@ -41,8 +45,10 @@ def write(
     if num_files is not None and not (sort_by and not partition_by):
         df = df.coalesce(num_files)
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(chosen).mode(mode)
+    asked = {"rows": F.count(F.lit(1))} if checks is None else checks
+    observed = df.observe(written, *[value.alias(name) for name, value in asked.items()])
+    writer = observed.write.format(chosen).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return written.get["rows"]
+    return written.get["rows"] if checks is None else {name: written.get[name] for name in asked}

@@ -265,3 +265,21 @@ def test_repartition_and_coalesce_shape_the_plan(histories, plan):
     df = histories({1: "ABAB"}).repartition(4, "key")
     assert "hashpartitioning(key" in plan(df, "simple")
     assert "Coalesce 2" in plan(df.coalesce(2), "simple")
+
+
+@pytest.mark.parametrize("count", [1, 2, 62, 63, 5000])
+def test_sets_of_any_number_of_items(spark, plan, count):
+    """Key 0 has them all, 1 lacks one, 2 has one more, 3 a null besides, 4 all of them twice."""
+    items = [f"i{n:05}" for n in range(count)]
+    n = spark.range(count).select(F.format_string("i%05d", "id").alias("item"), "id")
+    all_ = lambda key: n.select(F.lit(key).alias("key"), "item")
+    extra = spark.createDataFrame([(2, "other"), (3, None), (1, "i00000" if count > 1 else "x")], "key int, item string")
+    df = all_(0).union(n.filter("id > 0 and id < %d" % (count - 1)).select(F.lit(1), "item"))
+    for part in (all_(2), all_(3), all_(4), all_(4), extra):
+        df = df.union(part)
+    found = sets.exactly(df, ["key"], "item", [*items, items[0]])
+    rows = found.collect()
+    assert sorted(r["key"] for r in rows) == [0, 4]
+    assert all(r["items"] == items for r in rows)
+    # the items are listed once, and no column stands for each
+    assert len(plan(found.select("key"), "simple")) < 60 * count + 60_000
