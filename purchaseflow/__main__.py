@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession
 
 from purchaseflow.plans import jobs, purchases
-from purchaseflow.sources.scratch import SETTING
+from purchaseflow.sources.scratch import SETTING, scope
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -16,7 +16,10 @@ def main(argv: list[str] | None = None) -> None:
     # fixed values: stage names and the folders below, which are the command's interface
     parser.add_argument("stage", choices=["prepare", "run", "all"])
     parser.add_argument("--raw-dir", default="data/raw")
-    parser.add_argument("--work-dir", default="build")
+    parser.add_argument(
+        "--work-dir",
+        help="folder that all machines share; build, if the master is local",
+    )
     parser.add_argument("--output-dir", default="outputs")
     parser.add_argument("--master", help="Spark master; left to spark-submit if absent")
     parser.add_argument(
@@ -44,6 +47,10 @@ def main(argv: list[str] | None = None) -> None:
     )
     spark = (builder.master(args.master) if args.master else builder).getOrCreate()
     try:
+        if args.work_dir is None:
+            if spark.sparkContext.master.split("[")[0] != "local":
+                parser.error("--work-dir is needed on a cluster: a folder that all machines share")
+            args.work_dir = "build"
         layout = (args.raw_dir, args.work_dir, args.table_format, args.wide_ids)
         if args.stage == "run":
             sources = jobs.prepared_sources(*layout)
@@ -54,10 +61,11 @@ def main(argv: list[str] | None = None) -> None:
             staging = None if args.no_staging else f"{args.work_dir}/staged"
             if not spark.conf.get("spark.checkpoint.dir", None):
                 spark.conf.set(SETTING, args.work_dir)
-            results, report = jobs.run(spark, sources, staging, args.only)
-            manifest = jobs.publish(
-                spark, results, report, args.output_dir, args.table_format, args.ordered
-            )
+            with scope(spark):
+                results, report = jobs.run(spark, sources, staging, args.only)
+                manifest = jobs.publish(
+                    spark, results, report, args.output_dir, args.table_format, args.ordered
+                )
             _show("quality report", report)
             _show("manifest", manifest)
     finally:

@@ -62,7 +62,8 @@ def extract(
 ) -> Inputs:
     """One DataFrame per source.
 
-    With ``staging_dir`` the transactions are first copied to Parquet. A gate and five
+    With ``staging_dir`` the transactions are first copied to Parquet, which the next run
+    writes over. A gate and five
     analyses then parse the text once instead of once each, read only the columns
     they need, and all see the same rows. What the gate counts in one pass over the
     transactions is observed by the copy itself.
@@ -101,10 +102,11 @@ def publish(
 ) -> dict[str, dict[str, Any]]:
     """Writes every result, then the quality report and the manifest.
 
-    Each run has a fresh folder below ``output_dir``, and the files ``quality_report.json``
-    and ``manifest.json`` in ``output_dir`` are replaced at the end, the manifest last. So
-    a run that stops half-way leaves the manifest of the run before it, whose tables are
-    untouched. Each result is computed once: its row count is observed during the write,
+    Each run has a fresh folder below ``output_dir``. When all of its tables are written
+    the run gets the next version number and a record of it (``manifests``); that one
+    step makes it the latest, see ``latest``. The files ``quality_report.json`` and
+    ``manifest.json`` in ``output_dir`` are copies for people and are replaced last. So
+    a run that stops half-way leaves the one before it whole, as its tables are untouched. Each result is computed once: its row count is observed during the write,
     and a result derived from another reads that one's written table. ``ordered`` sorts
     each output by the columns in ``purchases.SORT_BY``.
     """
@@ -132,11 +134,69 @@ def publish(
                 else results[name],
             )
 
+    record = {"manifest": manifest, "report": dict(report)}
+    _put_version(spark, record, f"{output_dir}/manifests")
     _put_json(spark, report, f"{output_dir}/quality_report.json")
     _put_json(spark, manifest, f"{output_dir}/manifest.json")
     return manifest
 
 
+def latest(spark: SparkSession, output_dir: str) -> dict[str, dict[str, Any]]:
+    """The manifest of the last run that was published whole.
+
+    It follows the highest version whose record is complete, so it neither sees a run
+    that is being published nor a moment without any.
+    """
+    versions = _versions(spark, f"{output_dir}/manifests")
+    if not versions:
+        raise FileNotFoundError(f"nothing is published in {output_dir}")
+    text = spark.read.text(f"{output_dir}/manifests/{max(versions)}", wholetext=True).first()[0]
+    return json.loads(text)["manifest"]
+
+
+_NUMBER = 12  # digits of a version
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the complete records: others do not end in ``.json`` yet."""
+    place, files = _folder(spark, folder)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return [n for n in names if n.endswith(".json") and n[:_NUMBER].isdigit()]
+
+
+def _put_version(spark: SparkSession, record: Mapping[str, Any], folder: str) -> str:
+    """Writes a record under the next free number, complete or not at all.
+
+    The record is written under a name of its own and takes the number by a rename, which
+    fails if another run has taken it meanwhile; then the next number is tried. Nothing
+    is ever replaced or deleted, so readers always find a latest version.
+    """
+    place, files = _folder(spark, folder)
+    files.mkdirs(place)
+    mark = uuid.uuid4().hex
+    beside = _folder(spark, f"{folder}/{mark}.new")[0]
+    out = files.create(beside, False)
+    try:
+        out.write(bytearray(json.dumps(record, sort_keys=True), "utf-8"))
+    finally:
+        out.close()
+    while True:
+        taken = [int(n[:_NUMBER]) for n in _versions(spark, folder)]
+        name = f"{max(taken, default=0) + 1:0{_NUMBER}d}.json"
+        target = _folder(spark, f"{folder}/{name}")[0]
+        if not files.exists(target) and files.rename(beside, target):
+            return name
+        if not files.exists(beside):
+            raise OSError(f"the record {mark} of this run is gone from {folder}")
+
+
 def _put_json(spark: SparkSession, document: Mapping[str, Any], path: str) -> None:
     """A small document as one file on any file system Spark knows.
 

@@ -275,3 +275,35 @@ def test_command_line(spark, tmp_path):
     top = Source("parquet", manifest["top_products"]["path"])
     assert read(spark, top).count() == 3
     assert read(spark, Source("parquet", f"{tmp_path}/w/staged/transactions_parquet")).count() == 10
+
+
+def test_the_latest_version_is_whole_at_every_moment(spark, sources, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        jobs.latest(spark, out)
+    results, report = jobs.run(spark, sources)
+    first = jobs.publish(spark, {"top_products": results["top_products"]}, report, out)
+    assert jobs.latest(spark, out) == first
+
+    # a run that stops before its record, and one that stops between record and copies
+    def stop(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(jobs, "_put_version", stop)
+        jobs.publish(spark, {"top_products": results["top_products"]}, report, out)
+    assert jobs.latest(spark, out) == first
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(jobs, "_put_json", stop)
+        jobs.publish(spark, {"top_products": results["top_products"]}, report, out)
+    second = jobs.latest(spark, out)
+    assert second != first and json.loads((tmp_path / "out" / "manifest.json").read_text()) == first
+    # both are there, and so are their tables
+    assert len(list((tmp_path / "out" / "manifests").glob("*.json"))) == 2
+    for manifest in (first, second):
+        assert read(spark, Source("parquet", manifest["top_products"]["path"])).count() == 3
+    # what a run left half-written is not seen
+    (tmp_path / "out" / "manifests" / "000000000009.new").write_text("{")
+    assert jobs.latest(spark, out) == second
+    third = jobs.publish(spark, {"top_products": results["top_products"]}, report, out)
+    assert jobs.latest(spark, out) == third

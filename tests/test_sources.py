@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from purchaseflow.sources import Source, read, schemas, write
-from purchaseflow.sources.scratch import scratch_dir
+from purchaseflow.sources.scratch import remove, scope, scratch_dir, staged
 
 HEADER = "transaction_id,customer_id,product_name,transaction_date\n"
 
@@ -169,3 +169,21 @@ def test_delta_round_trip(spark, tmp_path):
 def test_scratch_lies_below_the_shared_folder(spark):
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_scope_removes_what_was_staged_inside(spark, tmp_path):
+    base = str(tmp_path)
+    outside = staged(spark.range(3), "outside", base)
+    with scope(spark) as made:
+        inner = staged(spark.range(5), "inner", base)
+        assert inner.count() == 5 and len(made) == 1 and len(list(tmp_path.iterdir())) == 2
+    assert outside.count() == 3 and len(list(tmp_path.iterdir())) == 1
+    with scope(spark, keep_last=True) as made:
+        staged(spark.range(5), "first", base)
+        last = staged(spark.range(7), "last", base)
+    assert last.count() == 7 and len(made) == 1 and len(list(tmp_path.iterdir())) == 2
+    remove(spark, *made, f"{base}/never-there")
+    with pytest.raises(ZeroDivisionError), scope(spark):
+        staged(spark.range(5), "lost", base)
+        1 / 0  # noqa: B018
+    assert len(list(tmp_path.iterdir())) == 1
