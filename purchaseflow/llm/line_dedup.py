@@ -145,8 +145,9 @@ def _pieces(text: str | Column) -> Column:
 
 def _parts(text: str | Column) -> Column:
     """The same pieces as they stand: ``line`` and ``part``; the parts of a line make it up."""
+    text = F.col(text) if isinstance(text, str) else text
 
-    def of(line: Column, at: Column) -> Column:
+    def any_script(line: Column, at: Column) -> Column:
         def shown(words: Column) -> Column:
             body = F.btrim(line, F.lit(BLANKS))
             lead = F.substring(line, F.lit(1), F.instr(line, body) - 1)
@@ -170,7 +171,38 @@ def _parts(text: str | Column) -> Column:
 
         return _bound(_words(F.btrim(line, F.lit(BLANKS))), shown)
 
-    return F.flatten(F.transform(_lines(text), of))
+    def blanks_only(line: Column, at: Column) -> Column:
+        """A line's parts from what stands between its blanks, which is nothing between two."""
+
+        def shown(between: Column) -> Column:
+            places = F.filter(
+                F.sequence(F.lit(0), F.size(between) - 1), lambda k: F.get(between, k) != ""
+            )
+
+            def cut(words: Column) -> Column:
+                hashes = F.transform(words, lambda k: F.xxhash64(F.get(between, k)))
+
+                def part(s: Column, n: Column, _) -> Column:
+                    low = F.when(s == 0, 0).otherwise(F.get(words, s))
+                    high = F.coalesce(F.get(words, s + n), F.size(between))
+                    own = F.array_join(F.slice(between, low + 1, high - low), " ")
+                    ended = F.when(high < F.size(between), " ").otherwise("")
+                    return F.struct(at.alias("line"), F.concat(own, ended).alias("part"))
+
+                found = _bound(
+                    _bound(hashes, _starts), lambda starts: _spans(starts, F.size(words), part)
+                )
+                whole = F.array(F.struct(at.alias("line"), line.alias("part")))
+                return F.when(F.size(words) == 0, whole).otherwise(found)
+
+            return _bound(places, cut)
+
+        return _bound(F.split(line, " ", -1), shown)
+
+    lines = _lines(text)
+    return F.when(text.rlike(_PLAIN), F.flatten(F.transform(lines, blanks_only))).otherwise(
+        F.flatten(F.transform(lines, any_script))
+    )
 
 
 def windows(df: DataFrame, min_words: int) -> DataFrame:
@@ -293,7 +325,11 @@ def _window_ends(words: Column, min_words: int, then) -> Column:
 
 def _prints(h: str, w: str, min_words: int) -> Column:
     """The different window minima of a text's pieces; those of two pieces stand twice."""
+    # bound, as fields of an array of structs would be taken out of it at every use
+    return _bound(F.col(h), lambda h: _bound(F.col(w), lambda w: _minima(h, w, min_words)))
+
 
+def _minima(h: Column, w: Column, min_words: int) -> Column:
     def minima(piece_of: Column, first: Column) -> Column:
         def lowest(at: Column, i: Column) -> Column:
             end = F.get(piece_of, at + (min_words - 1))
@@ -309,7 +345,22 @@ def _prints(h: str, w: str, min_words: int) -> Column:
         repeated = F.size(F.array_distinct(h)) < F.size(h)
         return F.when(repeated, F.concat(found, F.array_intersect(found, again))).otherwise(found)
 
-    return _bound(_window_ends(F.col(w), min_words, minima), with_repeats)
+    return _bound(_window_ends(w, min_words, minima), with_repeats)
+
+
+def _among(value: Column, sorted_values: str) -> Column:
+    """Whether ``value`` is one of the sorted ones, by binary search if they are many."""
+    values = F.col(sorted_values)
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(31))])
+
+    def on(low: Column, step: Column) -> Column:
+        far = low.cast("long") + step
+        here = (far <= F.size(values)) & (F.get(values, (far - 1).cast("int")) <= value)
+        return F.when(here, far.cast("int")).otherwise(low)
+
+    last = F.aggregate(steps, F.lit(0), on)
+    found = F.coalesce(F.get(values, last - 1) == value, F.lit(False))
+    return F.when(F.size(values) <= 256, F.array_contains(values, value)).otherwise(found)
 
 
 def _repeated_windows(min_words: int) -> Column:
@@ -336,8 +387,7 @@ def _repeated_windows(min_words: int) -> Column:
 
         def ahead(at: Column, i: Column) -> Column:
             end = F.get(piece_of, at + (min_words - 1))
-            here = end.isNotNull() & F.array_contains("prints", F.array_min(F.slice("h", i + 1, end - i + 1)))
-            return F.when(here, shown(i, end))
+            return F.when(end.isNotNull() & _among(lowest(i), "prints"), shown(i, end))
 
         def behind(at: Column, i: Column) -> Column:
             upto = F.coalesce(F.get(first, i + 1), words)
@@ -345,7 +395,7 @@ def _repeated_windows(min_words: int) -> Column:
             enough = (upto >= min_words) & begin.isNotNull()
             # the window ahead of ``begin`` lies inside this one; if it is this one, it is there
             other = F.get(piece_of, F.get(first, begin) + (min_words - 1)) != i
-            here = enough & other & F.array_contains("prints", lowest(begin))
+            here = enough & other & _among(lowest(begin), "prints")
             return F.when(here, shown(begin, i))
 
         both = F.concat(F.transform(first, ahead), F.transform(first, behind))
@@ -397,7 +447,7 @@ def deleted_pieces(
     marked = (
         own.join(seen, F.col("print") == F.col("__print"), "left_semi")
         .groupBy(F.col(HASH).alias("__h"), F.col("__hash2").alias("__h2"))
-        .agg(F.collect_set("print").alias("prints"))
+        .agg(F.sort_array(F.collect_set("print")).alias("prints"))
     )
     same_text = (F.col(HASH) == F.col("__h")) & (F.col("__hash2") == F.col("__h2"))
     around = texts.drop("prints").join(marked, same_text)
