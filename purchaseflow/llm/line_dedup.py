@@ -548,7 +548,8 @@ def dedup_lines(
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without repeated runs; those left without a word go.
 
-    Runs are of pieces, so passages within lines go too. Other columns stay as they are, ``n_chars`` is counted anew.
+    Runs are of pieces, so passages within lines go too. Other columns stay as they are,
+    ``n_chars`` is counted anew.
     """
     names = {ID: "__gone_id", HASH: "__gone_hash", "gone": "__gone", "whole": "__whole"}
     gone = deleted_pieces(docs).withColumnsRenamed(names)
@@ -561,9 +562,13 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         .when(F.col("__whole"), F.lit(""))
         .otherwise(without_pieces("text", F.col("__gone")))
     )
-    joined = docs.join(gone, same, "left").withColumn("__left", left)
+    # a generator makes the text once, where a filter on it would make it once more
+    kept = _bound(
+        left,
+        lambda text: F.when(~touched | text.rlike(r"\S"), F.array(text)).otherwise(F.array()),
+    )
+    joined = docs.join(gone, same, "left").withColumn("__left", F.explode(kept))
     anew = {"text": F.col("__left")}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.length("__left").cast(docs.schema["n_chars"].dataType)
-    kept = joined.filter(~touched | F.col("__left").rlike(r"\S"))
-    return kept.select(*[anew.get(c, F.col(c)).alias(c) for c in docs.columns])
+    return joined.select(*[anew.get(c, F.col(c)).alias(c) for c in docs.columns])
