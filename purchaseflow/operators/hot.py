@@ -32,6 +32,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from purchaseflow.sources.layout import place_in
 from purchaseflow.sources.scratch import staged
 
 CHUNK = "__chunk"
@@ -93,7 +94,7 @@ def split(
     if most is None:
         return Split(df)
     marked = match(df, F.broadcast(cuts), keys, "left")
-    chunk = F.when(F.col(_CUTS).isNotNull(), _place(F.col(_CUTS), F.struct(*order), most))
+    chunk = F.when(F.col(_CUTS).isNotNull(), place_in(F.col(_CUTS), F.struct(*order), most))
     return Split(marked.withColumn(CHUNK, chunk.cast("long")).drop(_CUTS), True)
 
 
@@ -121,17 +122,6 @@ def _cuts(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataF
     return chosen.groupBy(*keys).agg(places.alias(_CUTS))
 
 
-def _place(cuts: Column, row: Column, most: int) -> Column:
-    """How many of the sorted ``cuts`` are not above ``row``, by binary search."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(most.bit_length()))])
-
-    def on(low: Column, step: Column) -> Column:
-        far = low + step
-        return F.when((far <= F.size(cuts)) & (F.get(cuts, far - 1) <= row), far).otherwise(low)
-
-    return F.aggregate(steps, F.lit(0), on)
-
-
 def match(df: DataFrame, other: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     """Joins ``df`` to ``other`` on equal keys, null being a key of its own."""
     names = {k: f"__on_{i}" for i, k in enumerate(on)}

@@ -187,3 +187,65 @@ def test_a_scope_removes_what_was_staged_inside(spark, tmp_path):
         staged(spark.range(5), "lost", base)
         1 / 0  # noqa: B018
     assert len(list(tmp_path.iterdir())) == 1
+
+
+def rows_read(df):
+    """Rows that the scan of an unshuffled plan gives out, row groups left out aside."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+@pytest.fixture(scope="module")
+def scattered(spark):
+    h = F.xxhash64("id")
+    return spark.range(60_000).select(
+        F.md5(F.col("id").cast("string")).alias("code"),
+        F.pmod(h, F.lit(10_000)).alias("a"),
+        F.when(h % 41 != 0, F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.xxhash64("id", h), F.lit(900)).cast("int"))).alias("b"),
+        F.concat(F.lit("n"), F.pmod(F.xxhash64(h), F.lit(5000)).cast("string")).alias("c"),
+    )
+
+
+def test_clustered_tables_are_read_in_part(spark, scattered, tmp_path):
+    small = {"row_group_bytes": 64 * 1024}
+    filters = {"a": "a between 2000 and 2100", "b": "b between '2025-01-01' and '2025-01-20'", "c": "c = 'n77'"}
+    plain, one, three = (str(tmp_path / n) for n in ("plain", "one", "three"))
+    write(scattered, plain, num_files=4, **small)
+    write(scattered, one, num_files=4, cluster_by=["a"], **small)
+    write(scattered, three, num_files=8, cluster_by=["a", "b", "c"], **small)
+    expected = {name: sorted(map(repr, scattered.filter(f).collect())) for name, f in filters.items()}
+    for path in (plain, one, three):
+        table = read(spark, Source("parquet", path))
+        assert table.columns == scattered.columns and table.count() == 60_000
+        for name, condition in filters.items():
+            assert sorted(map(repr, table.filter(condition).collect())) == expected[name]
+    whole = rows_read(read(spark, Source("parquet", plain)).filter(filters["a"]))
+    assert whole > 50_000
+    assert rows_read(read(spark, Source("parquet", one)).filter(filters["a"])) < whole / 8
+    for name in ("a", "b"):
+        assert rows_read(read(spark, Source("parquet", three)).filter(filters[name])) < whole / 2
+
+
+def test_bloom_filters_skip_what_no_order_helps(spark, scattered, tmp_path):
+    filters = {}
+    for name, extra in (("without", {}), ("with", {"bloom": {"code": 20_000}})):
+        path = str(tmp_path / name)
+        write(scattered, path, num_files=1, row_group_bytes=256 * 1024, **extra)
+        table = read(spark, Source("parquet", path))
+        wanted = F.md5(F.lit("12345"))
+        code = table.filter(F.col("code") == spark.range(1).select(wanted).first()[0])
+        assert code.count() == 1
+        filters[name] = rows_read(code)
+    assert filters["with"] < filters["without"] / 2
+
+
+def test_orders_that_cannot_be(spark, scattered, tmp_path):
+    with pytest.raises(ValueError):
+        write(scattered, str(tmp_path / "x"), cluster_by=["a"], sort_by=["b"])
+    with pytest.raises(ValueError):
+        write(scattered, str(tmp_path / "x"), cluster_by=[str(i) for i in range(9)])
+    empty = str(tmp_path / "empty")
+    assert write(scattered.limit(0), empty, cluster_by=["a", "b"]) == 0
+    nulls = scattered.select(F.lit(None).cast("int").alias("a"), "c").limit(50)
+    assert write(nulls, str(tmp_path / "nulls"), cluster_by=["a", "c"]) == 50
