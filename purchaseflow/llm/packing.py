@@ -6,11 +6,13 @@ WINDOWS sequences. Karmarkar-Karp multiway differencing deals these out: every p
 begins as a partial partition with one full window; the two partial partitions with the
 largest spread are merged, the fullest windows of one with the emptiest of the other,
 until one partition is left, whose windows are nearly equal. If its fullest window exceeds
-the capacity, the number of windows rises by one and the parts are dealt out again.
+the capacity, the number of windows rises by one and the parts are dealt out again. What
+the windows lack after that is cut off parts that were not dealt.
 
-The whole is one pass over the documents with no shuffle: each task packs what it reads,
-in a buffer of bounded size, and at most the last WINDOWS sequences of a task are filled
-less well. A sequence is named by the task's partition and a counter, so a task that runs
+One pass over the documents, with no shuffle, packs what each task reads, in a buffer of
+bounded size, and is written. All its sequences are full. Left over are fewer tokens than a
+sequence for each task; a second pass, over nothing else, packs these parts in the same
+way in few tasks, and only the last sequence of each of these needs padding. A sequence is named by the task's partition and a counter, so a task that runs
 again after a loss gives the same sequences.
 
 Defined results: null text is empty text, whose document is the end id alone; rows with
@@ -24,20 +26,25 @@ import heapq
 import re
 import unicodedata
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from purchaseflow.sources.scratch import staged
 
 CAPACITY = 2048
 PART = 256
 WINDOWS = 128
 END_ID = 1
 PIECE = 1 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 TASK_BITS = 40  # a sequence id is the partition number, then so many bits of counter
+SECOND = 1 << 22  # marks the partition numbers of the second pass
+AGAIN = 2_000  # parts that a task of the second pass takes
 
 
 def _class_of(test) -> str:
@@ -172,6 +179,19 @@ def fit_windows(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
+def _cut_off(parts: deque[tuple], tokens: int) -> list[tuple]:
+    """Takes so many tokens off the front of ``parts``, the last one cut if need be."""
+    taken = []
+    while tokens:
+        doc, start, ids, total = parts.popleft()
+        size = min(tokens, len(ids) // 4)
+        taken.append((doc, start, ids[: size * 4], total))
+        if size * 4 < len(ids):
+            parts.appendleft((doc, start + size, ids[size * 4 :], total))
+        tokens -= size
+    return taken
+
+
 class Packer:
     """Takes documents one by one and gives back pieces that have their place."""
 
@@ -190,6 +210,13 @@ class Packer:
             offset += length
         self._next += 1
 
+    def add_part(self, doc, start: int, ids: bytes, tokens: int) -> None:
+        """A part of a document, of fewer tokens than a sequence."""
+        self._parts.append((doc, start, ids, tokens))
+        self._held += len(ids) // 4
+        if self._held >= WINDOWS * self._capacity:
+            self.flush()
+
     def add(self, doc, ids: bytes) -> None:
         tokens, whole = len(ids) // 4, self._capacity * 4
         cut = len(ids) - len(ids) % whole
@@ -202,10 +229,47 @@ class Packer:
             self.flush()
 
     def flush(self) -> None:
-        for window in fit_windows([len(p[2]) // 4 for p in self._parts], self._capacity):
-            self._place([self._parts[i] for i in window])
+        """Deals the parts that fill whole windows and holds what is over.
+
+        The parts are dealt by differencing. If the number of windows had to rise, the
+        emptiest are given up again, and what is left over is cut to fill the others up.
+        """
+        whole = self._held // self._capacity
+        left, kept = whole * self._capacity, []
+        rest: deque[tuple] = deque()
+        for part in self._parts:
+            size = len(part[2]) // 4
+            if size <= left:
+                kept.append(part)
+                left -= size
+            else:
+                rest.append(part)
+        windows = [
+            [kept[i] for i in window]
+            for window in fit_windows([len(p[2]) // 4 for p in kept], self._capacity)
+        ]
+        windows.sort(key=lambda parts: -sum(len(p[2]) for p in parts))
+        for given_up in windows[whole:]:
+            rest.extend(given_up)
+        for window in windows[:whole]:
+            room = self._capacity - sum(len(p[2]) for p in window) // 4
+            self._place([*window, *_cut_off(rest, room)])
+        self._parts = list(rest)
+        self._held = sum(len(p[2]) for p in rest) // 4
+
+    def finish(self) -> None:
+        """Places all that is held, the last sequence as full as it gets."""
+        self.flush()
+        if self._parts:
+            self._place(self._parts)
         self._parts, self._held = [], 0
 
+    def left_over(self) -> list[tuple]:
+        """Fewer tokens than a sequence, which are given back unplaced."""
+        self.flush()
+        parts, self._parts, self._held = self._parts, [], 0
+        return parts
+
     def taken(self) -> list[tuple]:
         done, self._done = self._done, []
         return done
@@ -222,6 +286,13 @@ def pack(
     slim = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = T.StructType([slim.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names]])
+    with_ids = T.StructType([*schema, T.StructField("ids", T.BinaryType())])
+
+    def batch_of(rows: list[tuple], kind: pa.DataType, ids: bool) -> pa.RecordBatch:
+        kinds = [kind, *[pa.int64()] * 6, *[pa.binary()] * ids]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names, *["ids"] * ids])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, kind = WordTokenizer(tokenizer), None
@@ -229,10 +300,7 @@ def pack(
         packer = Packer(TaskContext.get().partitionId())
 
         def out() -> pa.RecordBatch:
-            columns = list(zip(*packer.taken(), strict=True)) or [[]] * 7
-            kinds = [kind, *[pa.int64()] * 6]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names])
+            return batch_of([(*row, None) for row in packer.taken()], kind, True)
 
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -243,10 +311,28 @@ def pack(
                     packer.add(doc, words.encode(whole or "") + end)
             yield out()
         if kind is not None:
-            packer.flush()
+            over = packer.left_over()
             yield out()
+            open_ = [(d, at, len(ids) // 4, zlib.crc32(ids), n, None, None, ids) for d, at, ids, n in over]
+            yield batch_of(open_, kind, True)
 
-    return slim.mapInArrow(packed, schema)
+    def packed_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, kind = Packer(SECOND | TaskContext.get().partitionId()), None
+        for batch in batches:
+            kind = batch.schema.field("doc_id").type
+            columns = [batch.column(n).to_pylist() for n in ("doc_id", "start", "ids", "doc_tokens")]
+            for part in zip(*columns, strict=True):
+                packer.add_part(*part)
+            yield batch_of(packer.taken(), kind, False)
+        if kind is not None:
+            packer.finish()
+            yield batch_of(packer.taken(), kind, False)
+
+    first = staged(slim.mapInArrow(packed, with_ids), "packed")
+    over = first.filter(F.col("ids").isNotNull())
+    tasks = max(1, over.count() // AGAIN)
+    second = over.repartition(tasks).mapInArrow(packed_again, schema)
+    return first.filter(F.col("ids").isNull()).drop("ids").unionByName(second)
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

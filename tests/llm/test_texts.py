@@ -426,6 +426,15 @@ def test_packing_places_every_id_once(spark):
     assert fill > 0.97
 
 
+@pytest.mark.parametrize("tasks", [1, 40, 200])
+def test_packing_is_as_full_in_many_tasks(spark, tasks):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(700)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    fill = check_packed(packing.pack(docs.repartition(tasks), WORDS).collect(), texts)
+    print("fill", tasks, fill)
+    assert fill > 0.97
+
+
 def test_packing_of_odd_rows(odd, none):
     rows = packing.pack(odd.filter("doc_id is not null").dropDuplicates(["doc_id"]), WORDS).collect()
     check_packed(rows, {r["doc_id"]: r["text"] for r in odd.collect() if r["doc_id"] is not None})
