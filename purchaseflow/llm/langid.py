@@ -4,12 +4,15 @@ Features are counts of letter runs of one to three, hashed to BUCKETS, as unit v
 their square roots. Linear support vector machines (squared hinge) tell the families
 apart, one against the rest; within the chosen family one machine for each pair of
 languages votes. Languages are those of the labels; FAMILIES names the family of common
-ones, and languages it does not name form a family of their own.
+ones, and those it does not name form families of their own, learnt by halving them by
+their mean vectors until none has more than FAMILY_SIZE. So the number of machines grows
+with the languages, not with their square.
 
-Training takes a bounded sample: of the rows that may teach, at most SAMPLE per language,
-spread over the hash range of doc_id. It is found from ids alone, so only the texts of
-the sample move, as vectors of fixed size. Prediction is one pass over the whole texts
-without a shuffle.
+Training takes a bounded sample: of the rows that may teach, those in the LANGUAGES most
+frequent languages (of equals the first by name), at most SAMPLE per language and
+ALTOGETHER, spread over the hash range of doc_id. A label column of any number of values
+thus costs the driver no more. The sample is found from ids alone, so only its texts move,
+as vectors of fixed size. Prediction is one pass over the whole texts without a shuffle.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; so is
 every text if there was nothing to learn from. Ties go to the language with the higher
@@ -31,7 +34,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from purchaseflow.llm.hashing import letter_grams
 
 UNKNOWN = "und"
-SAMPLE = 512
+SAMPLE = 512  # rows of a language that teach, at most
+ALTOGETHER = 16_384  # rows that teach, at most
+LANGUAGES = 256  # that are learnt, at most
+FAMILY_SIZE = 8  # of a learnt family, at most
 LOG2_BUCKETS = 12
 BUCKETS = 1 << LOG2_BUCKETS
 STEEPNESS = 3.0  # of the logistic that turns a margin into a score
@@ -113,9 +119,40 @@ def _logistic(margin: float) -> float:
     return float(1 / (1 + np.exp(-STEEPNESS * np.clip(margin, -30, 30))))
 
 
+def learnt_families(names: list[str], means: np.ndarray) -> dict[str, str]:
+    """Families of at most FAMILY_SIZE languages with similar mean vectors.
+
+    Groups that are too large are halved around two means far from each other, by some
+    rounds of two-means; a half that would be empty takes the second half by name.
+    """
+    groups, done = [list(range(len(names)))], []
+    while groups:
+        group = groups.pop()
+        if len(group) <= FAMILY_SIZE:
+            done += [group] if group else []
+            continue
+        x = means[group]
+        far = int(np.square(x - x.mean(axis=0)).sum(axis=1).argmax())
+        centres = x[[far, int(np.square(x - x[far]).sum(axis=1).argmax())]]
+        for _ in range(20):
+            away = np.stack([np.square(x - c).sum(axis=1) for c in centres])
+            second = away[1] < away[0]
+            if second.all() or not second.any():
+                second = np.arange(len(group)) >= len(group) // 2
+            centres = np.stack([x[~second].mean(axis=0), x[second].mean(axis=0)])
+        groups += [[g for g, s in zip(group, second) if s == side] for side in (True, False)]
+    done.sort()
+    if len(done) == 1:
+        return dict.fromkeys(names, "other")
+    return {names[i]: f"other {names[group[0]]}" for group in done for i in group}
+
+
 def train(x: np.ndarray, lang: np.ndarray, families: Mapping[str, str] = FAMILIES) -> Model:
     """The model of feature vectors ``x`` (one a row) in the languages ``lang``."""
-    family = np.array([families.get(name, "other") for name in lang], dtype=object)
+    others = sorted(set(lang) - set(families))
+    means = np.stack([x[lang == name].mean(axis=0) for name in others]) if others else x[:0]
+    learnt = learnt_families(others, means) | dict(families)
+    family = np.array([learnt[name] for name in lang], dtype=object)
     names = sorted(set(family))
     listed, pairs = [], {}
     for k, name in enumerate(names):
@@ -142,6 +179,12 @@ def fit(
 ) -> Model:
     """Learns from at most ``sample`` rows of ``df`` per language."""
     known = df.filter(F.col(lang).isNotNull() & F.col(doc_id).isNotNull())
+    counted = known.groupBy(lang).agg(F.count(F.lit(1)).alias("__rows"))
+    frequent = counted.orderBy(F.desc("__rows"), lang).limit(LANGUAGES).collect()
+    if not frequent:
+        return Model((), {})
+    known = known.filter(F.col(lang).isin([r[lang] for r in frequent]))
+    sample = max(1, min(sample, ALTOGETHER // len(frequent)))
     chosen = (
         known.select(F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"))
         .groupBy("__lang", F.pmod(F.xxhash64("__id"), F.lit(sample)).alias("__bucket"))
@@ -152,7 +195,7 @@ def fit(
     rows = known.select(
         F.col(doc_id).alias("__id"), F.col(lang).alias("__lang"), F.col(text).alias("__text")
     )
-    # at most ``sample`` ids a language, so small enough to send to every task
+    # at most ALTOGETHER ids, so small enough to send to every task
     texts = (
         rows.filter(F.col("__text").isNotNull())
         .join(F.broadcast(chosen), "__id", "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import time
@@ -63,6 +64,55 @@ def test_language_of_odd_rows_and_none(spark, odd, none):
     assert {r["lang_pred"] for r in langid.identify(nothing).collect()} == {"und"}
 
 
+def test_prediction_is_families_then_votes_by_brute_force():
+    rows = [(speech(lang, seed=i), lang) for i in range(120) for lang in WORDS]
+    x = np.stack([langid.vector(t) for t, _ in rows])
+    names = np.array([lang for _, lang in rows], dtype=object)
+    model = langid.train(x, names, {"en": "a", "de": "a", "fr": "b", "es": "b"})
+    squash = lambda m: 1 / (1 + math.exp(-langid.STEEPNESS * max(-30, min(30, m))))
+    for text, lang in [(speech(lang, 12, 999 + i), lang) for i in range(40) for lang in WORDS]:
+        v = [float(c) for c in langid.vector(text)]
+        margin = lambda w: sum(a * b for a, b in zip(w[:-1].tolist(), v)) + float(w[-1])
+        by_family = [margin(w) for _, _, w in model.families]
+        k = max(range(len(by_family)), key=lambda i: by_family[i])
+        languages = model.families[k][1]
+        p = squash(margin(model.pairs[k, 0, 1]))
+        expected = (languages[0], p) if p >= 0.5 else (languages[1], 1 - p)
+        found, score = model.predict(text)
+        assert found == expected[0] == lang
+        assert abs(score - squash(by_family[k]) * expected[1]) < 1e-4
+
+
+def test_families_are_learnt_and_small():
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((10, 40)) * 5
+    names = [f"l{i:03}" for i in range(60)]
+    means = np.stack([centres[i % 10] + rng.standard_normal(40) * 0.1 for i in range(60)])
+    found = langid.learnt_families(names, means)
+    assert set(found) == set(names)
+    assert max(Counter(found.values()).values()) <= langid.FAMILY_SIZE
+    # six languages lie around each centre, and none is parted from them
+    assert all(len({found[n] for n in names[k::10]}) == 1 for k in range(10))
+    same = langid.learnt_families(names, np.ones((60, 4)))
+    assert max(Counter(same.values()).values()) <= langid.FAMILY_SIZE
+    assert langid.learnt_families([], np.zeros((0, 4))) == {}
+    assert set(langid.learnt_families(names[:8], means[:8]).values()) == {"other"}
+
+
+def test_any_number_of_labels_teaches_a_bounded_sample(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 4)
+    monkeypatch.setattr(langid, "ALTOGETHER", 40)
+    rows = [(i, speech(lang, seed=i), lang) for i in range(400) for lang in [list(WORDS)[i % 4]]]
+    rows += [(1000 + i, speech("en", seed=i), f"dirty {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    real = langid.train
+    monkeypatch.setattr(langid, "train", lambda x, lang, *a: seen.append(lang) or real(x, lang, *a))
+    found = langid.identify(df).collect()
+    assert Counter(seen[0]).keys() == set(WORDS) and len(seen[0]) <= 40
+    assert {r["lang_pred"] for r in found} == set(WORDS)
+
+
 def test_language_stage_keeps_what_has_a_language(spark, odd):
     out = langid.stage(spark, odd, "")
     assert out.columns == odd.columns
