@@ -5,8 +5,9 @@ The chain has one logistic model per category, in order. Each sees the words of
 training, those probabilities are out-of-fold predictions, so a later model learns how
 far the earlier ones can be trusted on texts they have not seen.
 
-The last category, ``toxic``, is learnt from the labels. The ones before it have no labels
-of their own; a labelled text belongs to one if it is toxic and uses one of its SEEDS.
+The first category, ``low_quality``, and the last, ``toxic``, are learnt from the labels.
+The ones between have no labels of their own; a labelled text belongs to one if it is toxic
+and uses one of its SEEDS.
 Training takes a bounded sample, at most SAMPLE texts of each label value spread over the
 hash range of doc_id, weighted back to the shares that all labels have. Each fit keeps
 its FEATURES most telling words. Prediction is one pass over the whole texts.
@@ -14,7 +15,8 @@ its FEATURES most telling words. Prediction is one pass over the whole texts.
 Defined results: null text and text without a word have no word features and get the
 chain's base rates; a text is toxic from THRESHOLD on; without labels every probability
 is 0; a category that no sample text belongs to has probability 0 throughout; labels that
-are null or lack a document teach nothing; where labels of one document differ, toxic wins.
+are null or lack a document teach nothing; where labels of one document differ, toxic wins,
+and low quality does; labels without a quality leave that category at probability 0.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ FEATURES = 1024
 LOG2_BUCKETS = 18
 THRESHOLD = 0.4  # on held-out labels it catches more than 0.5 and no more clean texts
 TOXIC = "toxic"
+LOW_QUALITY = "low_quality"
 PENALTY = 1e-4
 
 # Words that mark a category among toxic texts.
@@ -151,9 +154,11 @@ def train(
     toxic: np.ndarray,
     weight: np.ndarray,
     fold: np.ndarray,
+    first: Mapping[str, np.ndarray] | None = None,
 ) -> Chain:
-    """The chain over the categories of ``seeded`` and, last, ``toxic``."""
-    targets = {name: used & toxic for name, used in seeded.items()} | {TOXIC: toxic}
+    """The chain over the categories of ``first``, of ``seeded`` and, last, ``toxic``."""
+    targets = dict(first or {}) | {name: used & toxic for name, used in seeded.items()}
+    targets[TOXIC] = toxic
     before = np.zeros((len(rows), 0))
     models = []
     for name, y in targets.items():
@@ -179,20 +184,28 @@ def fit(
     doc_id: str = "doc_id",
     text: str = "text",
     toxic: str = "toxic",
+    quality: str = "quality",
     sample: int = SAMPLE,
     seeds: Mapping[str, list[str]] = SEEDS,
 ) -> Chain:
     """Learns from at most ``sample`` labelled documents of each label value."""
-    nothing = Chain(tuple((name, None) for name in (*seeds, TOXIC)))
+    nothing = Chain(tuple((name, None) for name in (LOW_QUALITY, *seeds, TOXIC)))
+    low = F.col(quality) == 0 if quality in labels.columns else F.lit(None).cast("boolean")
     known = (
         labels.filter(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull())
         .groupBy(F.col(doc_id).alias("__id"))
-        .agg(F.max((F.col(toxic) > 0).cast("int")).alias("__toxic"))
+        .agg(
+            F.max((F.col(toxic) > 0).cast("int")).alias("__toxic"),
+            F.coalesce(F.max(low.cast("int")), F.lit(0)).alias("__low"),
+        )
     )
     chosen = (
         known.groupBy("__toxic", F.pmod(F.xxhash64("__id"), F.lit(sample)).alias("__bucket"))
-        .agg(F.min("__id").alias("__id"), F.count(F.lit(1)).alias("__stands_for"))
-        .select("__id", "__toxic", "__stands_for")
+        .agg(
+            F.min(F.struct("__id", "__low")).alias("__one"),
+            F.count(F.lit(1)).alias("__stands_for"),
+        )
+        .select("__one.*", "__toxic", "__stands_for")
     )
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
     # at most two times ``sample`` ids, so small enough to send to every task
@@ -202,6 +215,7 @@ def fit(
         .select(
             "__id",
             "__toxic",
+            "__low",
             "__stands_for",
             F.pmod(F.xxhash64(F.lit(1), "__id"), F.lit(FOLDS)).alias("__fold"),
             F.pandas_udf(_features, "binary")("__text").alias("__x"),
@@ -216,7 +230,8 @@ def fit(
     marks = {name: buckets(" ".join(seed)) for name, seed in seeds.items()}
     seeded = {n: np.array([np.isin(m, r).any() for r in lists]) for n, m in marks.items()}
     weight = found["__stands_for"].to_numpy().astype(float)
-    return train(lists, seeded, y, weight, found["__fold"].to_numpy())
+    first = {LOW_QUALITY: found["__low"].to_numpy() > 0}
+    return train(lists, seeded, y, weight, found["__fold"].to_numpy(), first)
 
 
 def score(

@@ -164,6 +164,40 @@ def test_later_models_use_earlier_categories():
     assert chain.models[1][1].earlier[0] > 0
 
 
+def test_chain_is_one_logistic_after_the_other_by_brute_force():
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 60, 12)) for _ in range(400)]
+    first = np.array([3 in r for r in rows])
+    toxic = np.array([5 in r or (first[i] and 7 in r) for i, r in enumerate(rows)])
+    seeded = {"seed": np.array([9 in r for r in rows])}
+    chain = toxicity.train(
+        rows, seeded, toxic, np.ones(400), rng.integers(0, toxicity.FOLDS, 400), {"first": first}
+    )
+    assert [name for name, _ in chain.models] == ["first", "seed", "toxic"]
+    got = chain.predictor()(rows)
+    for row, found in zip(rows[:60], got, strict=False):
+        before = []
+        for _, model in chain.models:
+            margin = model.bias + sum(a * b for a, b in zip(before, model.earlier.tolist(), strict=True))
+            for feature, weight in zip(model.features.tolist(), model.weights.tolist(), strict=True):
+                margin += weight * (feature in row)
+            before.append(1 / (1 + math.exp(-max(-30, min(30, margin)))))
+        assert np.abs(np.array(before) - found).max() < 1e-5
+    # equal texts, ties and their order change nothing
+    assert np.abs(chain.predictor()([rows[0]] * 3) - got[0]).max() < 1e-12
+
+
+def test_quality_is_a_link_and_may_be_missing(spark, docs):
+    texts = [f"{'bad form' if i % 3 == 0 else 'good form'} word{i % 40}" for i in range(300)]
+    some = [(i, int(i % 3 != 0), int(i % 3 == 0 and i % 2 == 0)) for i in range(300)]
+    labels = spark.createDataFrame(some, "doc_id long, quality int, toxic int")
+    frame = docs(texts)
+    found = {r["doc_id"]: r for r in toxicity.score(frame, toxicity.fit(frame, labels)).collect()}
+    assert all((found[i]["p_low_quality"] > 0.5) == (i % 3 == 0) for i in range(300))
+    without = toxicity.score(frame, toxicity.fit(frame, labels.drop("quality"))).collect()
+    assert {r["p_low_quality"] for r in without} == {0.0}
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, odd, none):
     label = spark.createDataFrame([], "doc_id long, toxic int")
     rows = toxicity.score(odd, toxicity.fit(odd, label)).collect()
