@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from purchaseflow.llm import langid, line_dedup, ngram_join, packing, pii
-from purchaseflow.sources.scratch import staged
+from purchaseflow.sources.scratch import remove, scope, staged
 
 STAGES = [
     ("language", langid.stage),
@@ -25,8 +25,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that every stage keeps."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The pieces of all documents that every stage keeps.
+
+    What a stage writes on its way is removed when its result is written, and a result
+    when the next one is; the last one stays, as it is what is returned.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scope(spark, keep_last=True) as made:
+            docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove(spark, *before)
+        before = list(made)
     return docs

@@ -42,12 +42,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _pieces(text: str) -> Iterator[str]:
-    """``text`` cut after white space where there is any, else after PIECE characters."""
-    while len(text) > PIECE:
-        cut = next((i + 1 for i in range(PIECE - 1, PIECE // 2, -1) if text[i].isspace()), PIECE)
-        yield text[:cut]
-        text = text[cut:]
-    yield text
+    """``text`` in pieces of PIECE characters, wherever they end."""
+    for start in range(0, len(text) or 1, PIECE):
+        yield text[start : start + PIECE]
 
 
 def points(text: str) -> np.ndarray:
@@ -61,6 +58,7 @@ def words(text: str, part: str = "isspace", inside: bool = False) -> np.ndarray:
     (``inside``) or does not hold.
     """
     found = []
+    open_value, open_size = np.zeros(1, dtype=np.uint64), 0  # of a word that goes on
     for piece in _pieces(text.lower()):
         code = points(piece)
         if not code.size:
@@ -74,7 +72,19 @@ def words(text: str, part: str = "isspace", inside: bool = False) -> np.ndarray:
         total = np.zeros(code.size + 1, dtype=np.uint64)
         np.cumsum((code + np.uint64(1)) * power[: code.size], out=total[1:])
         value = (total[end] - total[start]) * inverse[start]
-        found.append(mixed(value + (end - start).astype(np.uint64)))
+        size = (end - start).astype(np.uint64)
+        if open_size and start.size and start[0] == 0:
+            value[:1] = open_value + value[:1] * np.uint64(pow(_BASE, open_size, 1 << 64))
+            size[:1] += np.uint64(open_size)
+        elif open_size:
+            found.append(mixed(open_value + np.uint64(open_size)))
+        open_size = 0
+        if end.size and end[-1] == code.size:
+            open_value, open_size = value[-1:], int(size[-1])
+            value, size = value[:-1], size[:-1]
+        found.append(mixed(value + size))
+    if open_size:
+        found.append(mixed(open_value + np.uint64(open_size)))
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
@@ -98,20 +108,26 @@ def letter_grams(text: str, buckets_log2: int) -> np.ndarray:
     """
     counts = np.zeros(1 << buckets_log2, dtype=np.int64)
     shift = np.uint32(32 - buckets_log2)
-    for piece in _pieces(text.lower()):
+    # the two codes before a piece, as far back as runs reach; texts begin with a blank
+    before, pieces, letters = np.zeros(1, dtype=np.uint32), list(_pieces(text.lower())), False
+    for n, piece in enumerate(pieces):
         code = points(piece)
         letter = _table("isalpha")[code]
+        letters |= bool(letter.any())
         code = np.where(letter, code, np.uint32(0))
-        keep = letter.copy()
-        keep[1:] |= letter[:-1]  # the first blank after a letter stands for all of them
-        code = np.concatenate([[0], code[keep], [0]]).astype(np.uint32)
-        if code.size < 3:
+        # the first blank after a letter stands for all of them
+        after = np.concatenate([before[-1:] > 0, letter])[: letter.size]
+        end = np.zeros(int(n + 1 == len(pieces)), dtype=np.uint32)  # and end with one
+        code = np.concatenate([before, code[letter | after], end]).astype(np.uint32)
+        known = before.size  # of these only the runs into the new codes are counted
+        before = code[-2:]
+        if not letters:
             continue
         a, b = code * np.uint32(0x85EBCA6B), code * np.uint32(0xC2B2AE35)
-        one = a[code > 0] ^ np.uint32(0x5BD1E995)
+        one = (a ^ np.uint32(0x5BD1E995))[known:][code[known:] > 0]
         two = a[:-1] + b[1:]
         three = two[:-1] * np.uint32(0x01000193) + code[2:]
-        for gram in (one, two, three):
+        for gram in (one, two[known - 1 :], three[max(0, known - 2) :]):
             mixed_gram = (gram ^ (gram >> np.uint32(15))) * np.uint32(0x9E3779B1)
             counts += np.bincount(mixed_gram >> shift, minlength=counts.size)
     return counts

