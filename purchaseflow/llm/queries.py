@@ -49,9 +49,8 @@ def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    """Two sampled segmentations of each document, with their digest instead of the ids."""
-    model = _tokenizer("piece_bpe_32k.model")
-    return pieces.encode(_table(spark, sf, "documents"), model, with_ids=False)
+    """Two sampled segmentations of each document: their ids, scores and whether they decode."""
+    return pieces.encode(_table(spark, sf, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
 def op5_fingerprints(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from purchaseflow.llm import fingerprints, hashing, licenses, packing, pieces
 
 SP_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -219,6 +220,16 @@ def test_decode_column(docs):
     assert {r["decoded"] for r in out.collect()} == {"a text", ""}
 
 
+def test_query_hands_out_the_segmentations_themselves(spark, sf_dir, vocabulary):
+    found = contract.queries()["op4_sentencepiece"](spark, sf_dir).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {r["doc_id"] for r in found} == set(texts)
+    for r in found:
+        assert vocabulary.decode(r["ids"]) == texts[r["doc_id"]] and r["round_trip"]
+        packed = np.array(r["ids"], dtype="<u4").tobytes()
+        assert (r["n_pieces"], r["ids_crc32"]) == (len(r["ids"]), zlib.crc32(packed))
+
+
 # --- hashes -------------------------------------------------------------------------
 
 
