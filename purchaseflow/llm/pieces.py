@@ -43,6 +43,7 @@ KEPT_SLOTS = 2_000_000  # of lattices that a task keeps for the batches to come
 DECODED = 1 << 20
 _SPACE = 0x110000  # stands for a blank, beyond all characters
 _NEVER = -np.inf
+_BITS = np.uint64(44)  # of a hash, behind the first ones that look it up
 
 
 def _codes(text: str) -> np.ndarray:
@@ -96,10 +97,12 @@ class Vocabulary:
                 known.setdefault(key, -1)
             known[keys[-1]] = i
         self.hashes = np.array(sorted(known), dtype=np.uint64)
-        self.pieces = np.array([known[h] for h in self.hashes.tolist()], dtype=np.int64)
-        # by the hash's first bits: whether any is known, which most others fail at once
-        self.maybe = np.zeros(1 << 22, dtype=bool)
-        self.maybe[self.hashes >> np.uint64(42)] = True
+        self.pieces = np.array([known[h] for h in self.hashes.tolist()], dtype=np.int32)
+        # by the hash's first bits: where the known ones with these bits begin, or -1
+        bits = (self.hashes >> _BITS).astype(np.int64)
+        self.begin = np.full(1 << 20, -1, dtype=np.int32)
+        self.begin[bits[::-1]] = np.arange(bits.size)[::-1]
+        self.crowd = int(np.bincount(bits).max())
         self.logs = np.full(count, _NEVER)
         self.logs[plain] = np.log(share) - log_total
         self.bytes = [n.replace("▁", " ").encode() for n in names]
@@ -109,17 +112,25 @@ class Vocabulary:
             if model.is_control(i) or model.is_unknown(i):
                 self.bytes[i] = b""
         self._joined = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
-        self._sizes = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        self._places = np.cumsum(self._sizes) - self._sizes
+        self._sizes = np.array([len(b) for b in self.bytes], dtype=np.int32)
+        self._places = np.cumsum(self._sizes, dtype=np.int32) - self._sizes
 
     def look_up(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each hash is that of a piece's prefix, and the piece it is, or -1."""
-        near = np.flatnonzero(self.maybe[key >> np.uint64(42)])
-        place = np.minimum(np.searchsorted(self.hashes, key[near]), self.hashes.size - 1)
-        same = self.hashes[place] == key[near]
-        known, piece = np.zeros(key.size, dtype=bool), np.full(key.size, -1, dtype=np.int64)
-        known[near[same]] = True
-        piece[near[same]] = self.pieces[place[same]]
+        place = self.begin[key >> _BITS]
+        near = np.flatnonzero(place >= 0)
+        place, own = place[near], key[near]
+        for _ in range(self.crowd - 1):
+            # hashes with the same first bits lie side by side
+            other = np.flatnonzero(self.hashes[place] < own)
+            if not other.size:
+                break
+            place[other] = np.minimum(place[other] + 1, self.hashes.size - 1)
+        same = self.hashes[place] == own
+        near, place = near[same], place[same]
+        known, piece = np.zeros(key.size, dtype=bool), np.full(key.size, -1, dtype=np.int32)
+        known[near] = True
+        piece[near] = self.pieces[place]
         return known, piece
 
     def decode(self, ids) -> str:
@@ -128,8 +139,9 @@ class Vocabulary:
         for at in range(0, ids.size, DECODED):
             own = ids[at : at + DECODED]
             size = self._sizes[own]
-            upto = np.cumsum(size)
-            where = np.arange(upto[-1]) + np.repeat(self._places[own] - upto + size, size)
+            upto = np.cumsum(size, dtype=np.int32)
+            where = np.repeat(self._places[own] - upto + size, size)
+            where += np.arange(where.size, dtype=np.int32)
             parts.append(self._joined[where].tobytes())
         whole = b"".join(parts).decode("utf-8", "replace")
         return whole[1:] if whole.startswith(" ") else whole
@@ -157,14 +169,6 @@ class Lattices:
     below: np.ndarray
     left: np.ndarray
 
-    def followed_by(self, more: Lattices) -> Lattices:
-        """These lattices and then ``more``, whose slots are renumbered."""
-        both = {
-            name: np.concatenate([getattr(self, name), getattr(more, name)])
-            for name in ("length", "ids", "log", "below", "left")
-        }
-        return Lattices(np.concatenate([self.first[:-1], more.first + self.first[-1]]), **both)
-
 
 class Kept:
     """The lattices of the words that a task has met, up to some KEPT_SLOTS."""
@@ -173,6 +177,7 @@ class Kept:
         self.clear()
 
     def clear(self) -> None:
+        self.room: dict[str, np.ndarray] = {}  # of the grid's arrays, some of it free
         self.names = np.zeros(0, dtype=np.uint64)  # sorted
         self.slots = np.zeros(0, dtype=np.int64)  # where the word of each name begins
         self.grid: Lattices | None = None
@@ -190,7 +195,7 @@ class Kept:
             size = ends[new] - starts[new] + 1
             old = self.grid.left.size if self.grid else 0
             slots = old + np.cumsum(size) - size
-            self.grid = self.grid.followed_by(more) if self.grid else more
+            self._add(more)
             merged = np.concatenate([self.names, names[new]])
             order = np.argsort(merged, kind="stable")
             self.names = merged[order]
@@ -198,6 +203,26 @@ class Kept:
         return self.grid, self.slots[np.searchsorted(self.names, names)]
 
 
+    def _add(self, more: Lattices) -> None:
+        """Puts ``more`` behind the lattices kept, whose arrays grow by doubling."""
+        arrays = dict(vars(more))
+        if self.grid:
+            upto = _narrow(more.first.astype(np.int64) + self.grid.first[-1])
+            arrays["first"] = upto[1:]
+        for name, new in arrays.items():
+            room = self.room.get(name)
+            used = getattr(self.grid, name).size if self.grid else 0
+            if room is None or used + new.size > room.size or room.dtype < new.dtype:
+                free = used + max(used, new.size)
+                room = np.empty(free, dtype=new.dtype)
+                if used:
+                    room[:used] = getattr(self.grid, name)
+                self.room[name] = room
+            room[used : used + new.size] = new
+            arrays[name] = room[: used + new.size]
+        self.grid = Lattices(**arrays)
+
+
 def lattices(code: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary: Vocabulary) -> Lattices:
     """The lattices of the words ``code[start:end]``."""
     size = ends - starts
@@ -210,37 +235,42 @@ def lattices(code: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
     chars[inside] = code[shift + np.arange(inside.size)]
     # the hash of a part is built up character by character, as long as pieces go on
     power, _ = powers()
+    plus_one = chars + np.uint64(1)
     at, value = inside, np.zeros(inside.size, dtype=np.uint64)
-    slot_parts, id_parts, lengths = [], [], []
+    parts, count = [], np.zeros(slots, dtype=np.int32)
     for length in range(1, vocabulary.longest + 1):
-        value = value + (chars[at + length - 1] + np.uint64(1)) * power[length - 1]
-        key = mixed(value + np.uint64(length))
-        known, piece = vocabulary.look_up(key)
+        value = value + plus_one[at + (length - 1)] * power[length - 1]
+        known, piece = vocabulary.look_up(mixed(value + np.uint64(length)))
         # every character can be spelt, in bytes if it is no piece
-        whole = np.flatnonzero(piece >= 0) if length > 1 else np.arange(at.size)
-        slot_parts.append(at[whole])
-        id_parts.append(piece[whole])
-        lengths.append(whole.size)
-        on = np.flatnonzero(known & (left[at] > length))
+        whole = np.flatnonzero(piece >= 0) if length > 1 else slice(None)
+        parts.append((at[whole], piece[whole]))
+        count[parts[-1][0]] += 1
+        on = np.flatnonzero(known)
+        on = on[left[at[on]] > length]
         at, value = at[on], value[on]
         if not at.size:
             break
-    slot, ids = np.concatenate(slot_parts), np.concatenate(id_parts)
-    order = np.argsort(slot, kind="stable")
-    slot, ids = slot[order], ids[order]
-    length = np.repeat(np.arange(1, len(lengths) + 1), lengths)[order]
+    first = _narrow(np.concatenate([[0], np.cumsum(count, dtype=np.int64)]))
+    ids, length = np.empty((2, int(first[-1])), dtype=np.int32)
+    place = first[:-1].copy()
+    for size, (slot, piece) in enumerate(parts, 1):
+        to = place[slot]
+        ids[to], length[to], place[slot] = piece, size, to + 1
+    slot = np.repeat(np.arange(slots), count)
     log = vocabulary.logs[ids]
     bare = np.flatnonzero(ids < 0)
     wide = chars[slot[bare]]
     log[bare] = vocabulary.byte_log * (1 + (wide > 0x7F) + (wide > 0x7FF) + (wide > 0xFFFF))
-    count = np.bincount(slot, minlength=slots)
-    first = np.concatenate([[0], np.cumsum(count)])
     # log probability of all ways on from a slot, from the words' ends backwards
     log_all, target = np.zeros(slots), slot + length
-    by_left = np.argsort(left[inside], kind="stable")
-    bounds = np.searchsorted(left[inside][by_left], np.arange(1, left.max(initial=0) + 2))
+    left_inside = left[inside]
+    if left.max(initial=0) < 1 << 16:
+        left_inside = left_inside.astype(np.uint16)  # which numpy sorts by digits
+    by_left = np.argsort(left_inside, kind="stable")
+    bounds = np.cumsum(np.bincount(left_inside, minlength=1))
+    by_left = inside[by_left]
     for d in range(1, bounds.size):
-        now = inside[by_left[bounds[d - 1] : bounds[d]]]
+        now = by_left[bounds[d - 1] : bounds[d]]
         if not now.size:
             continue
         own = count[now]
@@ -250,37 +280,44 @@ def lattices(code: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         top = np.maximum.reduceat(value, open_)
         total = np.add.reduceat(np.exp(value - np.repeat(top, own)), open_)
         log_all[now] = top + np.log(total)
-    log = log + log_all[target] - log_all[slot]
+    log = log + log_all[target] - np.repeat(log_all, count)
     below = np.exp(log)
+    more = np.flatnonzero(count > 1)
     for nth in range(1, int(count.max(initial=0))):
-        edge = first[:-1][count > nth] + nth
+        more = more[count[more] > nth]
+        edge = first[more] + nth
         below[edge] += below[edge - 1]
-    small = [x.astype(np.int32) for x in (length, ids, left)]
-    return Lattices(first, small[0], small[1], log, below, small[2])
+    return Lattices(first, length, ids, log, below, left.astype(np.int32))
+
+
+def _narrow(numbers: np.ndarray) -> np.ndarray:
+    """Rising ``numbers`` in 32 bits if they fit, as most of the time goes into moving them."""
+    return numbers.astype(np.int32) if numbers[-1] < 1 << 31 else numbers
 
 
 def _steps(grid: Lattices, slot: np.ndarray, char: np.ndarray, uniform: np.ndarray):
-    """Samples each slot's word to its end; arrays (char, slot, edge), by character."""
-    chars, slots, edges = [], [], []
+    """Samples each slot's word to its end; arrays (char, edge), by character."""
+    taken = np.full(uniform.size, -1, dtype=grid.first.dtype)
     while slot.size:
         edge, last = grid.first[slot], grid.first[slot + 1] - 1
         wanted = uniform[char] * grid.below[last]
         behind = np.flatnonzero((grid.below[edge] <= wanted) & (edge < last))
-        while behind.size:
-            edge[behind] += 1
-            now = edge[behind]
-            behind = behind[(grid.below[now] <= wanted[behind]) & (now < last[behind])]
-        chars.append(char)
-        slots.append(slot)
-        edges.append(edge)
+        if behind.size:
+            now, wanted, last = edge[behind], wanted[behind], last[behind]
+            while True:
+                now += 1
+                on = np.flatnonzero((grid.below[now] <= wanted) & (now < last))
+                edge[behind] = now
+                if not on.size:
+                    break
+                behind, now, wanted, last = behind[on], now[on], wanted[on], last[on]
+        taken[char] = edge
         length = grid.length[edge]
         on = np.flatnonzero(grid.left[slot] > length)
-        slot, char = (slot + length)[on], (char + length)[on]
-    if not chars:
-        return [np.zeros(0, dtype=np.int64)] * 3
-    char = np.concatenate(chars)
-    order = np.argsort(char, kind="stable")
-    return char[order], np.concatenate(slots)[order], np.concatenate(edges)[order]
+        length = length[on]
+        slot, char = slot[on] + length, char[on] + length
+    char = np.flatnonzero(taken >= 0)
+    return char, taken[char]
 
 
 class Search:
@@ -295,22 +332,25 @@ class Search:
     def uniform(self) -> np.ndarray:
         return self.random.random(self.code.size)
 
-    def _cut_gumbel(self, log: np.ndarray, bound: float) -> np.ndarray:
+    @staticmethod
+    def _cut_gumbel(log: np.ndarray, uniform: np.ndarray, bound: float) -> np.ndarray:
         """Gumbels with the given locations, each below ``bound``."""
-        noise = -np.log(self.random.random(log.size) + 1e-300)
+        noise = -np.log(uniform + 1e-300)
         return np.minimum(log - np.log(np.exp(log - bound) + noise), bound)
 
     def add(self, char, slot, edge, first: int, value: float) -> None:
         """A whole segmentation; its steps from ``first`` on open groups of siblings."""
         log = self.grid.log[edge]
         upto = np.cumsum(log)
+        before = upto - log
         other = -np.expm1(log[first:])
-        alone = other < 1e-12
-        group = upto[first:] - log[first:] + np.log(np.where(alone, 1.0, other))
+        uniform = self.random.random(other.size)
+        some = np.flatnonzero(other >= 1e-12)  # siblings
+        group = before[first + some] + np.log(other[some])
         values = np.full(char.size, _NEVER)
         # locations never exceed 0 and bounds are Gumbels of 0, so exp() stays finite
-        values[first:] = np.where(alone, _NEVER, self._cut_gumbel(group, value))
-        self.paths.append((char, slot, edge, upto - log, float(upto[-1]), value))
+        values[first + some] = self._cut_gumbel(group, uniform[some], value)
+        self.paths.append((char, slot, edge, before, float(upto[-1]), value))
         self.open.append((len(self.paths) - 1, values, {}))
 
     def best(self) -> tuple[float, int, int]:
@@ -341,7 +381,7 @@ class Search:
         values[step] = _NEVER
         if rest > 1e-12:
             log = np.array([before[step] + math.log(rest)])
-            values[step] = self._cut_gumbel(log, value)[0]
+            values[step] = self._cut_gumbel(log, self.random.random(1), value)[0]
         return path, step, int(low) + taken, value
 
     def ids(self, path: int, vocabulary: Vocabulary) -> np.ndarray:
@@ -350,7 +390,12 @@ class Search:
         spelt = np.flatnonzero(found < 0)
         if not spelt.size:
             return found
-        letters = [chr(c).encode("utf-8", "surrogatepass") for c in self.code[char[spelt]].tolist()]
+        code = self.code[char[spelt]]
+        if code.max() < 0x80:
+            out = found.copy()
+            out[spelt] = vocabulary.byte_ids[code]
+            return out
+        letters = [chr(c).encode("utf-8", "surrogatepass") for c in code.tolist()]
         width = np.ones(found.size, dtype=np.int64)
         width[spelt] = [len(x) for x in letters]
         out = np.repeat(found, width)
@@ -383,10 +428,11 @@ def sample(
     kept = kept or Kept()
     grid, first = kept.of(different, code, starts[index], ends[index], vocabulary)
     word_slot = first[inverse]
-    slot_of = np.repeat(word_slot - starts, ends - starts) + np.arange(code.size)
+    slot_of = _narrow(np.arange(code.size)) + np.repeat(word_slot - starts, ends - starts)
     searches = [Search(c, k, grid) for c, k in zip(codes, keys, strict=True)]
     uniform = np.concatenate([s.uniform() for s in searches])
-    char, slot, edge = _steps(grid, word_slot, starts, uniform)
+    char, edge = _steps(grid, word_slot, starts, uniform)
+    slot = slot_of[char]
     cuts = np.searchsorted(char, base)
     for d, search in enumerate(searches):
         if sizes[d]:
@@ -416,12 +462,13 @@ def sample(
                 from_slot.append(slot_of[after])
         if not opened:
             break
-        char, slot, edge = _steps(
+        char, edge = _steps(
             grid,
             np.concatenate(from_slot) if from_slot else np.zeros(0, dtype=np.int64),
             np.concatenate(from_char) if from_char else np.zeros(0, dtype=np.int64),
             uniform,
         )
+        slot = slot_of[char]
         cuts = np.searchsorted(char, base)
         for d, path, step, taken, value, _ in opened:
             old = searches[d].paths[path]
@@ -492,14 +539,13 @@ def encode(
 
     def rows_of(search: Search, whole: str, vocabulary: Vocabulary) -> Iterator[tuple]:
         if not search.paths:
-            yield (1, 0, 0.0, 0.0, 1.0, 0, True, [])
+            yield (1, 0, 0.0, 0.0, 1.0, 0, True, np.zeros(0, dtype=np.int32))
             return
         over = search.best()[0]
         for n in range(min(samples, len(search.paths))):
             log, value = search.paths[n][4:6]
             score = 1.0 if over == _NEVER else -math.expm1(-math.exp(min(700.0, log - over)))
             ids = search.ids(n, vocabulary)
-            listed = ids.tolist() if with_ids else None
             yield (
                 n + 1,
                 ids.size,
@@ -508,7 +554,7 @@ def encode(
                 score,
                 zlib.crc32(ids.astype("<u4").tobytes()),
                 vocabulary.decode(ids) == whole,
-                listed,
+                ids if with_ids else None,
             )
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -528,8 +574,11 @@ def encode(
                     rows += own
                     owner += [start + d] * len(own)
                 ids = batch.column(0).take(pa.array(owner, pa.int64()))
-                parts = list(zip(*rows, strict=True))
+                *parts, listed = zip(*rows, strict=True)
                 arrays = [pa.array(p, t) for p, (t, _) in zip(parts, columns.values(), strict=False)]
+                if with_ids:
+                    upto = np.cumsum([0, *map(len, listed)])
+                    arrays.append(pa.ListArray.from_arrays(pa.array(upto, pa.int32()), np.concatenate(listed)))
                 yield pa.RecordBatch.from_arrays([ids, *arrays], names=[key, *columns])
                 start += len(texts)
 

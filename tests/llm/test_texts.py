@@ -230,6 +230,25 @@ def test_query_hands_out_the_segmentations_themselves(spark, sf_dir, vocabulary)
         assert (r["n_pieces"], r["ids_crc32"]) == (len(r["ids"]), zlib.crc32(packed))
 
 
+@pytest.mark.parametrize("slots", [0, 100, 10**6])
+def test_lattices_that_are_kept_change_no_sample(vocabulary, monkeypatch, slots):
+    monkeypatch.setattr(pieces, "KEPT_SLOTS", slots)
+    rng, kept = random.Random(slots), pieces.Kept()
+    for n in range(12):
+        texts = [" ".join(rng.choices("the then cat ß naïve 日本 a\nb x".split(" "), k=9)) + f" {n}" * n]
+        (own,), (alone,) = (pieces.sample(texts, [n], vocabulary, 3, k) for k in (kept, None))
+        for i in range(3):
+            assert own.ids(i, vocabulary).tolist() == alone.ids(i, vocabulary).tolist()
+            assert own.paths[i][4:] == alone.paths[i][4:]
+
+
+def test_every_prefix_of_a_piece_is_found_and_no_other(vocabulary):
+    near = np.concatenate([vocabulary.hashes, vocabulary.hashes + np.uint64(1), vocabulary.hashes - np.uint64(1)])
+    known, piece = vocabulary.look_up(near)
+    assert known.tolist() == np.isin(near, vocabulary.hashes).tolist()
+    assert piece[: vocabulary.hashes.size].tolist() == vocabulary.pieces.tolist()
+
+
 # --- hashes -------------------------------------------------------------------------
 
 
