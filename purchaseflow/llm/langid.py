@@ -22,6 +22,7 @@ score is the logistic of the family margin times the mean logistic of the pair m
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from itertools import combinations
@@ -58,8 +59,11 @@ FAMILIES = {
 def vector(text: str) -> np.ndarray | None:
     """The unit feature vector of a text, or None without a letter."""
     counts = letter_grams(text, LOG2_BUCKETS)
-    total = counts.sum()
-    return np.sqrt(counts / total).astype(np.float32) if total else None
+    return _unit(counts) if counts.any() else None
+
+
+def _unit(counts: np.ndarray) -> np.ndarray:
+    return np.sqrt(counts / counts.sum()).astype(np.float32)
 
 
 def _svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
@@ -70,7 +74,8 @@ def _svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
     y = np.where(positive, 1.0, -1.0).astype(np.float32)
     weight = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
     mean = x.mean(axis=0)
-    z = np.hstack([x - mean, np.ones((len(x), 1), np.float32)])
+    z = np.ones((len(x), x.shape[1] + 1), np.float32)
+    np.subtract(x, mean, out=z[:, :-1])
     scale = COST * len(x) * weight.astype(np.float32)
     probe = np.random.default_rng(0).standard_normal(z.shape[1]).astype(np.float32)
     for _ in range(12):
@@ -164,9 +169,11 @@ def train(x: np.ndarray, lang: np.ndarray, families: Mapping[str, str] = FAMILIE
     return Model(tuple(listed), pairs)
 
 
-def _vectors(texts: pd.Series) -> pd.Series:
-    found = (vector(text) for text in texts)
-    return pd.Series([None if v is None else v.tobytes() for v in found], dtype=object)
+def _packed(texts: pd.Series) -> pd.Series:
+    """The counts of each text, compressed to some KB, or None without a letter."""
+    found = (letter_grams(text, LOG2_BUCKETS) for text in texts)
+    packed = [zlib.compress(c.astype("<i8").tobytes(), 1) if c.any() else None for c in found]
+    return pd.Series(packed, dtype=object)
 
 
 def fit(
@@ -201,14 +208,20 @@ def fit(
         .join(F.broadcast(chosen), "__id", "left_semi")
         .dropDuplicates(["__id"])
     )
-    found = texts.select("__lang", F.pandas_udf(_vectors, "binary")("__text").alias("__x")).toArrow()
-    lang_of = np.array(found["__lang"].to_pylist(), dtype=object)
-    kept = [(n, v) for n, v in zip(lang_of, found["__x"].to_pylist(), strict=True) if v]
-    if not kept:
+    packed = F.pandas_udf(_packed, "binary")("__text").alias("__x")
+    found = texts.select("__lang", packed).filter(F.col("__x").isNotNull()).toArrow()
+    if not found.num_rows:
         return Model((), {})
-    kept.sort()  # the order rows arrive in differs from run to run
-    x = np.frombuffer(b"".join(v for _, v in kept), dtype=np.float32).reshape(len(kept), BUCKETS)
-    return train(x, np.array([n for n, _ in kept], dtype=object), families)
+    # counts come compressed, so that beside the matrix of vectors there is room to train
+    x = np.empty((found.num_rows, BUCKETS), dtype=np.float32)
+    for row, value in zip(x, found["__x"], strict=True):
+        row[:] = _unit(np.frombuffer(zlib.decompress(value.as_py()), dtype="<i8"))
+    lang_of = np.array(found["__lang"].to_pylist(), dtype=object)
+    del found
+    # the order rows arrive in differs from run to run
+    order = sorted(range(len(x)), key=lambda i: (lang_of[i], x[i].tobytes()))
+    x, lang_of = x[order], lang_of[order]
+    return train(x, lang_of, families)
 
 
 def predictor(model: Model):

@@ -6,10 +6,13 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
 from purchaseflow.llm import langid, pii, queries, toxicity
 
@@ -99,6 +102,27 @@ def test_families_are_learnt_and_small():
     assert set(langid.learnt_families(names[:8], means[:8]).values()) == {"other"}
 
 
+def test_driver_holds_three_matrices_of_vectors_at_most(docs):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(400)]
+    texts = [(i, " ".join(rng.choices(words, k=60))) for i in range(1200)]
+    names, sample = ["en", "de", "fr", "es"], 200
+    df = reduce(DataFrame.union, [docs(texts[k::4], name) for k, name in enumerate(names)]).cache()
+    langid.fit(df, sample=sample)  # what is imported and built only once
+    tracemalloc.start()
+    try:
+        model = langid.fit(df, sample=sample)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    rows = sum(
+        len({r[0] for r in df.filter(F.col("lang") == n).select(F.expr(f"pmod(xxhash64(doc_id), {sample})")).collect()})
+        for n in names
+    )
+    assert model.families and rows > 400
+    assert peak < 3.5 * rows * 4 * langid.BUCKETS
+
+
 def test_any_number_of_labels_teaches_a_bounded_sample(spark, docs, monkeypatch):
     monkeypatch.setattr(langid, "LANGUAGES", 4)
     monkeypatch.setattr(langid, "ALTOGETHER", 40)
