@@ -9,12 +9,14 @@ and two prefixes meet in a key exactly if they are equal, up to 128-bit hash col
 
 ``subtree_totals`` adds up values over all subtrees without walking the tree level by
 level. Rounds alternate: *rake* adds every leaf to its parent and takes it away; *compress*
-takes away nodes that have a single child, no two of them adjacent (coins decide), and
-leaves their values on the child's edge. A chain thus shrinks by a part of its length each
-round, and a tree of n nodes and any depth is gone after O(log n) rounds. Then the
-compressed nodes are expanded again, last round first: a node's total is its child's plus
-what its compression noted. Joins are on unique keys on both sides; what many children
-give one parent is summed before it moves. Each round is written to the shared folder.
+takes away nodes that have a single child, no two of them adjacent (those whose number, a
+hash drawn anew each round, is above both neighbours'), and leaves their values on the
+child's edge. A chain thus shrinks by a third of its length each round, and a tree of n
+nodes and any depth is gone after O(log n) rounds. Then the compressed nodes are expanded
+again: a node's total is its child's plus what its compression noted, and as the child may
+have gone in a later round, such pointers are followed by doubling, in O(log log n) steps.
+Joins find each key once at most; what many children give one parent is summed before it
+moves. Each round is written once to the shared folder, and no plan spans several rounds.
 
 Defined results: null role or text is empty; turns are ordered by number, null first, and
 turns of equal number by their hash; equal rows are turns of their own; rows without
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from purchaseflow.operators.hot import CHUNK, CHUNK_ROWS, running, split
-from purchaseflow.sources.scratch import staged
+from purchaseflow.sources.scratch import scratch_dir, staged
 
 SHARED = 6  # shared openings are shorter than this
 GROUP = 100  # conversations of one hundred share an opening
@@ -128,90 +130,117 @@ def prefixes(turns: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame
 
 
 def subtree_totals(
-    nodes: DataFrame, values: Sequence[str], rounds: int = 200
+    nodes: DataFrame, values: Sequence[str], rounds: int = 200, children: str | None = None
 ) -> DataFrame:
     """``id`` and the sums of ``values`` over each node's subtree, itself included.
 
-    ``nodes`` has ``id`` (unique), ``parent`` (null for roots) and long ``values``.
+    ``nodes`` has ``id`` (unique), ``parent`` (null for roots), long ``values`` and, if it
+    is known, a column ``children`` with the number of nodes whose parent a node is.
     """
     values = list(values)
-    out = [f"__out_{v}" for v in values]  # what a node's edge adds on the way to its parent
-    live = nodes.select("id", "parent", *values).withColumns({o: F.lit(0).cast("long") for o in out})
-    known: list[DataFrame] = []
-    notes: list[DataFrame] = []
+    spark = nodes.sparkSession
+    zero = F.lit(0).cast("long")
+    if children is None:
+        kids = nodes.filter(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("id"))
+        nodes = nodes.join(kids.agg(F.count(F.lit(1)).alias("__kids")), "id", "left")
+    # __out: what a node's edge adds on the way to its parent; __below: the same of the one
+    # child of a node that goes. The round's number is a column, as a literal in it would
+    # have each round's code compiled anew
+    folder = scratch_dir(spark, "contraction")
+    live = nodes.select(
+        "id",
+        "parent",
+        F.coalesce(children or "__kids", zero).cast("long").alias("__kids"),
+        *values,
+        *[zero.alias(f"__out_{v}") for v in values],
+        *[zero.alias(f"__below_{v}") for v in values],
+        F.lit(None).cast(nodes.schema["id"].dataType).alias("__only"),
+        F.lit(False).alias("__gone"),
+        zero.alias("__round"),
+    )
+    state = staged(live, "rake", folder)
+    shape = state.schema
     for number in range(rounds):
-        # rake: leaves are final, and their parents take what they give
-        parents = live.filter(F.col("parent").isNotNull())
-        kids = parents.groupBy(F.col("parent").alias("id")).agg(F.lit(True).alias("__inner"))
-        marked = staged(live.join(kids, "id", "left"), "rake")
-        leaves = marked.filter(F.col("__inner").isNull())
-        known.append(leaves.select("id", *values))
-        inner = marked.filter(F.col("__inner")).drop("__inner")
-        if inner.isEmpty():
+        if state.filter(~F.col("__gone") & (F.col("__kids") > 0)).isEmpty():
             break
-        given = (
-            leaves.filter(F.col("parent").isNotNull())
-            .groupBy(F.col("parent").alias("id"))
-            .agg(*[F.sum(F.col(v) + F.col(o)).alias(f"__given_{v}") for v, o in zip(values, out)])
-        )
-        raked = inner.join(given, "id", "left").select(
-            "id",
-            "parent",
-            *[(F.col(v) + F.coalesce(f"__given_{v}", F.lit(0))).alias(v) for v in values],
-            *out,
-        )
-        # compress: of the nodes with one child those whose coin is up and whose child's is not
-        children = (
-            raked.filter(F.col("parent").isNotNull())
-            .groupBy(F.col("parent").alias("id"))
-            .agg(F.min("id").alias("__only"), F.count(F.lit(1)).alias("__kids"))
-        )
-        coin = F.pmod(F.xxhash64(F.lit(number), "id"), F.lit(2)) == 0
-        single = (F.col("__kids") == 1) & F.col("parent").isNotNull()
-        tossed = raked.join(children, "id", "left").select(
-            *raked.columns,
-            F.when(single, F.col("__only")).alias("__only"),
-            F.coalesce(single & coin, F.lit(False)).alias("__up"),
-        )
-        below = tossed.select(
-            F.col("id").alias("__under"),
-            F.col("__up").alias("__below_up"),
-            *[F.col(o).alias(f"__below{o}") for o in out],
-        )
-        gone = F.col("__up") & ~F.coalesce("__below_up", F.lit(True))
-        # nodes without a single child look themselves up: nulls would all meet in one task
-        under = F.coalesce("__only", "id") == F.col("__under")
-        met = tossed.join(below, under, "left").withColumn("__gone", gone)
-        chosen = staged(met.drop("__up", "__below_up", "__under"), "compress")
-        removed = chosen.filter("__gone")
-        noted = [(F.col(v) + F.col(f"__below{o}")).alias(f"__more_{v}") for v, o in zip(values, out)]
-        notes.append(removed.select("id", F.col("__only").alias("__child"), *noted))
-        handed = removed.select(
+        handed = state.filter("__gone").select(
             F.col("__only").alias("id"),
             F.col("parent").alias("__parent"),
-            *[(F.col(v) + F.col(o)).alias(f"__add{o}") for v, o in zip(values, out)],
+            *[(F.col(v) + F.col(f"__out_{v}")).alias(f"__add_{v}") for v in values],
         )
         live = (
-            chosen.filter(~F.col("__gone"))
+            state.filter(~F.col("__gone"))
             .join(handed, "id", "left")
             .select(
                 "id",
                 F.coalesce("__parent", "parent").alias("parent"),
+                "__kids",
                 *values,
-                *[(F.col(o) + F.coalesce(f"__add{o}", F.lit(0))).alias(o) for o in out],
+                *[(F.col(f"__out_{v}") + F.coalesce(f"__add_{v}", zero)).alias(f"__out_{v}") for v in values],
+                "__round",
             )
         )
+        # rake: leaves are final, and their parents take what they give
+        leaf = F.col("__kids") == 0
+        given = (
+            live.filter(F.col("parent").isNotNull())
+            .groupBy(F.col("parent").alias("id"))
+            .agg(
+                F.count_if(leaf).alias("__leaves"),
+                F.min(F.when(~leaf, F.col("id"))).alias("__child"),
+                *[F.sum(F.when(leaf, F.col(v) + F.col(f"__out_{v}"))).alias(f"__given_{v}") for v in values],
+                *[F.sum(F.when(~leaf, F.col(f"__out_{v}"))).alias(f"__under_{v}") for v in values],
+            )
+        )
+        # compress: nodes with one child whose number of this round is above both neighbours'
+        turn = F.col("__round") + 1
+        own, above, below = (F.xxhash64(turn, c) for c in ("id", "parent", "__child"))
+        left = F.col("__kids") - F.coalesce("__leaves", zero)
+        gone = (left == 1) & F.col("parent").isNotNull() & (own > above) & (own > below)
+        raked = live.filter(~leaf).join(given, "id", "left")
+        state = staged(
+            raked.select(
+                "id",
+                "parent",
+                left.alias("__kids"),
+                *[(F.col(v) + F.coalesce(f"__given_{v}", zero)).alias(v) for v in values],
+                *[f"__out_{v}" for v in values],
+                *[F.when(gone, F.col(f"__under_{v}")).alias(f"__below_{v}") for v in values],
+                F.when(gone, F.col("__child")).alias("__only"),
+                F.coalesce(gone, F.lit(False)).alias("__gone"),
+                turn.alias("__round"),
+            ),
+            "rake",
+            folder,
+        )
     else:
         raise RuntimeError(f"the tree is not contracted after {rounds} rounds")
-    # what a round compressed hangs on nodes that went in later rounds, so each expansion
-    # reads only these; they are fewer and fewer
-    later = known.pop()
-    for note in reversed(notes):
-        ready = later.withColumnRenamed("id", "__child")
-        sums = [(F.col(v) + F.col(f"__more_{v}")).alias(v) for v in values]
-        expanded = staged(note.join(ready, "__child").select("id", *sums), "expand")
-        later = later.unionByName(expanded).unionByName(known.pop())
-    return later
+    # all rounds are read as one table, so that no plan grows with their number
+    every = spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(folder)
+    known = every.filter(~F.col("__gone") & (F.col("__kids") == 0)).select("id", *values)
+    # a compressed node's total is its child's and more; the child may have been compressed
+    # in a later round, and so on: each step doubles how far such pointers reach
+    noted = every.filter("__gone").select(
+        "id",
+        F.col("__only").alias("__child"),
+        *[(F.col(v) + F.col(f"__below_{v}")).alias(f"__more_{v}") for v in values],
+    )
+    for _ in range(max(0, number - 1).bit_length()):
+        noted = staged(noted, "expand")
+        next_ = noted.select(
+            F.col("id").alias("__child"),
+            F.col("__child").alias("__next"),
+            *[F.col(f"__more_{v}").alias(f"__then_{v}") for v in values],
+        )
+        noted = noted.join(next_, "__child", "left").select(
+            "id",
+            F.coalesce("__next", "__child").alias("__child"),
+            *[(F.col(f"__more_{v}") + F.coalesce(f"__then_{v}", zero)).alias(f"__more_{v}") for v in values],
+        )
+    expanded = noted.join(known.withColumnRenamed("id", "__child"), "__child").select(
+        "id", *[(F.col(v) + F.col(f"__more_{v}")).alias(v) for v in values]
+    )
+    return known.unionByName(expanded)
 
 
 def ends_digest(ends: DataFrame, chunk_rows: int = LISTED) -> DataFrame:
@@ -302,7 +331,7 @@ def trie(
         ),
         "nodes",
     )
-    totals = subtree_totals(nodes, ["n_leaves", "saved_tokens"])
+    totals = subtree_totals(nodes, ["n_leaves", "saved_tokens"], children="n_children")
     last = rows.groupBy("conv").agg(F.max_by("id", "depth").alias("id"))
     ends = ids.join(last, "conv", "left").select(F.coalesce("id", nothing).alias("id"), "conv")
     digests = ends_digest(staged(ends, "ends"), listed)

@@ -139,6 +139,25 @@ def test_chains_take_few_rounds(spark, monkeypatch):
     assert made.count("rake") < 25
 
 
+def test_no_plan_grows_with_the_rounds(spark, monkeypatch, plan):
+    scans = []
+    real = ct.staged
+
+    def noting(df, purpose, *a):
+        scans.append(plan(df, "simple").count("FileScan parquet"))
+        return real(df, purpose, *a)
+
+    monkeypatch.setattr(ct, "staged", noting)
+    nodes = spark.range(60).select(
+        "id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent"), F.lit(1).cast("long").alias("v")
+    )
+    totals = ct.subtree_totals(nodes, ["v"])
+    scans.append(plan(totals, "simple").count("FileScan parquet"))
+    assert {r["id"]: r["v"] for r in totals.collect()} == {i: 60 - i for i in range(60)}
+    # one table a round, and a few to expand them all
+    assert len(scans) < 25 and max(scans) < 7
+
+
 def test_digest_of_many_ends_streams_in_chunks(spark):
     ends = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7 + 1).alias("id"),
