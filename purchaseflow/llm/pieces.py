@@ -9,10 +9,11 @@ Sampling is a perturbed A-star search. Each node, a prefix of a segmentation, ha
 probability of all that complete it (from backward sums) and a Gumbel-perturbed version
 of it, the highest of its completions. The best open node is expanded until it is whole:
 the search follows the sampled best child down, and the siblings passed on the way stay
-open together, as one group per step whose best value is a Gumbel cut off at the parent's
-value. The best group is opened next, for one of its members, and keeps the rest. So
-segmentations come out in order of their perturbed log probability, all different, as if
-every one of them had been perturbed. Beside each stands its inclusion score, the
+open together, as one group whose best value is a Gumbel at the log of their summed
+probabilities, cut off at the value of the segmentation. The best group is opened next,
+for one of its members (a step, and a sibling there, by probability), and keeps the rest.
+So segmentations come out in order of their perturbed log probability, all different, as
+if every one of them had been perturbed. Beside each stands its inclusion score, the
 probability to be among the first ``samples`` given the next value after them.
 
 Randomness comes from a generator keyed by the row, one number for each character and
@@ -28,7 +29,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,7 @@ KEPT_SLOTS = 2_000_000  # of lattices that a task keeps for the batches to come
 DECODED = 1 << 20
 _SPACE = 0x110000  # stands for a blank, beyond all characters
 _NEVER = -np.inf
+_FAR = 50.0  # a log probability so far below another counts for nothing beside it
 _BITS = np.uint64(44)  # of a hash, behind the first ones that look it up
 
 
@@ -133,9 +135,9 @@ class Vocabulary:
         piece[near] = self.pieces[place]
         return known, piece
 
-    def decode(self, ids) -> str:
-        """The text of piece ids, without the blank that encoding puts in front."""
-        parts, ids = [], np.asarray(ids, dtype=np.int64)
+    def spelling(self, ids) -> bytes:
+        """The bytes of piece ids, with the blank that encoding puts in front."""
+        parts, ids = [], np.asarray(ids, dtype=np.int32)
         for at in range(0, ids.size, DECODED):
             own = ids[at : at + DECODED]
             size = self._sizes[own]
@@ -143,7 +145,11 @@ class Vocabulary:
             where = np.repeat(self._places[own] - upto + size, size)
             where += np.arange(where.size, dtype=np.int32)
             parts.append(self._joined[where].tobytes())
-        whole = b"".join(parts).decode("utf-8", "replace")
+        return b"".join(parts)
+
+    def decode(self, ids) -> str:
+        """The text of piece ids, without the blank that encoding puts in front."""
+        whole = self.spelling(ids).decode("utf-8", "replace")
         return whole[1:] if whole.startswith(" ") else whole
 
 
@@ -157,7 +163,7 @@ class Lattices:
 
     A slot's edges, one for each piece that may begin there, are the numbers from
     ``first[slot]`` to ``first[slot + 1]``: their ``length`` in characters, the piece
-    ``ids`` (-1: spelt in bytes), ``log`` of the chance given the slot, and ``below``, the
+    ``ids`` (-1: spelt in several bytes), ``log`` of the chance given the slot, and ``below``, the
     running sum of chances over the slot's edges. ``left`` is the number of characters to
     the word's end. Nothing in it depends on the words around, so lattices can be kept.
     """
@@ -183,8 +189,8 @@ class Kept:
         self.grid: Lattices | None = None
 
     def of(self, names, code, starts, ends, vocabulary) -> tuple[Lattices, np.ndarray]:
-        """Lattices with all words ``code[start:end]`` of different, sorted ``names``, and
-        the slot where each begins."""
+        """Lattices with all words ``code[start:end]`` of different ``names``, and the slot
+        where each begins."""
         if self.grid is not None and self.grid.left.size > KEPT_SLOTS:
             self.clear()
         place = np.minimum(np.searchsorted(self.names, names), max(0, self.names.size - 1))
@@ -280,6 +286,8 @@ def lattices(code: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocabulary:
         top = np.maximum.reduceat(value, open_)
         total = np.add.reduceat(np.exp(value - np.repeat(top, own)), open_)
         log_all[now] = top + np.log(total)
+    plain = wide < 0x80
+    ids[bare[plain]] = vocabulary.byte_ids[wide[plain]]
     log = log + log_all[target] - np.repeat(log_all, count)
     below = np.exp(log)
     more = np.flatnonzero(count > 1)
@@ -299,8 +307,9 @@ def _steps(grid: Lattices, slot: np.ndarray, char: np.ndarray, uniform: np.ndarr
     """Samples each slot's word to its end; arrays (char, edge), by character."""
     taken = np.full(uniform.size, -1, dtype=grid.first.dtype)
     while slot.size:
+        # chances of a slot sum up to 1; should rounding leave less, the last edge has the rest
         edge, last = grid.first[slot], grid.first[slot + 1] - 1
-        wanted = uniform[char] * grid.below[last]
+        wanted = uniform[char]
         behind = np.flatnonzero((grid.below[edge] <= wanted) & (edge < last))
         if behind.size:
             now, wanted, last = edge[behind], wanted[behind], last[behind]
@@ -320,56 +329,93 @@ def _steps(grid: Lattices, slot: np.ndarray, char: np.ndarray, uniform: np.ndarr
     return char, taken[char]
 
 
+@dataclass
+class Siblings:
+    """The open group of a path: the siblings passed from its step ``first`` on.
+
+    ``value`` is the best perturbed one. Probabilities are taken given the node where the
+    steps begin, whose log is ``start``: ``mass`` of the siblings by step, once the group
+    is opened, as far as they count (``whole``: for all steps), without the edges
+    ``gone`` of a step.
+    """
+
+    path: int
+    first: int
+    start: float
+    value: float
+    mass: np.ndarray | None = None
+    whole: bool = False
+    gone: dict[int, list[int]] = field(default_factory=dict)
+
+
 class Search:
     """The open groups of one text's search tree, and the segmentations found."""
 
     def __init__(self, code: np.ndarray, key: int, grid: Lattices | None):
         self.code, self.grid = code, grid
         self.random = np.random.Generator(np.random.Philox(key=key & 0xFFFFFFFFFFFFFFFF))
-        self.paths: list[tuple] = []  # (char, slot, edge, log before each step, log, value)
-        self.open: list[tuple] = []  # (path, values by step, edges left out by step)
+        # (char, slot of each of the text's characters, edge, running log, log, value)
+        self.paths: list[tuple] = []
+        self.open: list[Siblings] = []
 
     def uniform(self) -> np.ndarray:
         return self.random.random(self.code.size)
 
-    @staticmethod
-    def _cut_gumbel(log: np.ndarray, uniform: np.ndarray, bound: float) -> np.ndarray:
-        """Gumbels with the given locations, each below ``bound``."""
-        noise = -np.log(uniform + 1e-300)
-        return np.minimum(log - np.log(np.exp(log - bound) + noise), bound)
-
-    def add(self, char, slot, edge, first: int, value: float) -> None:
-        """A whole segmentation; its steps from ``first`` on open groups of siblings."""
-        log = self.grid.log[edge]
-        upto = np.cumsum(log)
-        before = upto - log
-        other = -np.expm1(log[first:])
-        uniform = self.random.random(other.size)
-        some = np.flatnonzero(other >= 1e-12)  # siblings
-        group = before[first + some] + np.log(other[some])
-        values = np.full(char.size, _NEVER)
-        # locations never exceed 0 and bounds are Gumbels of 0, so exp() stays finite
-        values[first + some] = self._cut_gumbel(group, uniform[some], value)
-        self.paths.append((char, slot, edge, before, float(upto[-1]), value))
-        self.open.append((len(self.paths) - 1, values, {}))
-
-    def best(self) -> tuple[float, int, int]:
-        """The highest open value, its entry and step; _NEVER if nothing is open."""
-        found = (_NEVER, 0, 0)
-        for n, (_, values, _) in enumerate(self.open):
-            step = int(values.argmax())
-            found = max(found, (float(values[step]), n, step))
-        return found
+    def _cut_gumbel(self, log: float, bound: float) -> float:
+        """A Gumbel with the given location, below ``bound``."""
+        noise = -math.log(self.random.random() + 1e-300)
+        return min(log - math.log(math.exp(min(700.0, log - bound)) + noise), bound)
+
+    def add(self, char, slots, edge, first: int, value: float) -> None:
+        """A whole segmentation; its steps from ``first`` on open a group of siblings."""
+        upto = np.cumsum(self.grid.log[edge])
+        start, log = float(upto[first - 1]) if first else 0.0, float(upto[-1])
+        self.paths.append((char, slots, edge, upto, log, value))
+        # all that goes on from the node where the steps begin, but this segmentation
+        other = -math.expm1(log - start) if first < edge.size else 0.0
+        best = _NEVER
+        if other >= 1e-12:
+            best = self._cut_gumbel(start + math.log(other), value)
+        self.open.append(Siblings(len(self.paths) - 1, first, start, best))
+
+    def best(self) -> tuple[float, int]:
+        """The highest open value and its group; _NEVER if nothing is open."""
+        return max(((group.value, n) for n, group in enumerate(self.open)), default=(_NEVER, 0))
+
+    def _masses(self, group: Siblings, whole: bool) -> None:
+        """Sets the masses of a group, of all steps or those that count beside the first."""
+        upto = self.paths[group.path][3]
+        size = upto.size - group.first
+        if not whole:
+            size = min(size, 1 + upto.size - int(np.searchsorted(upto[::-1], group.start - _FAR)) - group.first)
+        upto = np.concatenate([[0.0], upto[group.first : group.first + size] - group.start])
+        other = -np.expm1(upto[1:] - upto[:-1])
+        other[other < 1e-12] = 0  # no siblings
+        mass = np.exp(upto[:-1]) * other
+        if group.mass is not None:
+            mass[: group.mass.size] = group.mass
+        group.mass, group.whole = mass, whole
 
     def next(self):
         """Opens the best group: (path, step, edge of the sibling, value), or None."""
-        value, n, step = self.best()
-        if value == _NEVER:
-            return None
-        path, values, left_out = self.open[n]
-        _, slot, edge, before, _, _ = self.paths[path]
-        gone = left_out.setdefault(step, [int(edge[step])])
-        low, high = self.grid.first[slot[step]], self.grid.first[slot[step] + 1]
+        while True:
+            value, n = self.best()
+            if value == _NEVER:
+                return None
+            group = self.open[n]
+            if group.mass is None:
+                self._masses(group, False)
+            total = np.cumsum(group.mass)
+            if total[-1] > 0:
+                break
+            group.value = _NEVER
+        char, slots, edge, upto, _, _ = self.paths[group.path]
+        nth = int(np.searchsorted(total, self.random.random() * total[-1], side="right"))
+        nth = min(nth, int(np.flatnonzero(group.mass)[-1]))
+        step = group.first + nth
+        gone = group.gone.setdefault(step, [int(edge[step])])
+        slot = slots[char[step]]
+        low, high = self.grid.first[slot], self.grid.first[slot + 1]
         chance = np.exp(self.grid.log[low:high])
         chance[np.array(gone) - low] = 0
         total = np.cumsum(chance)
@@ -377,12 +423,14 @@ class Search:
         taken = min(taken, int(np.flatnonzero(chance)[-1]))
         gone.append(int(low) + taken)
         chance[taken] = 0
-        rest = chance.sum()
-        values[step] = _NEVER
-        if rest > 1e-12:
-            log = np.array([before[step] + math.log(rest)])
-            values[step] = self._cut_gumbel(log, self.random.random(1), value)[0]
-        return path, step, int(low) + taken, value
+        rest = float(chance.sum())
+        before = float(upto[step - 1]) if step else 0.0
+        group.mass[nth] = math.exp(before - group.start) * rest if rest > 1e-12 else 0.0
+        if not group.whole and group.mass.sum() < 1e-6:
+            self._masses(group, True)
+        rest = float(group.mass.sum())
+        group.value = self._cut_gumbel(group.start + math.log(rest), value) if rest > 0 else _NEVER
+        return group.path, step, int(low) + taken, value
 
     def ids(self, path: int, vocabulary: Vocabulary) -> np.ndarray:
         char, _, edge = self.paths[path][:3]
@@ -390,12 +438,7 @@ class Search:
         spelt = np.flatnonzero(found < 0)
         if not spelt.size:
             return found
-        code = self.code[char[spelt]]
-        if code.max() < 0x80:
-            out = found.copy()
-            out[spelt] = vocabulary.byte_ids[code]
-            return out
-        letters = [chr(c).encode("utf-8", "surrogatepass") for c in code.tolist()]
+        letters = [chr(c).encode("utf-8", "surrogatepass") for c in self.code[char[spelt]].tolist()]
         width = np.ones(found.size, dtype=np.int64)
         width[spelt] = [len(x) for x in letters]
         out = np.repeat(found, width)
@@ -424,7 +467,9 @@ def sample(
     starts = np.flatnonzero(begins)
     ends = np.append(starts[1:], code.size)
     names = _names(code, starts, ends)
-    different, index, inverse = np.unique(names, return_index=True, return_inverse=True)
+    inverse, different = pd.factorize(names)
+    index = np.empty(different.size, dtype=np.int64)
+    index[inverse[::-1]] = np.arange(names.size)[::-1]
     kept = kept or Kept()
     grid, first = kept.of(different, code, starts[index], ends[index], vocabulary)
     word_slot = first[inverse]
@@ -432,13 +477,12 @@ def sample(
     searches = [Search(c, k, grid) for c, k in zip(codes, keys, strict=True)]
     uniform = np.concatenate([s.uniform() for s in searches])
     char, edge = _steps(grid, word_slot, starts, uniform)
-    slot = slot_of[char]
     cuts = np.searchsorted(char, base)
     for d, search in enumerate(searches):
         if sizes[d]:
             a, b = cuts[d], cuts[d + 1]
             value = -math.log(-math.log(search.random.random() + 1e-300))
-            search.add(char[a:b] - base[d], slot[a:b], edge[a:b], 0, value)
+            search.add(char[a:b] - base[d], slot_of[base[d] : base[d + 1]], edge[a:b], 0, value)
     word_of = np.repeat(np.arange(starts.size), ends - starts)
     for _ in range(samples - 1):
         opened, from_slot, from_char, uniform = [], [], [], np.zeros(code.size)
@@ -468,14 +512,13 @@ def sample(
             np.concatenate(from_char) if from_char else np.zeros(0, dtype=np.int64),
             uniform,
         )
-        slot = slot_of[char]
         cuts = np.searchsorted(char, base)
         for d, path, step, taken, value, _ in opened:
             old = searches[d].paths[path]
             a, b = cuts[d], cuts[d + 1]
             searches[d].add(
                 np.concatenate([old[0][: step + 1], char[a:b] - base[d]]),
-                np.concatenate([old[1][: step + 1], slot[a:b]]),
+                old[1],
                 np.concatenate([old[2][:step], [taken], edge[a:b]]),
                 step + 1,
                 value,
@@ -541,7 +584,7 @@ def encode(
         if not search.paths:
             yield (1, 0, 0.0, 0.0, 1.0, 0, True, np.zeros(0, dtype=np.int32))
             return
-        over = search.best()[0]
+        over, spelt = search.best()[0], b" " + whole.encode("utf-8", "surrogatepass")
         for n in range(min(samples, len(search.paths))):
             log, value = search.paths[n][4:6]
             score = 1.0 if over == _NEVER else -math.expm1(-math.exp(min(700.0, log - over)))
@@ -553,7 +596,7 @@ def encode(
                 value,
                 score,
                 zlib.crc32(ids.astype("<u4").tobytes()),
-                vocabulary.decode(ids) == whole,
+                vocabulary.spelling(ids) == spelt,
                 ids if with_ids else None,
             )
 

@@ -191,6 +191,43 @@ def test_all_segmentations_come_out_once(vocabulary):
     assert sorted(found) == sorted(chance)
 
 
+def test_siblings_of_a_path_take_no_number_a_step(vocabulary, monkeypatch):
+    drawn, real = [], np.random.Generator
+
+    class Counted:
+        def __init__(self, bits):
+            self.own = real(bits)
+
+        def random(self, size=None):
+            drawn.append(size or 1)
+            return self.own.random(size)
+
+    monkeypatch.setattr(pieces.np.random, "Generator", Counted)
+    text = "some words to be split, again and again. " * 50
+    (search,) = pieces.sample([text], [3], vocabulary, 2)
+    assert search.paths[0][2].size > 500
+    # one for each character and round, and a few a round
+    assert sum(drawn) <= 2 * (len(text) + 1) + 10
+
+
+@pytest.mark.parametrize("text", ["abc", "the cat", "some words to be split, again. " * 60])
+def test_masses_of_siblings_are_all_but_the_path(vocabulary, text):
+    (search,) = pieces.sample([text], [7], vocabulary, 1)
+    (group,) = search.open
+    for whole in (False, True):
+        search._masses(group, whole)
+        assert math.isclose(group.mass.sum(), -math.expm1(search.paths[0][4]), rel_tol=1e-9)
+    assert group.mass.size == search.paths[0][2].size
+
+
+def test_steps_left_out_at_first_are_opened_when_they_count(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "_FAR", 0.1)
+    chance = spellings("qz xj", vocabulary)
+    (search,) = pieces.sample(["qz xj"], [5], vocabulary, len(chance) + 3)
+    found = [tuple(search.ids(i, vocabulary).tolist()) for i in range(len(search.paths))]
+    assert sorted(found) == sorted(chance)
+
+
 def test_encoding_gives_texts_back(odd, none, vocabulary):
     rows = pieces.encode(odd.filter("doc_id is not null"), SP_MODEL).collect()
     texts = {r["doc_id"]: r["text"] or "" for r in odd.collect() if r["doc_id"] is not None}
