@@ -41,6 +41,7 @@ from purchaseflow.llm.hashing import PIECE, mixed, points, powers
 SAMPLES = 2
 BATCH_CHARS = 2_000_000
 KEPT_SLOTS = 2_000_000  # of lattices that a task keeps for the batches to come
+BUILT_SLOTS = 1 << 18  # of lattices that are built at a time
 DECODED = 1 << 20
 _SPACE = 0x110000  # stands for a blank, beyond all characters
 _NEVER = -np.inf
@@ -191,17 +192,26 @@ class Kept:
     def of(self, names, code, starts, ends, vocabulary) -> tuple[Lattices, np.ndarray]:
         """Lattices with all words ``code[start:end]`` of different ``names``, and the slot
         where each begins."""
-        if self.grid is not None and self.grid.left.size > KEPT_SLOTS:
-            self.clear()
-        place = np.minimum(np.searchsorted(self.names, names), max(0, self.names.size - 1))
-        known = self.names[place] == names if self.names.size else np.zeros(names.size, bool)
-        new = np.flatnonzero(~known)
+        size = ends - starts + 1
+        for _ in range(2):
+            place = np.minimum(np.searchsorted(self.names, names), max(0, self.names.size - 1))
+            known = self.names[place] == names if self.names.size else np.zeros(names.size, bool)
+            new = np.flatnonzero(~known)
+            if self.grid is None or self.grid.left.size + size[new].sum() <= KEPT_SLOTS:
+                break
+            self.clear()  # before there are too many
         if new.size:
-            more = lattices(code, starts[new], ends[new], vocabulary)
-            size = ends[new] - starts[new] + 1
+            size = size[new]
             old = self.grid.left.size if self.grid else 0
-            slots = old + np.cumsum(size) - size
-            self._add(more)
+            upto = np.cumsum(size)
+            slots = old + upto - size
+            done = 0
+            while done < new.size:
+                # some at a time, as building takes several times the room of what is kept
+                last = int(np.searchsorted(upto, upto[done] - size[done] + BUILT_SLOTS, side="right"))
+                own = new[done : max(done + 1, last)]
+                self._add(lattices(code, starts[own], ends[own], vocabulary))
+                done += own.size
             merged = np.concatenate([self.names, names[new]])
             order = np.argsort(merged, kind="stable")
             self.names = merged[order]

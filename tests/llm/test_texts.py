@@ -279,6 +279,20 @@ def test_lattices_that_are_kept_change_no_sample(vocabulary, monkeypatch, slots)
             assert own.paths[i][4:] == alone.paths[i][4:]
 
 
+def test_lattices_are_built_and_kept_within_bounds(vocabulary, monkeypatch):
+    texts = [" ".join(f"w{n}x{i} again" for i in range(12)) for n in range(30)]
+    alone = [pieces.sample([t], [n], vocabulary, 2)[0] for n, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "KEPT_SLOTS", 300)
+    monkeypatch.setattr(pieces, "BUILT_SLOTS", 20)
+    kept = pieces.Kept()
+    for n, text in enumerate(texts):
+        (own,) = pieces.sample([text], [n], vocabulary, 2, kept)
+        assert kept.grid.left.size <= 300
+        assert [own.ids(i, vocabulary).tolist() for i in range(2)] == [
+            alone[n].ids(i, vocabulary).tolist() for i in range(2)
+        ]
+
+
 def test_every_prefix_of_a_piece_is_found_and_no_other(vocabulary):
     near = np.concatenate([vocabulary.hashes, vocabulary.hashes + np.uint64(1), vocabulary.hashes - np.uint64(1)])
     known, piece = vocabulary.look_up(near)
