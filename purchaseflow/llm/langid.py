@@ -209,7 +209,10 @@ def fit(
         .dropDuplicates(["__id"])
     )
     packed = F.pandas_udf(_packed, "binary")("__text").alias("__x")
-    found = texts.select("__lang", packed).filter(F.col("__x").isNotNull()).toArrow()
+    # those without a letter go here: Spark would count all letters a second time for a filter,
+    # in a second Python worker a task, which stays with the executor after
+    found = texts.select("__lang", packed).toArrow()
+    found = found.filter(found["__x"].is_valid())
     if not found.num_rows:
         return Model((), {})
     # counts come compressed, so that beside the matrix of vectors there is room to train

@@ -12,6 +12,7 @@ from collections import Counter
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from purchaseflow.llm import langid, pii, queries, toxicity
@@ -123,6 +124,23 @@ def test_driver_holds_three_matrices_of_vectors_at_most(docs):
     assert peak < 3.5 * rows * 4 * langid.BUCKETS
 
 
+def test_letters_are_counted_once_a_text(spark, docs, monkeypatch):
+    seen, real = spark.sparkContext.accumulator(0), langid._packed
+
+    def counting(texts: pd.Series) -> pd.Series:
+        seen.add(len(texts))
+        return real(texts)
+
+    monkeypatch.setattr(langid, "_packed", counting)
+    rows = [(i, f"text {i} {'abc' * i}") for i in range(8)]
+    df = docs(rows).union(docs([(90, "1 2"), (91, None)])).union(docs([(20, "le mot")], "fr"))
+    model = langid.fit(df)
+    assert sorted(n for f in model.families for n in f[1]) == ["en", "fr"]
+    assert seen.value == 10  # all but the null one, that without a letter too
+    none = docs([(1, "1 2"), (2, "...")])
+    assert langid.fit(none).families == ()
+
+
 def test_any_number_of_labels_teaches_a_bounded_sample(spark, docs, monkeypatch):
     monkeypatch.setattr(langid, "LANGUAGES", 4)
     monkeypatch.setattr(langid, "ALTOGETHER", 40)
